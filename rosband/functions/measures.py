@@ -24,3 +24,23 @@ def rate_of_sale(total: Column | str, outlets: Column | str) -> Column:
 
 def share(part: Column | str, whole: Column | str) -> Column:
     return F.try_divide(_c(part), _c(whole))
+
+
+SHARE_DECIMALS = 12
+
+
+def share_key(s: Column | str, decimals: int = SHARE_DECIMALS) -> Column:
+    """A share as an integer count of 1e-12 units.
+
+    Shares are ratios of floating sums whose last bits depend on summation
+    order, so two partners with equal volume can differ by one ulp.  Ranking,
+    tie detection and the threshold test use this key: shares equal to 12
+    decimals are equal.
+    """
+    return F.floor(_c(s) * F.lit(float(10**decimals)) + F.lit(0.5))
+
+
+def share_limit(limit: float, decimals: int = SHARE_DECIMALS) -> int:
+    import math
+
+    return math.floor(limit * 10**decimals + 0.5)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rosband.functions.measures import share
+from rosband.functions.measures import share, share_key, share_limit
 from rosband.schema import Thresholds
 
 
@@ -33,14 +33,16 @@ def dominant_partner(shares: DataFrame, keys: Sequence[str], partner: str = "dat
     With ``tie_policy="drop"`` (the analysed job's behaviour: an average-method
     rank gives tied leaders 1.5, so no row has rank 1) a key whose top share is
     tied has no row at all.  ``"keep"`` keeps the smallest partner id among them.
-    Null shares (zero total) never rank.
+    Null shares (zero total) never rank.  Shares are compared at 12 decimals
+    (``share_key``) so that order-dependent last-bit noise cannot split a tie.
     """
     w = Window.partitionBy(*keys)
     s = F.col("dp_volume_share")
-    ranked = shares.withColumn("__max", F.max(s).over(w)).withColumn(
-        "__n_top", F.count(F.when(s == F.col("__max"), 1)).over(w)
+    k = share_key(s)
+    ranked = shares.withColumn("__max", F.max(k).over(w)).withColumn(
+        "__n_top", F.count(F.when(k == F.col("__max"), 1)).over(w)
     )
-    top = ranked.where(s == F.col("__max"))
+    top = ranked.where(k == F.col("__max"))
     if tie_policy == "drop":
         top = top.where(F.col("__n_top") == 1)
     elif tie_policy == "keep":
@@ -58,7 +60,7 @@ def disclosure_flags(cells: DataFrame, t: Thresholds = Thresholds()) -> DataFram
     """Add one boolean per rule and their conjunction ``publish`` (null -> False)."""
     po = F.coalesce(F.col("outlet_count") >= F.lit(t.min_outlets), F.lit(False))
     pp = F.coalesce(F.col("data_partner_count") >= F.lit(t.min_partners), F.lit(False))
-    ps = F.coalesce(F.col("nda_max_data_partner_share") <= F.lit(float(t.max_share)), F.lit(False))
+    ps = F.coalesce(share_key("nda_max_data_partner_share") <= F.lit(share_limit(t.max_share)), F.lit(False))
     return cells.withColumns(
         {"pass_outlets": po, "pass_partners": pp, "pass_share": ps, "publish": po & pp & ps}
     )
@@ -69,5 +71,5 @@ def suppress(cells: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
     return cells.where(
         (F.col("outlet_count") >= F.lit(t.min_outlets))
         & (F.col("data_partner_count") >= F.lit(t.min_partners))
-        & (F.col("nda_max_data_partner_share") <= F.lit(float(t.max_share)))
+        & (share_key("nda_max_data_partner_share") <= F.lit(share_limit(t.max_share)))
     )

@@ -108,7 +108,8 @@ def expand_cells(df: DataFrame, spec: DimSpec, carry: list[str]) -> Cells:
                 cond = cond & c
             st = F.when(cond, st)
         structs.append(st)
-    carry = [c for c in carry if c not in names]
+    dim_cols = set(spec.regions) | set(spec.segments) | set(names)
+    carry = [c for c in carry if c not in dim_cols]
     arr = F.filter(F.array(*structs), lambda x: x.isNotNull())
     exploded = df.select(*carry, F.explode(arr).alias("__cell"))
     out = exploded.select(*carry, *[F.col(f"__cell.{c}").alias(c) for c in [CELL_ID, *names]])

@@ -61,7 +61,7 @@ def source_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(c, F.col("o_custkey") == c.c_custkey)
         .join(F.broadcast(geo), F.col("c_nationkey") == geo.n_nationkey)
         .join(p, li.l_partkey == p.p_partkey)
-        .drop("o_orderkey", "c_custkey", "n_nationkey")
+        .drop("o_orderkey", "c_custkey", "c_nationkey")
     )
 
 
