@@ -151,11 +151,12 @@ def _bands(prefix: str, src: str, members, labels=("region", "segment"), min_out
 ),
 {prefix}dpv AS (SELECT {bk}, data_partner, sum(volume) AS dp_volume FROM {prefix}banded GROUP BY {bk}, data_partner),
 {prefix}shares AS (
-  SELECT *, sum(dp_volume) OVER w AS total_dp_volume, dp_volume / sum(dp_volume) OVER w AS dp_volume_share
+  SELECT *, sum(dp_volume) OVER w AS total_dp_volume, dp_volume / sum(dp_volume) OVER w AS dp_volume_share,
+         count(*) OVER w AS data_partner_count
   FROM {prefix}dpv WINDOW w AS (PARTITION BY {bk})
 ),
 {prefix}dom AS (
-  SELECT {bk}, data_partner AS nda_data_partner_with_max_share, dp_volume_share AS nda_max_data_partner_share
+  SELECT {bk}, data_partner_count, data_partner AS nda_data_partner_with_max_share, dp_volume_share AS nda_max_data_partner_share
   FROM {prefix}shares s
   WHERE s.dp_volume_share IS NOT NULL AND NOT EXISTS (
     SELECT 1 FROM {prefix}shares t
@@ -202,11 +203,12 @@ def _avg(prefix: str, src: str, members, min_outlets: int = 50) -> str:
 ),
 {prefix}dpv AS (SELECT {k}, data_partner, sum(volume) AS dp_volume FROM {prefix}lab GROUP BY {k}, data_partner),
 {prefix}shares AS (
-  SELECT *, sum(dp_volume) OVER w AS total_dp_volume, dp_volume / sum(dp_volume) OVER w AS dp_volume_share
+  SELECT *, sum(dp_volume) OVER w AS total_dp_volume, dp_volume / sum(dp_volume) OVER w AS dp_volume_share,
+         count(*) OVER w AS data_partner_count
   FROM {prefix}dpv WINDOW w AS (PARTITION BY {k})
 ),
 {prefix}dom AS (
-  SELECT {k}, data_partner AS nda_data_partner_with_max_share, dp_volume_share AS nda_max_data_partner_share
+  SELECT {k}, data_partner_count, data_partner AS nda_data_partner_with_max_share, dp_volume_share AS nda_max_data_partner_share
   FROM {prefix}shares s
   WHERE s.dp_volume_share IS NOT NULL AND NOT EXISTS (
     SELECT 1 FROM {prefix}shares t

@@ -12,21 +12,34 @@ from rosband.schema import Thresholds
 
 
 def partner_volumes(rows: DataFrame, keys: Sequence[str], partner: str = "data_partner", metric: str = "volume") -> DataFrame:
-    return rows.groupBy(*keys, partner).agg(F.sum(metric).alias("dp_volume"))
+    """Volume per key and data partner (map-side combined: one row per partner per task)."""
+    return rows.where(F.col(partner).isNotNull()).groupBy(*keys, partner).agg(F.sum(metric).alias("dp_volume"))
 
 
 def partner_shares(volumes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add ``total_dp_volume`` and ``dp_volume_share``.
+    """Add ``total_dp_volume``, ``dp_volume_share`` and ``data_partner_count``.
 
     The window is over already aggregated partner rows, so a partition holds
     one row per data partner of the cell -- bounded by the partner count.
+    The number of rows per key is the number of distinct data partners.
     """
     w = Window.partitionBy(*keys)
-    return volumes.withColumn("total_dp_volume", F.sum("dp_volume").over(w)).withColumn(
-        "dp_volume_share", share("dp_volume", "total_dp_volume")
+    return (
+        volumes.withColumn("total_dp_volume", F.sum("dp_volume").over(w))
+        .withColumn("dp_volume_share", share("dp_volume", "total_dp_volume"))
+        .withColumn("data_partner_count", F.count(F.lit(1)).over(w))
     )
 
 
+def partner_counts(shares: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct data partners per key, read off the share rows.
+
+    ``shares`` is already hash-partitioned by ``keys`` (its window), so this
+    aggregate adds no shuffle.
+    """
+    return shares.groupBy(*keys).agg(F.max("data_partner_count").alias("data_partner_count"))
+
+
 def dominant_partner(shares: DataFrame, keys: Sequence[str], partner: str = "data_partner", tie_policy: str = "drop") -> DataFrame:
     """The partner with the largest share per key.
 
@@ -49,8 +62,10 @@ def dominant_partner(shares: DataFrame, keys: Sequence[str], partner: str = "dat
         top = top.withColumn("__first", F.min(partner).over(w)).where(F.col(partner) == F.col("__first")).drop("__first")
     else:
         raise ValueError(f"unknown tie_policy {tie_policy!r}")
+    extra = ["data_partner_count"] if "data_partner_count" in shares.columns else []
     return top.select(
         *keys,
+        *extra,
         F.col(partner).alias("nda_data_partner_with_max_share"),
         s.alias("nda_max_data_partner_share"),
     )

@@ -13,6 +13,7 @@ join, and AQE's skew-join handling splits hot partitions of the row side.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -24,9 +25,18 @@ DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write a (small) intermediate to the reliable checkpoint dir and cut lineage."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write an intermediate as Parquet under the reliable checkpoint dir and read it back.
+
+    This cuts the lineage like ``checkpoint()`` but in a single job
+    (``checkpoint(eager=True)`` computes its input once for the count and once
+    more to write the files), and the result is a plain Parquet scan whose
+    later ``count()`` reads only footers.  The directory is the cluster's
+    shared ``spark.checkpoint.dir``, so the data survives executor loss.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/rosband-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def broadcast_if_small(small: DataFrame, max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:

@@ -1,4 +1,11 @@
-"""Rate of sale: weekly sums and distinct outlets, period means, band counts."""
+"""Rate of sale: weekly sums and distinct outlets, period means, band counts.
+
+Everything about outlets is derived from one outlet-grain aggregate
+(``outlet_grain``: sums per key x date x outlet).  Its shuffle keys include the
+date and the outlet, so a hot cell is spread over many tasks, and the later
+counts of distinct outlets are plain counts over already de-duplicated rows
+(no ``count(DISTINCT)`` expansion).
+"""
 
 from __future__ import annotations
 
@@ -10,10 +17,18 @@ from pyspark.sql import functions as F
 from rosband.functions.measures import rate_of_sale
 
 
-def weekly_ros(rows: DataFrame, keys: Sequence[str], metrics: Sequence[str], outlet: str = "outlet") -> DataFrame:
+def outlet_grain(
+    rows: DataFrame, keys: Sequence[str], date: str, outlet: str, metrics: Sequence[str], partner: str | None = None
+) -> DataFrame:
+    """One row per key x date x outlet (x partner) with the metric sums (``sum_<m>``)."""
+    by = [*keys, date, outlet] + ([partner] if partner else [])
+    return rows.where(F.col(outlet).isNotNull()).groupBy(*by).agg(*[F.sum(m).alias(f"sum_{m}") for m in metrics])
+
+
+def weekly_ros(grain: DataFrame, keys: Sequence[str], metrics: Sequence[str], outlet: str = "outlet") -> DataFrame:
     """Per key (which includes the date): ``sum_<m>``, ``outlets`` and ``<m>_ros = sum / outlets``."""
-    agg = rows.groupBy(*keys).agg(
-        *[F.sum(m).alias(f"sum_{m}") for m in metrics], F.count_distinct(outlet).alias("outlets")
+    agg = grain.groupBy(*keys).agg(
+        *[F.sum(f"sum_{m}").alias(f"sum_{m}") for m in metrics], F.count_distinct(outlet).alias("outlets")
     )
     return agg.withColumns({f"{m}_ros": rate_of_sale(f"sum_{m}", "outlets") for m in metrics})
 
@@ -23,12 +38,6 @@ def period_ros(weekly: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -
     return weekly.groupBy(*keys).agg(*[F.avg(f"{m}_ros").alias(f"{m}_ros") for m in metrics])
 
 
-def distinct_outlets(rows: DataFrame, keys: Sequence[str], outlet: str = "outlet", name: str = "total_outlet_count") -> DataFrame:
-    return rows.groupBy(*keys).agg(F.count_distinct(outlet).alias(name))
-
-
-def band_counts(rows: DataFrame, keys: Sequence[str], outlet: str = "outlet", partner: str = "data_partner") -> DataFrame:
-    """Distinct outlets and distinct data partners over the whole key (period, not weekly)."""
-    return rows.groupBy(*keys).agg(
-        F.count_distinct(outlet).alias("outlet_count"), F.count_distinct(partner).alias("data_partner_count")
-    )
+def distinct_outlets(grain: DataFrame, keys: Sequence[str], outlet: str = "outlet", name: str = "outlet_count") -> DataFrame:
+    """Distinct outlets per key, from the outlet-grain rows (dedup, then count)."""
+    return grain.select(*keys, outlet).distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias(name))

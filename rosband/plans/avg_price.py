@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosband.functions.measures import rate_of_sale
-from rosband.operators.disclosure import dominant_partner, partner_shares, partner_volumes, suppress
+from rosband.operators.disclosure import dominant_partner, partner_counts, partner_shares, partner_volumes, suppress
 from rosband.operators.rollup import Cells, expand_cells
 from rosband.plans.price_bands import with_price
 from rosband.schema import DEFAULT_METRICS, Columns, DimSpec, Thresholds, require_columns
@@ -51,20 +51,27 @@ def avg_price(
     rows = cells.df
     keys = [cols.date, cols.product, *cells.keys]
 
-    cube = rows.groupBy(*keys).agg(
+    # outlet grain first: distinct outlets become a plain count, and the mean row
+    # price is carried as (sum, count) so it stays row-weighted
+    grain = rows.groupBy(*keys, cols.outlet).agg(
         *[F.sum(m).alias(f"sum_{m}") for m in metrics],
-        F.count_distinct(cols.outlet).alias("outlet_count"),
-        F.avg(cols.price).alias("avg_price"),
-        F.count_distinct(cols.data_partner).alias("data_partner_count"),
+        F.sum(cols.price).alias("__price_sum"),
+        F.count(cols.price).alias("__price_n"),
     )
-    cube = cube.withColumns({f"{m}_ros": rate_of_sale(f"sum_{m}", "outlet_count") for m in metrics})
     shares = partner_shares(partner_volumes(rows, keys, cols.data_partner, share_metric), keys)
     dom = dominant_partner(shares, keys, cols.data_partner, tie_policy)
+    cube = grain.groupBy(*keys).agg(
+        *[F.sum(f"sum_{m}").alias(f"sum_{m}") for m in metrics],
+        F.count(F.lit(1)).alias("outlet_count"),
+        F.try_divide(F.sum("__price_sum"), F.sum("__price_n").cast("double")).alias("avg_price"),
+    )
+    cube = cube.withColumns({f"{m}_ros": rate_of_sale(f"sum_{m}", "outlet_count") for m in metrics})
+    cube = cube.join(partner_counts(shares, keys), keys, "inner")
 
     labels = list(cells.labels)
     ros_cols = [f"{m}_ros" for m in metrics]
     head = [cols.date, cols.product, *labels, "avg_price", *ros_cols, "outlet_count"]
-    joined = cube.join(dom, keys, "inner").select(
+    joined = cube.join(dom.drop("data_partner_count"), keys, "inner").select(
         *head, "data_partner_count", "nda_data_partner_with_max_share", "nda_max_data_partner_share", *cells.keys[:1]
     )
     published = suppress(joined, thresholds).select(*head)

@@ -29,10 +29,10 @@ from pyspark.sql import functions as F
 
 from rosband.functions.measures import unit_price
 from rosband.operators.bands import assign_bands, band_prices, quantile_edges
-from rosband.operators.disclosure import dominant_partner, partner_shares, partner_volumes, suppress
+from rosband.operators.disclosure import dominant_partner, partner_counts, partner_shares, partner_volumes, suppress
 from rosband.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, materialize
 from rosband.operators.rollup import Cells, expand_cells, expand_items
-from rosband.operators.ros import band_counts, distinct_outlets, period_ros, weekly_ros
+from rosband.operators.ros import distinct_outlets, outlet_grain, period_ros, weekly_ros
 from rosband.schema import DEFAULT_METRICS, DEFAULT_QUANTILES, Columns, DimSpec, Thresholds, require_columns
 
 
@@ -101,16 +101,33 @@ def price_bands(
 
     edges = materialize(quantile_edges(labelled, date_keys, quantiles, cols.price))
     bprices = band_prices(edges, cell_keys, quantiles)
-    totals = distinct_outlets(labelled, cell_keys, cols.outlet, "total_outlet_count")
     banded = assign_bands(labelled, edges, date_keys, quantiles, cols.price, max_broadcast_rows, edges_materialized=True)
 
-    weekly = weekly_ros(banded, [cols.date, *band_keys], metrics, cols.outlet)
+    # The banded rows feed four statistics.  Left lazy, each would rebuild them
+    # (scan, joins, explode), because column pruning makes the branches differ
+    # and defeats exchange reuse.  They are aggregated once to the band x date x
+    # outlet x partner grain -- a shuffle keyed by outlet and date, so hot cells
+    # spread -- and written to the checkpoint directory; every statistic reads it.
+    grain = materialize(
+        outlet_grain(banded, band_keys, cols.date, cols.outlet, measures, partner=cols.data_partner)
+    )
+    weekly = weekly_ros(grain, [cols.date, *band_keys], metrics, cols.outlet)
     pros = period_ros(weekly, band_keys, metrics)
-    counts = band_counts(banded, band_keys, cols.outlet, cols.data_partner)
-    shares = partner_shares(partner_volumes(banded, band_keys, cols.data_partner, share_metric), band_keys)
+    totals = distinct_outlets(grain, cell_keys, cols.outlet, "total_outlet_count")
+    outlets = distinct_outlets(grain, band_keys, cols.outlet, "outlet_count")
+
+    # partner volumes: shares, the dominant partner and the partner count
+    shares = partner_shares(
+        partner_volumes(grain, band_keys, cols.data_partner, f"sum_{share_metric}"), band_keys
+    )
     dom = dominant_partner(shares, band_keys, cols.data_partner, tie_policy)
+    counts = outlets.join(partner_counts(shares, band_keys), band_keys, "inner")
 
-    result = counts.join(pros.join(totals, cell_keys, "inner"), band_keys, "inner").join(dom, band_keys, "inner")
+    result = (
+        outlets.join(pros, band_keys, "inner")
+        .join(totals, cell_keys, "inner")
+        .join(dom, band_keys, "inner")
+    )
     joined = bprices.join(result, band_keys, "left")
 
     labels = list(cells.labels)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from rosband.functions.labels import first_match, keyword_rollup, membership, product_label, two_way
 from rosband.schema import PINT_ML
-from rosband.sources.tables import read_table
+from rosband.sources.tables import read_table, spread
 
 # Fixed values of the test mapping (FIXTURES.md section 3).
 CORE_SEGMENTS = ("AUTOMOBILE", "BUILDING")
@@ -47,8 +47,10 @@ def source_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     broadcast; the fact-to-fact joins are left to the planner (sort-merge or
     shuffled hash join on the join keys, with AQE).
     """
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"
+    li = spread(
+        read_table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"
+        )
     )
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
