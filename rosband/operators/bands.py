@@ -16,11 +16,21 @@ EDGES = "edges"
 def quantile_edges(rows: DataFrame, keys: Sequence[str], quantiles: Sequence[float], price: str = "price") -> DataFrame:
     """Exact quantiles (linear interpolation at q*(n-1)) of ``price`` per key.
 
-    ``percentile`` is a grouped aggregate with a map-side partial state (value ->
-    count), so a hot cell is pre-combined on every partition before the shuffle.
+    Two aggregation levels keep a hot cell off a single reducer:
+
+    1. a price histogram ``(key, price) -> rows`` -- shuffled by key *and* price,
+       so one cell's prices are spread over many tasks;
+    2. ``percentile(price, qs, frequency)`` per key.  Its partial states are built
+       from disjoint slices of the histogram, so the final merge for a cell
+       handles each distinct price once (instead of once per map task).
+
+    The state of a cell is bounded by its number of distinct prices, not rows.
     Returns the keys plus ``edges: array<double>`` in the order of ``quantiles``.
     """
-    return rows.groupBy(*keys).agg(F.percentile(F.col(price), percentile_array(quantiles)).alias(EDGES))
+    hist = rows.where(F.col(price).isNotNull()).groupBy(*keys, price).agg(F.count(F.lit(1)).alias("__n"))
+    return hist.groupBy(*keys).agg(
+        F.percentile(F.col(price), percentile_array(quantiles), F.col("__n")).alias(EDGES)
+    )
 
 
 def edges_wide(edges: DataFrame, keys: Sequence[str], quantiles: Sequence[float], prefix: str = "q") -> DataFrame:

@@ -116,7 +116,9 @@ def continuous_items(
     columns exist, in frame order -- has strictly more than ``threshold`` distinct dates.
 
     Distinct dates come from a grouped aggregation (deduplicated map-side per
-    key and date), and the qualifying keys are applied with a left-semi join.
+    key and date).  The qualifying keys are materialised and applied with a
+    left-semi join: broadcast when their measured count is small, otherwise a
+    shuffle join whose hot partitions AQE's skew handling splits.
     """
     wanted = {outlet_column, period_column, format_column, item_column}
     keys = [c for c in df.columns if c in wanted]
@@ -128,4 +130,4 @@ def continuous_items(
         .where(F.col("__dates") > F.lit(int(date_count_threshold)))
         .select(*keys)
     )
-    return df.join(qualifying, keys, "left_semi")
+    return attach(df, materialize(qualifying), keys, "left_semi")

@@ -92,3 +92,27 @@ def test_period_filter_and_no_dimensions(sales):
     st = price_bands(df, period_filter=[2020], dims=DimSpec(regions=(), segments=()), thresholds=LOW)
     assert {r["period"] for r in st.joined.collect()} == {2020}
     assert "region" not in st.published.columns
+
+
+def test_item_filter_and_two_item_levels(spark):
+    rows = [(d(1), 2020, i, "P" + str(i % 2), "B" + str(i % 3), "R", "S", "a", float(i + 1), 1.0, 1.0) for i in range(12)]
+    df = spark.createDataFrame(
+        rows, "date date, period int, outlet long, product string, brand string, region string, segment string, "
+        "data_partner string, value double, quantity double, volume double")
+    st = price_bands(df, item_columns=["product", "brand"], items=["P0", "B1"], thresholds=LOW)
+    got = {(r["product_type"], r["product"]) for r in st.band_prices.collect()}
+    assert got == {("product", "P0"), ("brand", "B1")}
+
+
+def test_multi_keep_all_regions_counts_each_row_once(spark):
+    from rosband.schema import DimSpec
+
+    schema = ("date date, period int, outlet long, product string, region1 string, region2 string, segment string, "
+              "data_partner string, value double, quantity double, volume double")
+    rows = [(d(1), 2020, i, "P", "A", "B", "S", "p", float(i + 1), 1.0, 1.0) for i in range(8)]
+    df = spark.createDataFrame(rows, schema)
+    spec = DimSpec(regions=("region1", "region2"), segments=("segment",), not_member="n", keep_all_regions=True)
+    st = price_bands(df, dims=spec, thresholds=LOW)
+    tot = {(r["region"], r["segment"]): r["total_outlet_count"] for r in st.totals.collect()}
+    assert tot[("GB", "All Pubs")] == 8 and tot[("A", "S")] == 8 and tot[("B", "All Pubs")] == 8
+    assert st.labelled.where("region = 'GB' AND segment = 'All Pubs'").count() == 8

@@ -42,3 +42,35 @@ def test_snapshot_computes_once(spark, sales):
     assert len(calls) == 1
     snapshot(spark, path, compute, refresh=True)
     assert len(calls) == 2
+
+
+def test_extract_filters_and_casts(spark):
+    import os
+
+    from rosband.schema import SALES_SCHEMA, conform
+    from rosband.sources import retail
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("test tables not present")
+    v = retail.source_view(spark, sf)
+    all_rows = retail.sales_extract(v, guards=False)
+    core = retail.sales_extract(v, categories=["AUTOMOBILE", "BUILDING"], guards=False)
+    assert {r["segment"] for r in core.select("segment").distinct().collect()} == {"Core"}
+    assert 0 < core.count() < all_rows.count()
+    late = retail.sales_extract(v, date_from="2000-01-01", guards=False)
+    assert late.where("date < DATE'2000-01-01'").count() == 0
+    small = retail.sales_extract(v, products=["SMALL"], guards=False)
+    assert {r[0] for r in small.select("product").distinct().collect()} == {"SMALL"}
+    c = conform(all_rows)
+    assert [c.schema[f.name].dataType for f in SALES_SCHEMA.fields] == [f.dataType for f in SALES_SCHEMA.fields]
+
+
+def test_report_sinks_write_datasets(spark, tmp_path):
+    from rosband.plans.report import write_report
+
+    df = spark.createDataFrame([("a", 1.0)], "k string, v double")
+    write_report({"PC_Data": df, "lists": df}, str(tmp_path / "parquet"))
+    write_report({"OT_Data": df}, str(tmp_path / "csv"), fmt="csv")
+    assert spark.read.parquet(str(tmp_path / "parquet" / "lists")).count() == 1
+    assert spark.read.option("header", "true").csv(str(tmp_path / "csv" / "OT_Data")).count() == 1
