@@ -23,7 +23,7 @@ def report_lists(published: DataFrame, columns: Sequence[str], position: str = "
     out = None
     for c in columns:
         lst = published.select(c).where(F.col(c).isNotNull()).distinct()
-        lst = lst.select(F.row_number().over(Window.orderBy(c)).alias(position), c)
+        lst = lst.select(F.row_number().over(Window.orderBy(c)).cast("long").alias(position), c)
         out = lst if out is None else out.join(lst, position, "full_outer")
     return out.select(position, *columns)
 

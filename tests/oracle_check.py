@@ -46,6 +46,22 @@ def _key(row):
     return tuple((x is None, str(type(x).__name__), x if x is not None else 0) for x in row)
 
 
+SPARK_TO_DUCK = {
+    "StringType": "VARCHAR", "LongType": "BIGINT", "IntegerType": "INTEGER", "DoubleType": "DOUBLE",
+    "DateType": "DATE", "BooleanType": "BOOLEAN", "TimestampNTZType": "TIMESTAMP",
+}
+
+
+def type_mismatches(sdf, rel) -> list:
+    duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    out = []
+    for f in sdf.schema.fields:
+        want = SPARK_TO_DUCK.get(type(f.dataType).__name__, type(f.dataType).__name__)
+        if duck_types.get(f.name) != want:
+            out.append((f.name, want, duck_types.get(f.name)))
+    return out
+
+
 def compare(spark, con, name: str, build, sql: str, sf_dir: str) -> dict:
     t0 = time.time()
     sdf = build(spark, sf_dir)
@@ -59,6 +75,10 @@ def compare(spark, con, name: str, build, sql: str, sf_dir: str) -> dict:
     if sorted(scols) != sorted(dcols):
         out["error"] = f"columns differ: spark={sorted(scols)} oracle={sorted(dcols)}"
         return out
+    bad_types = type_mismatches(sdf, rel)
+    if bad_types:
+        out["error"] = f"types differ (name, spark, oracle): {bad_types}"
+        return out
     order = sorted(scols)
     si = [scols.index(c) for c in order]
     di = [dcols.index(c) for c in order]
