@@ -43,12 +43,17 @@ def broadcast_if_small(small: DataFrame, max_rows: int | None = DEFAULT_MAX_BROA
     """Return ``broadcast(small)`` when its measured row count is under ``max_rows``.
 
     ``small`` should already be materialised (``materialize``): the count is then a
-    metadata-cheap scan of the checkpoint files.  ``max_rows=None`` skips the hint.
+    metadata-cheap scan of the checkpoint files.  ``max_rows=None`` leaves the
+    choice to the planner.  Above the limit the side is hinted ``shuffle_merge``
+    so that a plan-time estimate cannot broadcast it anyway; AQE's skew-join
+    handling then splits hot partitions of the row side.
     """
     if max_rows is None:
         return small
+    if max_rows <= 0:
+        return small.hint("shuffle_merge")
     n = small.count()
-    return F.broadcast(small) if n <= max_rows else small
+    return F.broadcast(small) if n <= max_rows else small.hint("shuffle_merge")
 
 
 def attach(

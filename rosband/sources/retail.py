@@ -107,6 +107,7 @@ def sales_extract(
     products: Sequence[str] | None = None,
     guards: bool = True,
     with_calendar: bool = True,
+    predicate: F.Column | None = None,
 ) -> DataFrame:
     """Variant A extract: one region column, one two-way segment column.
 
@@ -114,6 +115,8 @@ def sales_extract(
     on the outlet category (``c_mktsegment``), ``products`` an IN-list on the
     product.  All are plain predicates, pushed into the Parquet scan or the
     JDBC query.  With ``guards`` the positivity filters are applied.
+    ``predicate`` is any further row filter on the view's columns (for example
+    a country equality on a source that has one).
     """
     v = view
     if date_from is not None:
@@ -122,6 +125,8 @@ def sales_extract(
         v = v.where(F.col("c_mktsegment").isin(list(categories)))
     if products is not None:
         v = v.where(F.col("p_type").isin(list(products)))
+    if predicate is not None:
+        v = v.where(predicate)
     if guards:
         v = _guards(v)
     t = _time_columns()

@@ -73,3 +73,14 @@ def test_continuity_threshold_is_strict(sales):
     rows += [(d(m), 2020, 2, "P", "R", "S", "a", 1.0, 1.0) for m in (1, 2, 3)]  # 3 dates
     out = continuous_items(sales(rows), 2, item_column="product")
     assert sorted({r["outlet"] for r in out.collect()}) == [2]
+
+
+def test_shuffle_fallback_gives_same_rows(sales):
+    rows = [(d(1 + i % 2), 2020, i, "P", "R", "S", "a", float(10 + i % 5), 1.0, float(1 + i % 3)) for i in range(40)]
+    rows.append((d(1), 2020, 99, "P", "R", "S", "a", 500.0, 1.0, 2.0))
+    df = sales(rows)
+    small = remove_outliers(df, G, metrics=["value", "volume"])
+    big = remove_outliers(df, G, metrics=["value", "volume"], max_rows=0)  # never broadcast
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
+    plan = big._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan
