@@ -31,46 +31,48 @@ def partner_shares(volumes: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def partner_counts(shares: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distinct data partners per key, read off the share rows.
-
-    ``shares`` is already hash-partitioned by ``keys`` (its window), so this
-    aggregate adds no shuffle.
-    """
-    return shares.groupBy(*keys).agg(F.max("data_partner_count").alias("data_partner_count"))
-
-
-def dominant_partner(shares: DataFrame, keys: Sequence[str], partner: str = "data_partner", tie_policy: str = "drop") -> DataFrame:
-    """The partner with the largest share per key.
+def partner_summary(shares: DataFrame, keys: Sequence[str], partner: str = "data_partner", tie_policy: str = "drop") -> DataFrame:
+    """One row per key: ``data_partner_count`` and the unique largest partner with its share.
 
     With ``tie_policy="drop"`` (the analysed job's behaviour: an average-method
     rank gives tied leaders 1.5, so no row has rank 1) a key whose top share is
-    tied has no row at all.  ``"keep"`` keeps the smallest partner id among them.
-    Null shares (zero total) never rank.  Shares are compared at 12 decimals
-    (``share_key``) so that order-dependent last-bit noise cannot split a tie.
+    tied gets nulls in the two ``nda_*`` columns and is later removed by the
+    inner-join semantics.  ``"keep"`` reports the smallest partner id among the
+    leaders.  Null shares (zero total) never rank.  Shares are compared at 12
+    decimals (``share_key``) so that order-dependent last-bit noise cannot split
+    a tie.
+
+    Both windows and the final aggregate share the partitioning of ``shares``
+    (by ``keys``): no further shuffle, and a partition holds one row per partner.
     """
+    if tie_policy not in ("drop", "keep"):
+        raise ValueError(f"unknown tie_policy {tie_policy!r}")
     w = Window.partitionBy(*keys)
     s = F.col("dp_volume_share")
     k = share_key(s)
-    ranked = shares.withColumn("__max", F.max(k).over(w)).withColumn(
-        "__n_top", F.count(F.when(k == F.col("__max"), 1)).over(w)
+    ranked = shares.withColumn("__k", k).withColumn("__max", F.max("__k").over(w))
+    ranked = ranked.withColumn("__n_top", F.count(F.when(F.col("__k") == F.col("__max"), 1)).over(w))
+    lead = ranked.where((F.col("__k") == F.col("__max")) | F.col("__max").isNull())
+    summary = lead.groupBy(*keys).agg(
+        F.max("data_partner_count").alias("data_partner_count"),
+        F.max("__n_top").alias("__n_top"),
+        F.min(partner).alias("__top"),
+        F.max(s).alias("__share"),
     )
-    top = ranked.where(k == F.col("__max"))
-    if tie_policy == "drop":
-        top = top.where(F.col("__n_top") == 1)
-    elif tie_policy == "keep":
-        top = top.withColumn("__first", F.min(partner).over(w)).where(F.col(partner) == F.col("__first")).drop("__first")
-    else:
-        raise ValueError(f"unknown tie_policy {tie_policy!r}")
-    extra = ["data_partner_count"] if "data_partner_count" in shares.columns else []
-    return top.select(
+    unique = F.col("__n_top") == 1 if tie_policy == "drop" else F.col("__n_top") >= 1
+    return summary.select(
         *keys,
-        *extra,
-        F.col(partner).alias("nda_data_partner_with_max_share"),
-        s.alias("nda_max_data_partner_share"),
+        "data_partner_count",
+        F.when(unique, F.col("__top")).alias("nda_data_partner_with_max_share"),
+        F.when(unique, F.col("__share")).alias("nda_max_data_partner_share"),
     )
 
 
+def dominant_partner(shares: DataFrame, keys: Sequence[str], partner: str = "data_partner", tie_policy: str = "drop") -> DataFrame:
+    """Keys that have a (unique, under ``"drop"``) largest partner, with that partner and share."""
+    return partner_summary(shares, keys, partner, tie_policy).where(F.col("nda_data_partner_with_max_share").isNotNull())
+
+
 def disclosure_flags(cells: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
     """Add one boolean per rule and their conjunction ``publish`` (null -> False)."""
     po = F.coalesce(F.col("outlet_count") >= F.lit(t.min_outlets), F.lit(False))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosband.functions.measures import rate_of_sale
-from rosband.operators.disclosure import dominant_partner, partner_counts, partner_shares, partner_volumes, suppress
+from rosband.operators.disclosure import partner_shares, partner_summary, partner_volumes, suppress
 from rosband.operators.rollup import Cells, expand_cells
 from rosband.plans.price_bands import with_price
 from rosband.schema import DEFAULT_METRICS, Columns, DimSpec, Thresholds, require_columns
@@ -59,19 +59,23 @@ def avg_price(
         F.count(cols.price).alias("__price_n"),
     )
     shares = partner_shares(partner_volumes(rows, keys, cols.data_partner, share_metric), keys)
-    dom = dominant_partner(shares, keys, cols.data_partner, tie_policy)
+    summary = partner_summary(shares, keys, cols.data_partner, tie_policy)
+    has_top = F.col("nda_data_partner_with_max_share").isNotNull()
     cube = grain.groupBy(*keys).agg(
         *[F.sum(f"sum_{m}").alias(f"sum_{m}") for m in metrics],
         F.count(F.lit(1)).alias("outlet_count"),
         F.try_divide(F.sum("__price_sum"), F.sum("__price_n").cast("double")).alias("avg_price"),
     )
     cube = cube.withColumns({f"{m}_ros": rate_of_sale(f"sum_{m}", "outlet_count") for m in metrics})
-    cube = cube.join(partner_counts(shares, keys), keys, "inner")
+    # the partner summary is joined once; the cube query and the published rows prune it
+    full = cube.join(summary, keys, "inner")
+    dom = summary.where(has_top)
 
     labels = list(cells.labels)
     ros_cols = [f"{m}_ros" for m in metrics]
     head = [cols.date, cols.product, *labels, "avg_price", *ros_cols, "outlet_count"]
-    joined = cube.join(dom.drop("data_partner_count"), keys, "inner").select(
+    cube = full.drop("nda_data_partner_with_max_share", "nda_max_data_partner_share")
+    joined = full.where(has_top).select(
         *head, "data_partner_count", "nda_data_partner_with_max_share", "nda_max_data_partner_share", *cells.keys[:1]
     )
     published = suppress(joined, thresholds).select(*head)

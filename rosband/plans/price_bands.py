@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from rosband.functions.measures import unit_price
 from rosband.operators.bands import assign_bands, band_prices, quantile_edges
-from rosband.operators.disclosure import dominant_partner, partner_counts, partner_shares, partner_volumes, suppress
+from rosband.operators.disclosure import partner_shares, partner_summary, partner_volumes, suppress
 from rosband.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, materialize
 from rosband.operators.rollup import Cells, expand_cells, expand_items
 from rosband.operators.ros import distinct_outlets, outlet_grain, period_ros, weekly_ros
@@ -120,13 +120,17 @@ def price_bands(
     shares = partner_shares(
         partner_volumes(grain, band_keys, cols.data_partner, f"sum_{share_metric}"), band_keys
     )
-    dom = dominant_partner(shares, band_keys, cols.data_partner, tie_policy)
-    counts = outlets.join(partner_counts(shares, band_keys), band_keys, "inner")
+    # one summary row per band (partner count, unique top partner), used once per plan
+    summary = partner_summary(shares, band_keys, cols.data_partner, tie_policy)
+    has_top = F.col("nda_data_partner_with_max_share").isNotNull()
+    dom = summary.where(has_top)
+    counts = outlets.join(summary.select(*band_keys, "data_partner_count"), band_keys, "inner")
 
     result = (
         outlets.join(pros, band_keys, "inner")
         .join(totals, cell_keys, "inner")
-        .join(dom, band_keys, "inner")
+        .join(summary, band_keys, "inner")
+        .where(has_top)
     )
     joined = bprices.join(result, band_keys, "left")
 
