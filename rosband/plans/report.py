@@ -3,10 +3,12 @@
 The lists sheet of the analysed report holds independent distinct lists side by
 side (region, segment, product [, date]), padded with blanks.  Here each list
 is sorted ascending (first-appearance order is not defined on a distributed
-frame), numbered with ``row_number`` and the lists are full-outer-joined on
-that number.  The numbering window has no partition key, so it runs in one
-task: its input is the set of distinct members of one dimension, which is
-bounded by the dimension's cardinality, not by the number of sales rows.
+frame), numbered 1..n and the lists are full-outer-joined on that number.
+
+Numbering is distributed (``ordinal``): a range partitioning sorts the members
+across tasks, ``monotonically_increasing_id`` gives each row's position inside
+its partition, and a table with one row per partition (its row count) yields
+the partition offsets.  No task ever holds more than its own partition.
 """
 
 from __future__ import annotations
@@ -19,11 +21,34 @@ from pyspark.sql import functions as F
 from rosband.sources.snapshot import write_dataset
 
 
+def ordinal(df: DataFrame, order_by: str, name: str = "position") -> DataFrame:
+    """Number the rows 1..n in ascending ``order_by`` order without a single-task window."""
+    parts = max(1, df.sparkSession.sparkContext.defaultParallelism)
+    ranged = df.repartitionByRange(parts, F.col(order_by).asc_nulls_last()).sortWithinPartitions(order_by)
+    ranged = ranged.select(
+        "*",
+        F.spark_partition_id().alias("__pid"),
+        F.monotonically_increasing_id().alias("__mid"),
+    )
+    # position inside the partition: the id's low 33 bits
+    ranged = ranged.withColumn("__local", F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33))
+    sizes = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
+    # one row per partition: a running sum over this tiny table gives each partition's offset
+    offsets = sizes.select(
+        "__pid",
+        (F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1))).alias("__off"),
+    ).fillna(0, ["__off"])
+    out = ranged.join(F.broadcast(offsets), "__pid")
+    return out.select(
+        (F.col("__off") + F.col("__local") + F.lit(1)).cast("long").alias(name),
+        *[c for c in df.columns],
+    )
+
+
 def report_lists(published: DataFrame, columns: Sequence[str], position: str = "position") -> DataFrame:
     out = None
     for c in columns:
-        lst = published.select(c).where(F.col(c).isNotNull()).distinct()
-        lst = lst.select(F.row_number().over(Window.orderBy(c)).cast("long").alias(position), c)
+        lst = ordinal(published.select(c).where(F.col(c).isNotNull()).distinct(), c, position)
         out = lst if out is None else out.join(lst, position, "full_outer")
     return out.select(position, *columns)
 

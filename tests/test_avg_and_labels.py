@@ -57,3 +57,13 @@ def test_report_lists_pad_short_lists(spark):
     assert len(out) == 6
     assert [r["region"] for r in out] == ["r0", "r1", None, None, None, None]
     assert [r["segment"] for r in out][:3] == ["s0", "s1", "s2"] and out[3]["segment"] is None
+
+
+def test_ordinal_is_dense_and_ordered(spark):
+    from rosband.plans.report import ordinal
+
+    df = spark.range(0, 1000).select((F.col("id") * 7 % 1000).cast("string").alias("k")).repartition(7)
+    out = ordinal(df, "k").collect()
+    pos = sorted((r["position"], r["k"]) for r in out)
+    assert [p for p, _ in pos] == list(range(1, 1001))
+    assert [k for _, k in pos] == sorted(k for _, k in pos)
