@@ -26,7 +26,7 @@ from rosband.plans.price_bands import BandStages, price_bands, with_price
 from rosband.plans.report import report_lists
 from rosband.schema import DEFAULT_QUANTILES, DimSpec, Thresholds
 from rosband.sources import retail
-from rosband.sources.selection import select_products, select_products_multi
+from rosband.sources.selection import select_products
 from rosband.sources.tables import read_table
 
 # Parameters of the test mapping (fixed; see FIXTURES.md section 3 and README).

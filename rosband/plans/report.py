@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rosband.operators.joins import materialize
 from rosband.sources.snapshot import write_dataset
 
 
@@ -46,9 +47,15 @@ def ordinal(df: DataFrame, order_by: str, name: str = "position") -> DataFrame:
 
 
 def report_lists(published: DataFrame, columns: Sequence[str], position: str = "position") -> DataFrame:
+    """Zip the sorted distinct members of ``columns`` by position.
+
+    The needed columns of ``published`` are written once (a published table is
+    bounded by cells x bands) so the lists do not each re-run the job behind it.
+    """
+    src = materialize(published.select(*columns))
     out = None
     for c in columns:
-        lst = ordinal(published.select(c).where(F.col(c).isNotNull()).distinct(), c, position)
+        lst = ordinal(src.select(c).where(F.col(c).isNotNull()).distinct(), c, position)
         out = lst if out is None else out.join(lst, position, "full_outer")
     return out.select(position, *columns)
 
