@@ -18,10 +18,31 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rosband.session import checkpoint_dir
 
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 256 << 20
+
+# paths written by ``materialize`` in this process, for ``release``
+_WRITTEN: list[str] = []
+
+_WIDTH = {"LongType": 8, "DoubleType": 8, "DateType": 4, "IntegerType": 4, "BooleanType": 1, "StringType": 32,
+          "TimestampType": 8, "TimestampNTZType": 8}
+
+
+def row_width(schema: T.StructType) -> int:
+    """Estimated in-memory bytes per row (strings at 32 bytes, arrays at 8 elements)."""
+
+    def w(dt) -> int:
+        if isinstance(dt, T.ArrayType):
+            return 16 + 8 * w(dt.elementType)
+        if isinstance(dt, T.StructType):
+            return sum(w(f.dataType) for f in dt.fields)
+        return _WIDTH.get(type(dt).__name__, 16)
+
+    return 8 + sum(w(f.dataType) for f in schema.fields)
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -36,11 +57,28 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/rosband-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.append(path)
     return spark.read.parquet(path)
 
 
-def broadcast_if_small(small: DataFrame, max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Return ``broadcast(small)`` when its measured row count is under ``max_rows``.
+def release(spark, paths: list[str] | None = None) -> int:
+    """Delete intermediates this process wrote (all, or ``paths``) once their results are consumed."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    todo = list(_WRITTEN) if paths is None else [p for p in paths if p in _WRITTEN]
+    n = 0
+    for path in todo:
+        _WRITTEN.remove(path)
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        n += bool(p.getFileSystem(conf).delete(p, True))
+    return n
+
+
+def broadcast_if_small(
+    small: DataFrame, max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES
+) -> DataFrame:
+    """Return ``broadcast(small)`` when its measured row count is under ``max_rows``
+    and the estimated size (rows x ``row_width``) is under ``max_bytes``.
 
     ``small`` should already be materialised (``materialize``): the count is then a
     metadata-cheap scan of the checkpoint files.  ``max_rows=None`` leaves the
@@ -53,7 +91,8 @@ def broadcast_if_small(small: DataFrame, max_rows: int | None = DEFAULT_MAX_BROA
     if max_rows <= 0:
         return small.hint("shuffle_merge")
     n = small.count()
-    return F.broadcast(small) if n <= max_rows else small.hint("shuffle_merge")
+    fits = n <= max_rows and n * row_width(small.schema) <= max_bytes
+    return F.broadcast(small) if fits else small.hint("shuffle_merge")
 
 
 def attach(

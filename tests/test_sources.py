@@ -74,3 +74,18 @@ def test_report_sinks_write_datasets(spark, tmp_path):
     write_report({"OT_Data": df}, str(tmp_path / "csv"), fmt="csv")
     assert spark.read.parquet(str(tmp_path / "parquet" / "lists")).count() == 1
     assert spark.read.option("header", "true").csv(str(tmp_path / "csv" / "OT_Data")).count() == 1
+
+
+def test_materialize_and_release(spark):
+    from rosband.operators import joins
+    from rosband.operators.joins import broadcast_if_small, materialize, release, row_width
+
+    df = materialize(spark.range(10).selectExpr("id", "cast(id as string) s"))
+    mine = joins._WRITTEN[-1]
+    assert df.count() == 10
+    assert row_width(df.schema) == 8 + 8 + 32
+    plan = df.join(broadcast_if_small(df, max_rows=100), "id")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    plan = df.join(broadcast_if_small(df, max_rows=100, max_bytes=100), "id")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan
+    assert release(spark, [mine]) == 1 and mine not in joins._WRITTEN
