@@ -45,7 +45,7 @@ def row_width(schema: T.StructType) -> int:
     return 8 + sum(w(f.dataType) for f in schema.fields)
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, partition_by: Sequence[str] | None = None) -> DataFrame:
     """Write an intermediate as Parquet under the reliable checkpoint dir and read it back.
 
     This cuts the lineage like ``checkpoint()`` but in a single job
@@ -53,10 +53,15 @@ def materialize(df: DataFrame) -> DataFrame:
     more to write the files), and the result is a plain Parquet scan whose
     later ``count()`` reads only footers.  The directory is the cluster's
     shared ``spark.checkpoint.dir``, so the data survives executor loss.
+    With ``partition_by`` the dataset is laid out in directories by those
+    columns, so later filters on them prune whole directories at the scan.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/rosband-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
     _WRITTEN.append(path)
     return spark.read.parquet(path)
 

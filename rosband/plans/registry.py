@@ -91,8 +91,9 @@ class Study:
 
     @cached_property
     def fact(self) -> DataFrame:
-        """The extract written once (the snapshot step); multi-job plans re-read it."""
-        return materialize(self.fact_lazy)
+        """The extract written once (the snapshot step), laid out by period so that a
+        period filter prunes directories; multi-job plans re-read it."""
+        return materialize(self.fact_lazy, partition_by=["period"])
 
     @cached_property
     def sales_extract(self) -> DataFrame:
@@ -100,7 +101,7 @@ class Study:
 
     @cached_property
     def multi(self) -> DataFrame:
-        return materialize(retail.sales_extract_multi(self.view))
+        return materialize(retail.sales_extract_multi(self.view), partition_by=["period"])
 
     @cached_property
     def multi_rules(self) -> DataFrame:
@@ -129,6 +130,18 @@ class Study:
     def clean(self) -> DataFrame:
         return remove_outliers(self.fact, OUTLIER_GROUPS_A, UNIT_RULES_A, OUTLIER_METRICS, 3)
 
+    @cached_property
+    def clean_in_periods(self) -> DataFrame:
+        """``clean`` restricted to the band periods, with the filter applied first.
+
+        Outlier groups contain the date, and a date lies in one period, so
+        filtering periods before the outlier step gives exactly the rows of
+        ``clean`` in those periods -- while the statistics jobs read only the
+        selected period directories.
+        """
+        in_periods = self.fact.where(F.col("period").isin(list(retail.PERIOD_FILTER)))
+        return remove_outliers(in_periods, OUTLIER_GROUPS_A, UNIT_RULES_A, OUTLIER_METRICS, 3)
+
     @cached_property
     def multi_clean(self) -> DataFrame:
         """Variant B rows: nulls removed, units converted; no sigma step (cells too thin)."""
@@ -137,11 +150,14 @@ class Study:
     # -- composites ------------------------------------------------------------
     @cached_property
     def bands(self) -> BandStages:
-        return price_bands(self.clean, period_filter=retail.PERIOD_FILTER, thresholds=self.thresholds)
+        return price_bands(self.clean_in_periods, period_filter=retail.PERIOD_FILTER, thresholds=self.thresholds)
 
     @cached_property
     def bands_nodim(self) -> BandStages:
-        return price_bands(self.clean, period_filter=retail.PERIOD_FILTER, dims=DimSpec(regions=(), segments=()), thresholds=self.thresholds)
+        return price_bands(
+            self.clean_in_periods, period_filter=retail.PERIOD_FILTER, dims=DimSpec(regions=(), segments=()),
+            thresholds=self.thresholds,
+        )
 
     @cached_property
     def bands_multi(self) -> BandStages:
