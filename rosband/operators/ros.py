@@ -1,10 +1,10 @@
 """Rate of sale: weekly sums and distinct outlets, period means, band counts.
 
-Everything about outlets is derived from one outlet-grain aggregate
-(``outlet_grain``: sums per key x date x outlet).  Its shuffle keys include the
-date and the outlet, so a hot cell is spread over many tasks, and the later
-counts of distinct outlets are plain counts over already de-duplicated rows
-(no ``count(DISTINCT)`` expansion).
+Everything about outlets is derived from an outlet-grain aggregate (sums per
+key x date x outlet; ``band_grain`` builds it together with the partner grain).
+Its shuffle keys include the date and the outlet, so a hot cell is spread over
+many tasks, and the later counts of distinct outlets are plain counts over
+already de-duplicated rows (no ``count(DISTINCT)`` expansion).
 """
 
 from __future__ import annotations
@@ -25,10 +25,46 @@ def outlet_grain(
     return rows.where(F.col(outlet).isNotNull()).groupBy(*by).agg(*[F.sum(m).alias(f"sum_{m}") for m in metrics])
 
 
+KIND = "__kind"
+OUTLET_ROWS, PARTNER_ROWS = 0, 1
+
+
+def band_grain(
+    rows: DataFrame, keys: Sequence[str], date: str, outlet: str, partner: str, measures: Sequence[str]
+) -> DataFrame:
+    """Both grains the band statistics need, from one pass over the rows.
+
+    ``GROUPING SETS ((keys, date, outlet), (keys, partner))`` with the measure
+    sums: outlet rows (``__kind`` 0) carry one row per key x date x outlet,
+    partner rows (``__kind`` 1) one row per key x partner.  One shuffle, with
+    map-side partial aggregation for both sets; the outlet set's keys include
+    the date and the outlet, so a hot cell is spread over many tasks.
+    """
+    r = rows.where(F.col(outlet).isNotNull() & F.col(partner).isNotNull())
+    agg = r.groupingSets([[*keys, date, outlet], [*keys, partner]], *keys, date, outlet, partner).agg(
+        *[F.sum(m).alias(f"sum_{m}") for m in measures],
+        F.grouping(partner).alias("__g"),
+    )
+    kind = F.when(F.col("__g") == 1, F.lit(OUTLET_ROWS)).otherwise(F.lit(PARTNER_ROWS))
+    return agg.withColumn(KIND, kind).drop("__g")
+
+
+def outlet_rows(grain: DataFrame, keys: Sequence[str], date: str, outlet: str, measures: Sequence[str]) -> DataFrame:
+    return grain.where(F.col(KIND) == OUTLET_ROWS).select(*keys, date, outlet, *[f"sum_{m}" for m in measures])
+
+
+def partner_rows(grain: DataFrame, keys: Sequence[str], partner: str, metric: str) -> DataFrame:
+    """Partner volumes per key (``dp_volume``), already aggregated."""
+    return grain.where(F.col(KIND) == PARTNER_ROWS).select(*keys, partner, F.col(f"sum_{metric}").alias("dp_volume"))
+
+
 def weekly_ros(grain: DataFrame, keys: Sequence[str], metrics: Sequence[str], outlet: str = "outlet") -> DataFrame:
-    """Per key (which includes the date): ``sum_<m>``, ``outlets`` and ``<m>_ros = sum / outlets``."""
+    """Per key (which includes the date): ``sum_<m>``, ``outlets`` and ``<m>_ros = sum / outlets``.
+
+    ``grain`` has one row per key x outlet, so the outlet count is a row count.
+    """
     agg = grain.groupBy(*keys).agg(
-        *[F.sum(f"sum_{m}").alias(f"sum_{m}") for m in metrics], F.count_distinct(outlet).alias("outlets")
+        *[F.sum(f"sum_{m}").alias(f"sum_{m}") for m in metrics], F.count(F.lit(1)).alias("outlets")
     )
     return agg.withColumns({f"{m}_ros": rate_of_sale(f"sum_{m}", "outlets") for m in metrics})
 

@@ -29,10 +29,10 @@ from pyspark.sql import functions as F
 
 from rosband.functions.measures import unit_price
 from rosband.operators.bands import assign_bands, band_prices, quantile_edges
-from rosband.operators.disclosure import partner_shares, partner_summary, partner_volumes, suppress
+from rosband.operators.disclosure import partner_shares, partner_summary, suppress
 from rosband.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, materialize
 from rosband.operators.rollup import Cells, expand_cells, expand_items
-from rosband.operators.ros import distinct_outlets, outlet_grain, period_ros, weekly_ros
+from rosband.operators.ros import band_grain, distinct_outlets, outlet_rows, partner_rows, period_ros, weekly_ros
 from rosband.schema import DEFAULT_METRICS, DEFAULT_QUANTILES, Columns, DimSpec, Thresholds, require_columns
 
 
@@ -105,21 +105,21 @@ def price_bands(
 
     # The banded rows feed four statistics.  Left lazy, each would rebuild them
     # (scan, joins, explode), because column pruning makes the branches differ
-    # and defeats exchange reuse.  They are aggregated once to the band x date x
-    # outlet x partner grain -- a shuffle keyed by outlet and date, so hot cells
-    # spread -- and written to the checkpoint directory; every statistic reads it.
-    grain = materialize(
-        outlet_grain(banded, band_keys, cols.date, cols.outlet, measures, partner=cols.data_partner)
-    )
-    weekly = weekly_ros(grain, [cols.date, *band_keys], metrics, cols.outlet)
+    # and defeats exchange reuse.  One grouping-sets aggregate builds both grains
+    # they need -- band x date x outlet sums and band x partner volumes -- and is
+    # written to the checkpoint directory; every statistic reads it.
+    grain = materialize(band_grain(banded, band_keys, cols.date, cols.outlet, cols.data_partner, measures))
+    by_outlet = outlet_rows(grain, band_keys, cols.date, cols.outlet, measures)
+    weekly = weekly_ros(by_outlet, [cols.date, *band_keys], metrics, cols.outlet)
     pros = period_ros(weekly, band_keys, metrics)
-    totals = distinct_outlets(grain, cell_keys, cols.outlet, "total_outlet_count")
-    outlets = distinct_outlets(grain, band_keys, cols.outlet, "outlet_count")
+    # band x outlet pairs, deduplicated once and shared by both outlet counts
+    pairs = by_outlet.select(*band_keys, cols.outlet).distinct()
+    outlets = pairs.groupBy(*band_keys).agg(F.count(F.lit(1)).alias("outlet_count"))
+    totals = distinct_outlets(pairs, cell_keys, cols.outlet, "total_outlet_count")
 
     # partner volumes: shares, the dominant partner and the partner count
-    shares = partner_shares(
-        partner_volumes(grain, band_keys, cols.data_partner, f"sum_{share_metric}"), band_keys
-    )
+    shares = partner_shares(partner_rows(grain, band_keys, cols.data_partner, share_metric), band_keys)
+
     # one summary row per band (partner count, unique top partner), used once per plan
     summary = partner_summary(shares, band_keys, cols.data_partner, tie_policy)
     has_top = F.col("nda_data_partner_with_max_share").isNotNull()
