@@ -17,14 +17,6 @@ from pyspark.sql import functions as F
 from rosband.functions.measures import rate_of_sale
 
 
-def outlet_grain(
-    rows: DataFrame, keys: Sequence[str], date: str, outlet: str, metrics: Sequence[str], partner: str | None = None
-) -> DataFrame:
-    """One row per key x date x outlet (x partner) with the metric sums (``sum_<m>``)."""
-    by = [*keys, date, outlet] + ([partner] if partner else [])
-    return rows.where(F.col(outlet).isNotNull()).groupBy(*by).agg(*[F.sum(m).alias(f"sum_{m}") for m in metrics])
-
-
 KIND = "__kind"
 OUTLET_ROWS, PARTNER_ROWS = 0, 1
 
