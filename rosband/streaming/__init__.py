@@ -1,6 +1,7 @@
 """Streaming: intentionally empty.
 
 The analysed workload is a batch job over a weekly sales snapshot; it has no
-event-time windows, watermarks or state.  New weeks are handled by re-running
-the batch plans, whose edges are per date so earlier weeks are unaffected.
+event-time windows, watermarks or state.  New weeks are handled by refreshing
+the extract snapshot (``sources.snapshot.snapshot(..., refresh=True)``) and
+re-running the batch plans.
 """
