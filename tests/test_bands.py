@@ -116,3 +116,19 @@ def test_multi_keep_all_regions_counts_each_row_once(spark):
     tot = {(r["region"], r["segment"]): r["total_outlet_count"] for r in st.totals.collect()}
     assert tot[("GB", "All Pubs")] == 8 and tot[("A", "S")] == 8 and tot[("B", "All Pubs")] == 8
     assert st.labelled.where("region = 'GB' AND segment = 'All Pubs'").count() == 8
+
+
+def test_edges_match_numpy_linear_percentile_with_ties(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    rows, expect = [], {}
+    for g in range(25):
+        n = int(rng.integers(1, 60))
+        vals = np.round(rng.choice([1.0, 2.5, 3.25, 7.0, 9.99], n) + rng.integers(0, 3, n), 2)  # many ties
+        rows += [(g, float(v)) for v in vals]
+        expect[g] = np.percentile(vals, [20, 40, 60, 80, 100], method="linear")
+    df = spark.createDataFrame(rows, "k int, price double")
+    got = {r["k"]: r["edges"] for r in quantile_edges(df, ["k"], DEFAULT_QUANTILES).collect()}
+    for g, e in expect.items():
+        assert np.allclose(got[g], e, rtol=0, atol=1e-9), (g, got[g], e)
