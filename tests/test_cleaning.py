@@ -84,3 +84,33 @@ def test_shuffle_fallback_gives_same_rows(sales):
     assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
     plan = big._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan
+
+
+def test_sigma_filter_matches_numpy(sales):
+    import numpy as np
+
+    rng = np.random.default_rng(11)
+    rows = []
+    for g in range(12):
+        n = int(rng.integers(1, 40))
+        for i in range(n):
+            value = float(rng.normal(100, 10)) if rng.random() > 0.05 else float(rng.normal(100, 10) * 8)
+            volume = float(rng.normal(50, 5)) if rng.random() > 0.05 else 900.0
+            rows.append((d(1 + g % 3), 2020, 1000 * g + i, "P" + str(g // 3), "R", "S", "a", value, 1.0, volume))
+    df = sales(rows)
+
+    def keep(group, metric):
+        x = np.array([r[{"value": 7, "volume": 9}[metric]] for r in group])
+        if len(x) < 2:
+            return []
+        m, s = x.mean(), x.std(ddof=1)
+        return [r for r, v in zip(group, x) if abs(m - v) < 3 * s]
+
+    groups = {}
+    for r in rows:
+        groups.setdefault((r[0], r[4], r[5], r[3]), []).append(r)
+    expected = set()
+    for grp in groups.values():
+        expected |= {r[2] for r in keep(keep(grp, "volume"), "value")}
+    got = {r["outlet"] for r in remove_outliers(df, G, metrics=["volume", "value"]).collect()}
+    assert got == expected
