@@ -1,6 +1,7 @@
 """Invariants of the published outputs and checks on the physical plans."""
 
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -56,3 +57,14 @@ def test_band_join_is_broadcast_and_rows_not_shuffled_for_it(study):
     plan = study.bands.banded._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
     assert "SortMergeJoin" not in plan
+
+
+def test_edges_shuffle_spreads_a_cell_by_price(spark):
+    from rosband.operators.bands import quantile_edges
+    from rosband.schema import DEFAULT_QUANTILES
+
+    df = spark.range(1000).selectExpr("id % 3 AS k", "cast(id % 97 AS double) AS price")
+    plan = quantile_edges(df, ["k"], DEFAULT_QUANTILES)._jdf.queryExecution().executedPlan().toString()
+    first = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert any("price" in keys for keys in first), first  # histogram shuffle keyed by (k, price)
+    assert "percentile" in plan
