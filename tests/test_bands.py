@@ -132,3 +132,12 @@ def test_edges_match_numpy_linear_percentile_with_ties(spark):
     got = {r["k"]: r["edges"] for r in quantile_edges(df, ["k"], DEFAULT_QUANTILES).collect()}
     for g, e in expect.items():
         assert np.allclose(got[g], e, rtol=0, atol=1e-9), (g, got[g], e)
+
+
+def test_single_dimension_cube(sales):
+    rows = [(d(1), 2020, i, "P", "R" + str(i % 2), "S", "a", float(i + 1), 1.0) for i in range(10)]
+    df = sales(rows).drop("segment")
+    st = price_bands(df, thresholds=LOW)
+    regions = {r["region"] for r in st.band_prices.collect()}
+    assert regions == {"R0", "R1", "GB"} and "segment" not in st.published.columns
+    assert st.totals.where("region = 'GB'").first()["total_outlet_count"] == 10
