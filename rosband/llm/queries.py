@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rosband.llm import bpe, simhash
+from rosband.llm import bpe, mixing, quality, simhash, winnow
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,10 +30,25 @@ def op7_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(documents(spark, sf_dir))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.digest(documents(spark, sf_dir))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.digest(documents(spark, sf_dir))
+
+
+def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_bpe_round_trip,
+        op4_quality_rules,
         op7_simhash_components,
+        op8_line_dedup,
+        op9_source_mix,
     )
 }

@@ -233,9 +233,9 @@ def groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
 def one_of_each(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """``docs`` with one row of each component: that of the smallest doc_id (one of equal ids)."""
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST_ID))
-    kept = groups(docs, shingle, max_bits).select(F.coalesce("component_id", F.lit(_LAST_ID)).alias("_first")).distinct()
-    keyed = docs.withColumn("_first", key)
-    return keyed.join(kept, "_first", "left_semi").dropDuplicates(["_first"]).select(*docs.columns)
+    kept = groups(docs, shingle, max_bits).select(F.coalesce("component_id", F.lit(_LAST_ID)).alias("__llm_first")).distinct()
+    keyed = docs.withColumn("__llm_first", key)
+    return keyed.join(kept, "__llm_first", "left_semi").dropDuplicates(["__llm_first"]).select(*docs.columns)
 
 
 def digest(docs: DataFrame) -> DataFrame:
