@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rosband.llm import bpe, mixing, quality, simhash, winnow
+from rosband.llm import bpe, langid, licenses, mixing, quality, simhash, winnow
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,14 @@ def op7_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(documents(spark, sf_dir))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.digest(documents(spark, sf_dir))
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(documents(spark, sf_dir))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(documents(spark, sf_dir))
 
@@ -46,7 +54,9 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_bpe_round_trip,
+        op3_language_id,
         op4_quality_rules,
+        op5_license_scan,
         op7_simhash_components,
         op8_line_dedup,
         op9_source_mix,
