@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rosband.llm import bpe, langid, licenses, mixing, quality, simhash, winnow
+from rosband.llm import bpe, langid, licenses, mixing, pii, quality, simhash, winnow
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,6 +50,10 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(documents(spark, sf_dir))
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -60,5 +64,6 @@ QUERIES: dict[str, Query] = {
         op7_simhash_components,
         op8_line_dedup,
         op9_source_mix,
+        op10_personal_data,
     )
 }
