@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rosband.llm import bpe, langid, licenses, mixing, pii, quality, simhash, winnow
+from rosband.llm import bpe, langid, licenses, mixing, pii, quality, simhash, spotsigs, winnow
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,10 @@ def op7_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(documents(spark, sf_dir))
 
 
+def op2_spot_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.digest(documents(spark, sf_dir))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.digest(documents(spark, sf_dir))
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_bpe_round_trip,
+        op2_spot_fingerprints,
         op3_language_id,
         op4_quality_rules,
         op5_license_scan,
