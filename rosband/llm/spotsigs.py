@@ -135,9 +135,7 @@ def edited(text: Column, n: Column, beginning: Column) -> Column:
 def digest(docs: DataFrame, chain: int = CHAIN) -> DataFrame:
     """Fingerprints of every text and of its edited text, and the likenesses."""
     keyed = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(_FIRST_ID)).alias("key"),
-        text_or_empty().alias("text"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(_FIRST_ID)).alias("key"), text_or_empty().alias("text")
     ).withColumn("text_hash", F.xxhash64("text"))
     order = written(in_order(docs), "neighbours")
     placed = keyed.join(order, ["key", "text_hash"])
@@ -148,16 +146,16 @@ def digest(docs: DataFrame, chain: int = CHAIN) -> DataFrame:
         F.substring("text", F.lit(1), F.floor(F.col("prev_n") / 2).cast("int")).alias("beginning"),
         signatures(F.col("text"), chain).alias("next_sigs"),
     )
-    both = placed.select("doc_id", "key", "text_hash", "n", "text").join(handed, ["key", "text_hash"])
+    both = placed.select("key", "text_hash", "n", "text").join(handed, ["key", "text_hash"])
     both = both.withColumn("other", edited(F.col("text"), F.col("n"), F.col("beginning")))
     sets = both.select(
-        "doc_id", "n", F.sha2("other", 256).alias("edited_sha256"), "next_sigs",
+        "key", "n", F.sha2("other", 256).alias("edited_sha256"), "next_sigs",
         F.inline(F.array(F.struct(
             signatures(F.col("text"), chain).alias("sigs"), signatures(F.col("other"), chain).alias("edited_sigs")
         ))),
     )
     return sets.select(
-        "doc_id",
+        F.expr(f"nullif(key, {_FIRST_ID + 1}L - 1L)").alias("doc_id"),
         F.col("n").cast("long").alias("n_chars"),
         "edited_sha256",
         fingerprint(F.col("sigs")).alias("fingerprint"),
