@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rosband.llm import bpe, langid, licenses, mixing, pii, quality, simhash, spotsigs, winnow
+from rosband.llm import bpe, langid, licenses, mixing, pii, quality, simhash, spotsigs, warc, winnow
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +46,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(documents(spark, sf_dir))
 
 
+def op6_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(pages(spark, sf_dir))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.digest(documents(spark, sf_dir))
 
@@ -66,6 +70,7 @@ QUERIES: dict[str, Query] = {
         op3_language_id,
         op4_quality_rules,
         op5_license_scan,
+        op6_warc_derivatives,
         op7_simhash_components,
         op8_line_dedup,
         op9_source_mix,
