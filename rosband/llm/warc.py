@@ -49,7 +49,6 @@ HIDDEN = frozenset("script style noscript template iframe object svg textarea".s
 _TAG = re.compile(r"""<(?:(/?)([A-Za-z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>?|!--|[!?][^>]*+>?)""")
 _HREF = re.compile(r"""(?<![^\s"'/])href\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))""", re.I)
 _LANG = re.compile(r"""(?<![^\s"'/])lang\s*+=\s*+["']?([A-Za-z0-9-]++)""", re.I)
-_SPACE = re.compile(r"[ \t\r\n\f\v ]+")
 
 
 def read_page(page: str) -> tuple[str, str, str, list[str]]:
