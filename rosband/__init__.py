@@ -6,7 +6,6 @@ Layout
 ``functions``  column-expression builders (labels, unit rules, band assignment)
 ``operators``  DataFrame -> DataFrame steps (outliers, roll-up expansion, edges, ROS, dominance, suppression)
 ``plans``      the composite jobs (price bands, average price, report lists)
-``streaming``  intentionally empty: the analysed workload is batch only
 """
 
 from rosband.schema import Columns, Thresholds

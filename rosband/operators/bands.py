@@ -4,34 +4,71 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosband.functions.bands import band_of, percentile_array
-from rosband.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, attach, materialize
+from rosband.operators.joins import attach, materialize
 
 EDGES = "edges"
 
 
-def quantile_edges(rows: DataFrame, keys: Sequence[str], quantiles: Sequence[float], price: str = "price") -> DataFrame:
-    """Exact quantiles (linear interpolation at q*(n-1)) of ``price`` per key.
+#: Price buckets per doubling of the price.
+BUCKETS = 64
+
+
+def price_bucket(price: Column) -> Column:
+    """A bucket number that never falls when the price rises (relative width 2^(1/64) away from 0)."""
+    magnitude = F.floor(F.log2(F.abs(price)) * BUCKETS)
+    # log2 of a double lies between -1,075 and 1,024, so shifted magnitudes are positive
+    shifted = magnitude + 1100 * BUCKETS
+    return F.when(price == 0, F.lit(0).cast("long")).when(price > 0, shifted).otherwise(-shifted)
+
+
+def price_histogram(rows: DataFrame, keys: Sequence[str], price: str = "price", count: Column | None = None) -> DataFrame:
+    """``keys, price, __n``: rows per price; ``count`` sums rows that were counted before."""
+    n = F.count(F.lit(1)) if count is None else F.sum(count)
+    return rows.where(F.col(price).isNotNull()).groupBy(*keys, price).agg(n.alias("__n"))
 
-    Two aggregation levels keep a hot cell off a single reducer:
 
-    1. a price histogram ``(key, price) -> rows`` -- shuffled by key *and* price,
-       so one cell's prices are spread over many tasks;
-    2. ``percentile(price, qs, frequency)`` per key.  Its partial states are built
-       from disjoint slices of the histogram, so the final merge for a cell
-       handles each distinct price once (instead of once per map task).
+def edges_from_histogram(hist: DataFrame, keys: Sequence[str], quantiles: Sequence[float], price: str = "price") -> DataFrame:
+    """Exact quantiles (linear interpolation at q*(n-1)) of ``price`` per key, by selecting ranks.
 
-    The state of a cell is bounded by its number of distinct prices, not rows.
-    Returns the keys plus ``edges: array<double>`` in the order of ``quantiles``.
+    ``hist`` (keys, price, __n) should be a written table; it is read twice.  Prices fall into buckets; the
+    bucket totals (a few hundred rows per key at most) show in which bucket each wanted rank lies, and only those
+    buckets are ordered by price.  No task ever holds the prices of a cell: the largest unit of work is one bucket.
     """
-    hist = rows.where(F.col(price).isNotNull()).groupBy(*keys, price).agg(F.count(F.lit(1)).alias("__n"))
-    return hist.groupBy(*keys).agg(
-        F.percentile(F.col(price), percentile_array(quantiles), F.col("__n")).alias(EDGES)
+    keys = list(keys)
+    qs = [float(q) for q in quantiles]
+    binned = hist.withColumn("__bucket", price_bucket(F.col(price)))
+    totals = binned.groupBy(*keys, "__bucket").agg(F.sum("__n").alias("__in"))
+    cell = Window.partitionBy(*keys)
+    upto = cell.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.withColumn("__before", F.coalesce(F.sum("__in").over(upto), F.lit(0))).withColumn("__all", F.sum("__in").over(cell))
+    places = [F.lit(q) * (F.col("__all") - 1) for q in qs]
+    ranks = F.array_distinct(F.array(*[f(p).cast("long") for p in places for f in (F.floor, F.ceil)]))
+    here = F.filter(ranks, lambda r: (r >= F.col("__before")) & (r < F.col("__before") + F.col("__in")))
+    wanted = totals.withColumn("__ranks", here).where(F.size("__ranks") > 0).drop("__in")
+    inside = Window.partitionBy(*keys, "__bucket").orderBy(price).rowsBetween(Window.unboundedPreceding, 0)
+    found = binned.join(wanted, [*keys, "__bucket"]).withColumn("__end", F.col("__before") + F.sum("__n").over(inside))
+    hit = F.filter("__ranks", lambda r: (r >= F.col("__end") - F.col("__n")) & (r < F.col("__end")))
+    found = found.select(*keys, "__all", F.col(price).alias("__p"), F.explode(hit).alias("__rank"))
+    picked = found.groupBy(*keys).agg(
+        F.first("__all").alias("__all"), F.map_from_entries(F.collect_list(F.struct("__rank", "__p"))).alias("__at")
     )
 
+    def edge(place: Column) -> Column:
+        low = F.element_at("__at", F.floor(place).cast("long"))
+        high = F.element_at("__at", F.ceil(place).cast("long"))
+        return low + (high - low) * (place - F.floor(place))
+
+    return picked.select(*keys, F.array(*[edge(p) for p in places]).alias(EDGES))
+
+
+def quantile_edges(rows: DataFrame, keys: Sequence[str], quantiles: Sequence[float], price: str = "price") -> DataFrame:
+    """Exact quantiles of ``price`` per key: ``edges: array<double>`` in the order of ``quantiles``."""
+    return edges_from_histogram(materialize(price_histogram(rows, keys, price)), keys, quantiles, price)
+
 
 def edges_wide(edges: DataFrame, keys: Sequence[str], quantiles: Sequence[float], prefix: str = "q") -> DataFrame:
     """One column per quantile (``q20`` ... ``q100``): the unstacked layout."""
@@ -62,21 +99,11 @@ def band_prices(edges: DataFrame, keys: Sequence[str], quantiles: Sequence[float
 
 
 def assign_bands(
-    rows: DataFrame,
-    edges: DataFrame,
-    keys: Sequence[str],
-    quantiles: Sequence[float],
-    price: str = "price",
-    max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
-    edges_materialized: bool = False,
+    rows: DataFrame, edges: DataFrame, keys: Sequence[str], quantiles: Sequence[float], price: str = "price"
 ) -> DataFrame:
     """Join every labelled row to its cell's edges of the same date; add ``percentile``.
 
-    The band is the first quantile whose edge is >= the price.  The edges table
-    has one row per cell and date; it is materialised, measured and broadcast so
-    the rows are never shuffled for this join.
+    The band is the first quantile whose edge is >= the price.
     """
-    if not edges_materialized:
-        edges = materialize(edges)
-    joined = attach(rows, edges, keys, "inner", max_rows)
+    joined = attach(rows, edges, keys)
     return joined.withColumn("percentile", band_of(F.col(price), F.col(EDGES), quantiles)).drop(EDGES)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosband.functions.units import UnitRule, apply_rules
-from rosband.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, attach, materialize
+from rosband.operators.joins import attach, materialize
 from rosband.schema import OUTLIER_DEFAULT_METRICS, Columns, require_columns
 
 
@@ -17,54 +17,39 @@ def drop_incomplete(df: DataFrame) -> DataFrame:
     return df.na.drop(how="any")
 
 
-def unit_volume(
-    df: DataFrame,
-    rules: Sequence[UnitRule] | DataFrame,
-    cols: Columns = Columns(),
-    max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
-) -> DataFrame:
+def unit_volume(df: DataFrame, rules: Sequence[UnitRule] | DataFrame, cols: Columns = Columns()) -> DataFrame:
     """Convert ``volume`` into serving units.
 
-    ``rules`` is either a sequence of ``UnitRule`` (applied in order) or a rule
-    table with columns ``product``, ``divisor`` (one row per product; a null
-    divisor means volume := quantity), joined with a size-checked broadcast.
+    ``rules`` is either a sequence of ``UnitRule`` (applied in order) or a rule table with columns
+    ``product``, ``divisor`` (null: volume := quantity) and optionally ``step``.  A product's rules are
+    applied one after the other by ``step``, then ascending divisor (nulls first), as the sequence form does;
+    the table is folded to one row per product, so no sale is repeated.
     """
     if isinstance(rules, DataFrame):
-        table = rules.select(
-            F.col("product").alias("__rule_product"),
-            F.col("divisor").cast("double").alias("__divisor"),
-            F.lit(True).alias("__has_rule"),
-        )
-        table = materialize(table)
-        joined = attach(
-            df.withColumn("__rule_product", F.col(cols.product)), table, ["__rule_product"], "left", max_rows
+        step = F.col("step") if "step" in rules.columns else F.lit(0)
+        rule = F.struct(step.cast("int").alias("step"), F.col("divisor").cast("double").alias("divisor"))
+        table = rules.groupBy(F.col("product").alias("__rule_product")).agg(F.array_sort(F.collect_list(rule)).alias("__rules"))
+        joined = attach(df.withColumn("__rule_product", F.col(cols.product)), table, ["__rule_product"], "left")
+        volume, quantity = F.col(cols.volume).cast("double"), F.col(cols.quantity).cast("double")
+        folded = F.aggregate(
+            "__rules", volume, lambda v, r: F.when(r["divisor"].isNull(), quantity).otherwise(v / r["divisor"])
         )
-        new_volume = (
-            F.when(~F.coalesce(F.col("__has_rule"), F.lit(False)), F.col(cols.volume))
-            .when(F.col("__divisor").isNull(), F.col(cols.quantity))
-            .otherwise(F.col(cols.volume) / F.col("__divisor"))
-        )
-        return joined.withColumn(cols.volume, new_volume).drop("__rule_product", "__divisor", "__has_rule")
+        new_volume = F.when(F.col("__rules").isNull(), volume).otherwise(folded)
+        return joined.withColumn(cols.volume, new_volume).drop("__rule_product", "__rules").select(*df.columns)
     expr = apply_rules(F.col(cols.product), F.col(cols.volume), F.col(cols.quantity), list(rules))
     return df.withColumn(cols.volume, expr)
 
 
-def _sigma_step(
-    df: DataFrame, group_columns: Sequence[str], metric: str, st_devs: float, max_rows: int | None
-) -> DataFrame:
+def _sigma_step(df: DataFrame, group_columns: Sequence[str], metric: str, st_devs: float) -> DataFrame:
     """Keep rows with ``|mean - x| < st_devs * stddev_samp`` within their group.
 
-    Mean and sample deviation come from a partial (map-side) aggregation and are
-    attached back with a measured broadcast join; a hot group never lands in a
-    single task as it would with a window over the group.
+    Mean and sample deviation come from a partial (map-side) aggregation and are joined back; a hot group
+    never lands in a single task as it would with a window over the group.
     """
-    stats = df.groupBy(*group_columns).agg(
-        F.avg(metric).alias("__mean"), F.stddev_samp(metric).alias("__std")
-    )
-    stats = materialize(stats)
-    joined = attach(df, stats, group_columns, "inner", max_rows)
+    stats = df.groupBy(*group_columns).agg(F.avg(metric).alias("__mean"), F.stddev_samp(metric).alias("__std"))
+    joined = attach(df, materialize(stats), group_columns)
     keep = F.abs(F.col("__mean") - F.col(metric)) < F.lit(float(st_devs)) * F.col("__std")
-    return joined.where(keep).drop("__mean", "__std")
+    return joined.where(keep).drop("__mean", "__std").select(*df.columns)
 
 
 def remove_outliers(
@@ -74,21 +59,21 @@ def remove_outliers(
     metrics: Sequence[str] | None = None,
     st_devs: float = 3,
     cols: Columns = Columns(),
-    max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Null removal, unit conversion, then one sigma filter per metric in order.
 
-    The second metric's statistics are computed on the rows that survived the
-    first.  Single-row groups (null deviation) and constant groups (zero
-    deviation) are removed, because the strict comparison is never true.
+    The second metric's statistics are computed on the rows that survived the first.  Single-row groups
+    (null deviation) and constant groups (zero deviation) are removed, because the strict comparison is never
+    true.  The input is read once per metric and once for the result: pass a written table (``materialize``)
+    when building it is expensive.
     """
     require_columns(df, list(group_columns))
     metrics = list(OUTLIER_DEFAULT_METRICS if metrics is None else metrics)
     out = drop_incomplete(df)
     if isinstance(unit_rules, DataFrame) or unit_rules:
-        out = unit_volume(out, unit_rules, cols, max_rows)
+        out = unit_volume(out, unit_rules, cols)
     for m in metrics:
-        out = _sigma_step(out, group_columns, m, st_devs, max_rows)
+        out = _sigma_step(out, group_columns, m, st_devs)
     return out
 
 
@@ -116,9 +101,8 @@ def continuous_items(
     columns exist, in frame order -- has strictly more than ``threshold`` distinct dates.
 
     Distinct dates come from a grouped aggregation (deduplicated map-side per
-    key and date).  The qualifying keys are materialised and applied with a
-    left-semi join: broadcast when their measured count is small, otherwise a
-    shuffle join whose hot partitions AQE's skew handling splits.
+    key and date).  The qualifying keys are written and applied with a left-semi
+    join, which the planner broadcasts or shuffles by their size.
     """
     wanted = {outlet_column, period_column, format_column, item_column}
     keys = [c for c in df.columns if c in wanted]

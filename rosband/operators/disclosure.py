@@ -11,11 +11,6 @@ from rosband.functions.measures import share, share_key, share_limit
 from rosband.schema import Thresholds
 
 
-def partner_volumes(rows: DataFrame, keys: Sequence[str], partner: str = "data_partner", metric: str = "volume") -> DataFrame:
-    """Volume per key and data partner (map-side combined: one row per partner per task)."""
-    return rows.where(F.col(partner).isNotNull()).groupBy(*keys, partner).agg(F.sum(metric).alias("dp_volume"))
-
-
 def partner_shares(volumes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add ``total_dp_volume``, ``dp_volume_share`` and ``data_partner_count``.
 
@@ -68,11 +63,6 @@ def partner_summary(shares: DataFrame, keys: Sequence[str], partner: str = "data
     )
 
 
-def dominant_partner(shares: DataFrame, keys: Sequence[str], partner: str = "data_partner", tie_policy: str = "drop") -> DataFrame:
-    """Keys that have a (unique, under ``"drop"``) largest partner, with that partner and share."""
-    return partner_summary(shares, keys, partner, tie_policy).where(F.col("nda_data_partner_with_max_share").isNotNull())
-
-
 def disclosure_flags(cells: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
     """Add one boolean per rule and their conjunction ``publish`` (null -> False)."""
     po = F.coalesce(F.col("outlet_count") >= F.lit(t.min_outlets), F.lit(False))

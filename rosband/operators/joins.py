@@ -1,111 +1,81 @@
-"""Attaching small aggregated tables back to row-level data.
-
-Group statistics (means, deviations, quantile edges, totals) are computed with
-partial aggregation and joined back to the rows.  Broadcasting the statistics
-avoids shuffling the rows at all and is immune to hot keys, but it is only
-safe while the statistics are small.  Their size is bounded by the number of
-cells (dates x items x dimension members), not by the number of rows, yet we
-still measure it before broadcasting: the table is materialised to the
-session's reliable checkpoint directory (it is reused anyway), counted, and
-broadcast only under ``max_rows``.  Beyond that the join is a plain shuffle
-join, and AQE's skew-join handling splits hot partitions of the row side.
+"""Intermediate tables and attaching group statistics to row-level data.
+
+Group statistics (means, deviations, quantile edges, totals) are computed with partial
+aggregation, written to the shared folder and joined back to the rows.  The written table is
+Parquet, so Spark knows its size: the planner and adaptive execution broadcast it below the
+session's threshold and otherwise run a shuffle join whose hot partitions they split.  No hint
+is given and no size is guessed here.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame, SparkSession
 
 from rosband.session import checkpoint_dir
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-DEFAULT_MAX_BROADCAST_BYTES = 256 << 20
 
-# paths written by ``materialize`` in this process, for ``release``
-_WRITTEN: list[str] = []
+class Datasets:
+    """The intermediate tables of one job; ``close`` deletes them.
+
+    ``with datasets.active():`` makes ``materialize`` register its tables here.  Close it when the job's
+    results have been consumed: lazy frames that read the tables fail afterwards.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
 
-_WIDTH = {"LongType": 8, "DoubleType": 8, "DateType": 4, "IntegerType": 4, "BooleanType": 1, "StringType": 32,
-          "TimestampType": 8, "TimestampNTZType": 8}
+    @contextmanager
+    def active(self) -> Iterator[Datasets]:
+        token = _OWNER.set(self)
+        try:
+            yield self
+        finally:
+            _OWNER.reset(token)
 
+    def path(self, prefix: str = "rosband") -> str:
+        """A fresh path in the shared folder that belongs to this job."""
+        path = f"{checkpoint_dir(self.spark)}/{prefix}-{uuid.uuid4().hex}"
+        self.paths.append(path)
+        return path
 
-def row_width(schema: T.StructType) -> int:
-    """Estimated in-memory bytes per row (strings at 32 bytes, arrays at 8 elements)."""
+    def close(self) -> int:
+        """Delete every table of the job; returns how many there were."""
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        n = 0
+        while self.paths:
+            p = jvm.org.apache.hadoop.fs.Path(self.paths.pop())
+            n += bool(p.getFileSystem(conf).delete(p, True))
+        return n
 
-    def w(dt) -> int:
-        if isinstance(dt, T.ArrayType):
-            return 16 + 8 * w(dt.elementType)
-        if isinstance(dt, T.StructType):
-            return sum(w(f.dataType) for f in dt.fields)
-        return _WIDTH.get(type(dt).__name__, 16)
 
-    return 8 + sum(w(f.dataType) for f in schema.fields)
+_OWNER: ContextVar[Datasets | None] = ContextVar("rosband_datasets", default=None)
 
 
 def materialize(df: DataFrame, partition_by: Sequence[str] | None = None) -> DataFrame:
-    """Write an intermediate as Parquet under the reliable checkpoint dir and read it back.
-
-    This cuts the lineage like ``checkpoint()`` but in a single job
-    (``checkpoint(eager=True)`` computes its input once for the count and once
-    more to write the files), and the result is a plain Parquet scan whose
-    later ``count()`` reads only footers.  The directory is the cluster's
-    shared ``spark.checkpoint.dir``, so the data survives executor loss.
-    With ``partition_by`` the dataset is laid out in directories by those
-    columns, so later filters on them prune whole directories at the scan.
+    """Write an intermediate as Parquet to the shared folder and read it back with its own schema.
+
+    This cuts the lineage like ``checkpoint()`` but in a single job (``checkpoint(eager=True)`` computes
+    its input twice), and the data survives the loss of executors.  With ``partition_by`` the dataset is
+    laid out in directories by those columns, so that filters on them prune whole directories.  The table
+    belongs to the active ``Datasets``; without one it stays until the folder is cleaned.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/rosband-{uuid.uuid4().hex}"
+    owner = _OWNER.get() or Datasets(spark)
+    path = owner.path()
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    _WRITTEN.append(path)
-    return spark.read.parquet(path)
-
-
-def release(spark, paths: list[str] | None = None) -> int:
-    """Delete intermediates this process wrote (all, or ``paths``) once their results are consumed."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    todo = list(_WRITTEN) if paths is None else [p for p in paths if p in _WRITTEN]
-    n = 0
-    for path in todo:
-        _WRITTEN.remove(path)
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        n += bool(p.getFileSystem(conf).delete(p, True))
-    return n
-
-
-def broadcast_if_small(
-    small: DataFrame, max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES
-) -> DataFrame:
-    """Return ``broadcast(small)`` when its measured row count is under ``max_rows``
-    and the estimated size (rows x ``row_width``) is under ``max_bytes``.
-
-    ``small`` should already be materialised (``materialize``): the count is then a
-    metadata-cheap scan of the checkpoint files.  ``max_rows=None`` leaves the
-    choice to the planner.  Above the limit the side is hinted ``shuffle_merge``
-    so that a plan-time estimate cannot broadcast it anyway; AQE's skew-join
-    handling then splits hot partitions of the row side.
-    """
-    if max_rows is None:
-        return small
-    if max_rows <= 0:
-        return small.hint("shuffle_merge")
-    n = small.count()
-    fits = n <= max_rows and n * row_width(small.schema) <= max_bytes
-    return F.broadcast(small) if fits else small.hint("shuffle_merge")
-
-
-def attach(
-    big: DataFrame,
-    small: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
-) -> DataFrame:
-    """Equi-join a measured small table onto row-level data."""
-    return big.join(broadcast_if_small(small, max_rows), list(on), how)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def attach(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join group statistics to row-level data; the planner chooses the strategy by size."""
+    return big.join(small, list(on), how)

@@ -42,29 +42,27 @@ def _entries(df: DataFrame, spec: DimSpec):
     """Yield (cell_id, {label_col: Column}, condition) for every grouping set."""
     regions = [c for c in spec.regions if c in df.columns]
     segments = [c for c in spec.segments if c in df.columns]
-    multi = len(regions) > 1 or len(segments) > 1
-    if not multi:
+    if not _shared(regions, segments, spec):
         dims = []
         if regions:
             dims.append((regions[0], spec.all_regions, True))
         if segments:
             dims.append((segments[0], spec.all_segments, False))
-        out_names = tuple(d[0] for d in dims)
+        names = label_names(df, spec)
         for mask in range(1 << len(dims)):
             labels, conds = {}, []
-            for bit, (col, all_label, is_region) in enumerate(dims):
+            for bit, ((col, all_label, is_region), name) in enumerate(zip(dims, names, strict=True)):
                 if mask >> bit & 1:
-                    labels[col] = F.lit(all_label)
+                    labels[name] = F.lit(all_label)
                 else:
-                    labels[col] = F.col(col)
+                    labels[name] = F.col(col)
                     conds.append(F.col(col).isNotNull())
                     if is_region and spec.not_member is not None:
                         conds.append(~F.col(col).eqNullSafe(spec.not_member))
             if mask >> 0 & 1 and regions and not spec.keep_all_regions:
                 continue
             yield mask, labels, conds
-        return out_names
-    out_names = (spec.region_out, spec.segment_out)
+        return
     rolled_pairs = [(False, False), (False, True)] + ([(True, False), (True, True)] if spec.keep_all_regions else [])
     for (i, rc), (j, sc), (r_all, s_all) in cartesian(enumerate(regions), enumerate(segments), rolled_pairs):
         # a rolled-up dimension gives the same cells whichever column it came from: emit once
@@ -84,15 +82,21 @@ def _entries(df: DataFrame, spec: DimSpec):
         else:
             slab = F.col(sc)
             conds.append(slab.isNotNull())
-        yield cid, {spec.region_out: rlab, spec.segment_out: slab}, conds
+        dim = F.lit(spec.all_regions if r_all else rc)
+        yield cid, {spec.region_dim_out: dim, spec.region_out: rlab, spec.segment_out: slab}, conds
+
+
+def _shared(regions: list[str], segments: list[str], spec: DimSpec) -> bool:
+    return len(regions) > 1 or len(segments) > 1 or (spec.shared_labels and bool(regions) and bool(segments))
 
 
 def label_names(df: DataFrame, spec: DimSpec) -> tuple[str, ...]:
     regions = [c for c in spec.regions if c in df.columns]
     segments = [c for c in spec.segments if c in df.columns]
-    if len(regions) > 1 or len(segments) > 1:
-        return (spec.region_out, spec.segment_out)
-    return tuple(([regions[0]] if regions else []) + ([segments[0]] if segments else []))
+    if _shared(regions, segments, spec):
+        return (spec.region_dim_out, spec.region_out, spec.segment_out)
+    own = [(c, out) for cols, out in ((regions, spec.region_out), (segments, spec.segment_out)) for c in cols[:1]]
+    return tuple(out if spec.shared_labels else c for c, out in own)
 
 
 def expand_cells(df: DataFrame, spec: DimSpec, carry: list[str]) -> Cells:

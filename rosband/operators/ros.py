@@ -1,7 +1,7 @@
 """Rate of sale: weekly sums and distinct outlets, period means, band counts.
 
 Everything about outlets is derived from an outlet-grain aggregate (sums per
-key x date x outlet; ``band_grain`` builds it together with the partner grain).
+key x date x outlet; ``two_grains`` builds it together with the partner grain).
 Its shuffle keys include the date and the outlet, so a hot cell is spread over
 many tasks, and the later counts of distinct outlets are plain counts over
 already de-duplicated rows (no ``count(DISTINCT)`` expansion).
@@ -21,19 +21,18 @@ KIND = "__kind"
 OUTLET_ROWS, PARTNER_ROWS = 0, 1
 
 
-def band_grain(
-    rows: DataFrame, keys: Sequence[str], date: str, outlet: str, partner: str, measures: Sequence[str]
+def two_grains(
+    rows: DataFrame, keys: Sequence[str], outlet_keys: Sequence[str], partner: str, measures: Sequence[str]
 ) -> DataFrame:
-    """Both grains the band statistics need, from one pass over the rows.
+    """Both grains the statistics of a cell need, from one pass over the rows.
 
-    ``GROUPING SETS ((keys, date, outlet), (keys, partner))`` with the measure
-    sums: outlet rows (``__kind`` 0) carry one row per key x date x outlet,
-    partner rows (``__kind`` 1) one row per key x partner.  One shuffle, with
-    map-side partial aggregation for both sets; the outlet set's keys include
-    the date and the outlet, so a hot cell is spread over many tasks.
+    ``GROUPING SETS ((keys, outlet_keys), (keys, partner))`` with the measure sums: outlet rows (``__kind`` 0) carry
+    one row per key and outlet (and date, where that is not a key), partner rows (``__kind`` 1) one row per key and
+    partner.  One shuffle, with map-side partial aggregation for both sets; the outlet set's keys include the
+    outlet, so a hot cell is spread over many tasks.
     """
-    r = rows.where(F.col(outlet).isNotNull() & F.col(partner).isNotNull())
-    agg = r.groupingSets([[*keys, date, outlet], [*keys, partner]], *keys, date, outlet, partner).agg(
+    r = rows.where(F.col(outlet_keys[-1]).isNotNull() & F.col(partner).isNotNull())
+    agg = r.groupingSets([[*keys, *outlet_keys], [*keys, partner]], *keys, *outlet_keys, partner).agg(
         *[F.sum(m).alias(f"sum_{m}") for m in measures],
         F.grouping(partner).alias("__g"),
     )
@@ -41,8 +40,9 @@ def band_grain(
     return agg.withColumn(KIND, kind).drop("__g")
 
 
-def outlet_rows(grain: DataFrame, keys: Sequence[str], date: str, outlet: str, measures: Sequence[str]) -> DataFrame:
-    return grain.where(F.col(KIND) == OUTLET_ROWS).select(*keys, date, outlet, *[f"sum_{m}" for m in measures])
+def outlet_rows(grain: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """Rows per ``keys`` (which end in the outlet)."""
+    return grain.where(F.col(KIND) == OUTLET_ROWS).select(*keys, *[f"sum_{m}" for m in measures])
 
 
 def partner_rows(grain: DataFrame, keys: Sequence[str], partner: str, metric: str) -> DataFrame:

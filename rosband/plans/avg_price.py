@@ -15,8 +15,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosband.functions.measures import rate_of_sale
-from rosband.operators.disclosure import partner_shares, partner_summary, partner_volumes, suppress
+from rosband.operators.disclosure import partner_shares, partner_summary, suppress
+from rosband.operators.joins import materialize
 from rosband.operators.rollup import Cells, expand_cells
+from rosband.operators.ros import outlet_rows, partner_rows, two_grains
 from rosband.plans.price_bands import with_price
 from rosband.schema import DEFAULT_METRICS, Columns, DimSpec, Thresholds, require_columns
 
@@ -45,26 +47,27 @@ def avg_price(
     require_columns(data, [cols.date, cols.outlet, cols.data_partner, cols.value, cols.quantity, cols.product, *metrics])
     prices = with_price(data, cols)
     measures = list(dict.fromkeys([*metrics, share_metric]))
-    carry = [cols.date, cols.product, cols.outlet, cols.data_partner, cols.price, *measures]
-    carry += [c for c in (*dims.regions, *dims.segments) if c in prices.columns]
-    cells = expand_cells(prices.select(*dict.fromkeys(carry)), dims, carry)
-    rows = cells.df
-    keys = [cols.date, cols.product, *cells.keys]
-
-    # outlet grain first: distinct outlets become a plain count, and the mean row
-    # price is carried as (sum, count) so it stays row-weighted
-    grain = rows.groupBy(*keys, cols.outlet).agg(
-        *[F.sum(m).alias(f"sum_{m}") for m in metrics],
+    members = [c for c in dict.fromkeys([*dims.regions, *dims.segments]) if c in prices.columns]
+    # one aggregate of the rows at the finest grain; the mean row price is carried as (sum, count) so it stays
+    # row-weighted; cells are made from these rows, and both grains of a cell come from one more aggregate
+    finest = [cols.date, cols.product, cols.outlet, cols.data_partner]
+    base = prices.groupBy(*finest, *members).agg(
+        *[F.sum(m).alias(m) for m in measures],
         F.sum(cols.price).alias("__price_sum"),
         F.count(cols.price).alias("__price_n"),
     )
-    shares = partner_shares(partner_volumes(rows, keys, cols.data_partner, share_metric), keys)
+    carried = [*measures, "__price_sum", "__price_n"]
+    cells = expand_cells(base, dims, [*finest, *carried, *members])
+    keys = [cols.date, cols.product, *cells.keys]
+    both = materialize(two_grains(cells.df, keys, [cols.outlet], cols.data_partner, carried))
+    grain = outlet_rows(both, [*keys, cols.outlet], carried)
+    shares = partner_shares(partner_rows(both, keys, cols.data_partner, share_metric), keys)
     summary = partner_summary(shares, keys, cols.data_partner, tie_policy)
     has_top = F.col("nda_data_partner_with_max_share").isNotNull()
     cube = grain.groupBy(*keys).agg(
         *[F.sum(f"sum_{m}").alias(f"sum_{m}") for m in metrics],
         F.count(F.lit(1)).alias("outlet_count"),
-        F.try_divide(F.sum("__price_sum"), F.sum("__price_n").cast("double")).alias("avg_price"),
+        F.try_divide(F.sum("sum___price_sum"), F.sum("sum___price_n").cast("double")).alias("avg_price"),
     )
     cube = cube.withColumns({f"{m}_ros": rate_of_sale(f"sum_{m}", "outlet_count") for m in metrics})
     # the partner summary is joined once; the cube query and the published rows prune it

@@ -13,57 +13,171 @@ all-region / all-segment roll-ups):
 5. the band price is the mean over the weeks of the cell's edge;
 6. cells are published only if they pass the disclosure rule.
 
-Plan shape: one ``explode`` expands rows into their cells; the edge table is
-aggregated (map-side partial ``percentile``), materialised and measured, then
-broadcast back to the rows.  All later statistics are ``groupBy`` aggregates
-of the banded rows; the final joins are between small per-band tables.
+Plan shape: prices are counted per date, item and dimension members before the roll-up cells
+are made from the counts, and edges are selected by rank from that histogram.  One ``explode``
+expands the rows into their cells for the bands; one grouping-sets aggregate of the banded
+rows feeds every later statistic.  Each stage is built when it is asked for: the edges, the
+banded rows' grains and what reads them write their intermediates then, other stages stay lazy.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosband.functions.measures import unit_price
-from rosband.operators.bands import assign_bands, band_prices, quantile_edges
+from rosband.operators.bands import assign_bands, band_prices, edges_from_histogram, price_histogram
 from rosband.operators.disclosure import partner_shares, partner_summary, suppress
-from rosband.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, materialize
-from rosband.operators.rollup import Cells, expand_cells, expand_items
-from rosband.operators.ros import band_grain, distinct_outlets, outlet_rows, partner_rows, period_ros, weekly_ros
+from rosband.operators.joins import materialize
+from rosband.operators.rollup import CELL_ID, Cells, expand_cells, expand_items
+from rosband.operators.ros import distinct_outlets, outlet_rows, partner_rows, period_ros, two_grains, weekly_ros
 from rosband.schema import DEFAULT_METRICS, DEFAULT_QUANTILES, Columns, DimSpec, Thresholds, require_columns
 
 
+def with_price(data: DataFrame, cols: Columns = Columns()) -> DataFrame:
+    return data.withColumn(cols.price, unit_price(cols.value, cols.quantity))
+
+
 @dataclass
 class BandStages:
-    """Every intermediate of the price-band job (all lazy except ``edges``)."""
-
-    cells: Cells
-    date_keys: list[str]
-    cell_keys: list[str]
-    band_keys: list[str]
-    edges: DataFrame
-    band_prices: DataFrame
-    totals: DataFrame
-    banded: DataFrame
-    weekly: DataFrame
-    period_ros: DataFrame
-    counts: DataFrame
-    shares: DataFrame
-    dominance: DataFrame
-    joined: DataFrame
-    published: DataFrame
-    outlet_totals: DataFrame
+    """The stages of the price-band job for prepared rows; every stage is a property."""
+
+    prices: DataFrame
+    quantiles: list[float]
+    metrics: list[str]
+    dims: DimSpec
+    cols: Columns
+    thresholds: Thresholds
+    tie_policy: str
+    share_metric: str
+
+    @property
+    def measures(self) -> list[str]:
+        return list(dict.fromkeys([*self.metrics, self.share_metric]))
+
+    @property
+    def _members(self) -> list[str]:
+        return [c for c in dict.fromkeys([*self.dims.regions, *self.dims.segments]) if c in self.prices.columns]
+
+    @cached_property
+    def cells(self) -> Cells:
+        c = self.cols
+        carry = [c.date, c.period, c.outlet, c.data_partner, c.price, "product_type", "product", *self.measures, *self._members]
+        return expand_cells(self.prices.select(*dict.fromkeys(carry)), self.dims, carry)
 
     @property
     def labelled(self) -> DataFrame:
         return self.cells.df
 
+    @property
+    def cell_keys(self) -> list[str]:
+        return [self.cols.period, "product_type", "product", *self.cells.keys]
 
-def with_price(data: DataFrame, cols: Columns = Columns()) -> DataFrame:
-    return data.withColumn(cols.price, unit_price(cols.value, cols.quantity))
+    @property
+    def date_keys(self) -> list[str]:
+        return [self.cols.date, *self.cell_keys]
+
+    @property
+    def band_keys(self) -> list[str]:
+        return [*self.cell_keys, "percentile"]
+
+    @cached_property
+    def histogram(self) -> DataFrame:
+        """Rows per price of every cell and date: counted per members first, then summed over the cells they are in."""
+        c = self.cols
+        keys = [c.date, c.period, "product_type", "product", c.price]
+        base = price_histogram(self.prices, [*keys[:-1], *self._members], c.price)
+        cells = expand_cells(base, self.dims, [*keys, "__n", *self._members]).df
+        return materialize(price_histogram(cells, self.date_keys, c.price, F.col("__n")))
+
+    @cached_property
+    def edges(self) -> DataFrame:
+        return materialize(edges_from_histogram(self.histogram, self.date_keys, self.quantiles, self.cols.price))
+
+    @cached_property
+    def band_prices(self) -> DataFrame:
+        return band_prices(self.edges, self.cell_keys, self.quantiles)
+
+    @cached_property
+    def banded(self) -> DataFrame:
+        return assign_bands(self.labelled, self.edges, self.date_keys, self.quantiles, self.cols.price)
+
+    @cached_property
+    def grain(self) -> DataFrame:
+        """Band x date x outlet sums and band x partner volumes, written: four statistics read them."""
+        c = self.cols
+        return materialize(two_grains(self.banded, self.band_keys, [c.date, c.outlet], c.data_partner, self.measures))
+
+    @cached_property
+    def weekly(self) -> DataFrame:
+        c = self.cols
+        rows = outlet_rows(self.grain, [*self.band_keys, c.date, c.outlet], self.measures)
+        return weekly_ros(rows, [c.date, *self.band_keys], self.metrics, c.outlet)
+
+    @cached_property
+    def period_ros(self) -> DataFrame:
+        return period_ros(self.weekly, self.band_keys, self.metrics)
+
+    @cached_property
+    def _pairs(self) -> DataFrame:
+        """Band x outlet pairs, shared by both outlet counts."""
+        c = self.cols
+        return outlet_rows(self.grain, [*self.band_keys, c.date, c.outlet], self.measures).select(*self.band_keys, c.outlet).distinct()
+
+    @cached_property
+    def outlets(self) -> DataFrame:
+        return self._pairs.groupBy(*self.band_keys).agg(F.count(F.lit(1)).alias("outlet_count"))
+
+    @cached_property
+    def totals(self) -> DataFrame:
+        return distinct_outlets(self._pairs, self.cell_keys, self.cols.outlet, "total_outlet_count")
+
+    @cached_property
+    def shares(self) -> DataFrame:
+        return partner_shares(partner_rows(self.grain, self.band_keys, self.cols.data_partner, self.share_metric), self.band_keys)
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        """One row per band: partner count and the unique top partner."""
+        return partner_summary(self.shares, self.band_keys, self.cols.data_partner, self.tie_policy)
+
+    @property
+    def dominance(self) -> DataFrame:
+        return self.summary.where(F.col("nda_data_partner_with_max_share").isNotNull())
+
+    @property
+    def counts(self) -> DataFrame:
+        return self.outlets.join(self.summary.select(*self.band_keys, "data_partner_count"), self.band_keys)
+
+    @property
+    def _head(self) -> list[str]:
+        ros = [f"{m}_ros" for m in self.metrics]
+        return [self.cols.period, "product", "product_type", *self.cells.labels, "percentile", "percentile_price", *ros]
+
+    @cached_property
+    def joined(self) -> DataFrame:
+        result = (
+            self.outlets.join(self.period_ros, self.band_keys)
+            .join(self.totals, self.cell_keys)
+            .join(self.dominance, self.band_keys)
+        )
+        return self.band_prices.join(result, self.band_keys, "left").select(
+            *self._head, "outlet_count", "total_outlet_count", "data_partner_count",
+            "nda_data_partner_with_max_share", "nda_max_data_partner_share", CELL_ID,
+        )
+
+    @cached_property
+    def published(self) -> DataFrame:
+        return suppress(self.joined, self.thresholds).select(*self._head, "outlet_count", "total_outlet_count")
+
+    @cached_property
+    def outlet_totals(self) -> DataFrame:
+        keys = [self.cols.period, "product", "product_type", *self.cells.labels, "total_outlet_count"]
+        return self.published.select(*keys).distinct()
 
 
 def price_bands(
@@ -78,87 +192,11 @@ def price_bands(
     thresholds: Thresholds = Thresholds(),
     tie_policy: str = "drop",
     share_metric: str = "volume",
-    max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> BandStages:
-    quantiles = [float(q) for q in quantiles]
-    metrics = list(metrics)
+    """The stages of the job; ``data`` is read several times, so pass a written table when it is expensive."""
     require_columns(data, [cols.date, cols.period, cols.outlet, cols.data_partner, cols.value, cols.quantity, *metrics, *item_columns])
-
     prices = with_price(data, cols)
     if period_filter is not None:
         prices = prices.where(F.col(cols.period).isin(list(period_filter)))
     prices = expand_items(prices, item_columns, items)
-
-    measures = list(dict.fromkeys([*metrics, share_metric]))
-    carry = [cols.date, cols.period, cols.outlet, cols.data_partner, cols.price, "product_type", "product", *measures]
-    carry += [c for c in (*dims.regions, *dims.segments) if c in prices.columns]
-    cells = expand_cells(prices.select(*dict.fromkeys(carry)), dims, carry)
-    labelled = cells.df
-
-    cell_keys = [cols.period, "product_type", "product", *cells.keys]
-    date_keys = [cols.date, *cell_keys]
-    band_keys = [*cell_keys, "percentile"]
-
-    edges = materialize(quantile_edges(labelled, date_keys, quantiles, cols.price))
-    bprices = band_prices(edges, cell_keys, quantiles)
-    banded = assign_bands(labelled, edges, date_keys, quantiles, cols.price, max_broadcast_rows, edges_materialized=True)
-
-    # The banded rows feed four statistics.  Left lazy, each would rebuild them
-    # (scan, joins, explode), because column pruning makes the branches differ
-    # and defeats exchange reuse.  One grouping-sets aggregate builds both grains
-    # they need -- band x date x outlet sums and band x partner volumes -- and is
-    # written to the checkpoint directory; every statistic reads it.
-    grain = materialize(band_grain(banded, band_keys, cols.date, cols.outlet, cols.data_partner, measures))
-    by_outlet = outlet_rows(grain, band_keys, cols.date, cols.outlet, measures)
-    weekly = weekly_ros(by_outlet, [cols.date, *band_keys], metrics, cols.outlet)
-    pros = period_ros(weekly, band_keys, metrics)
-    # band x outlet pairs, deduplicated once and shared by both outlet counts
-    pairs = by_outlet.select(*band_keys, cols.outlet).distinct()
-    outlets = pairs.groupBy(*band_keys).agg(F.count(F.lit(1)).alias("outlet_count"))
-    totals = distinct_outlets(pairs, cell_keys, cols.outlet, "total_outlet_count")
-
-    # partner volumes: shares, the dominant partner and the partner count
-    shares = partner_shares(partner_rows(grain, band_keys, cols.data_partner, share_metric), band_keys)
-
-    # one summary row per band (partner count, unique top partner), used once per plan
-    summary = partner_summary(shares, band_keys, cols.data_partner, tie_policy)
-    has_top = F.col("nda_data_partner_with_max_share").isNotNull()
-    dom = summary.where(has_top)
-    counts = outlets.join(summary.select(*band_keys, "data_partner_count"), band_keys, "inner")
-
-    result = (
-        outlets.join(pros, band_keys, "inner")
-        .join(totals, cell_keys, "inner")
-        .join(summary, band_keys, "inner")
-        .where(has_top)
-    )
-    joined = bprices.join(result, band_keys, "left")
-
-    labels = list(cells.labels)
-    ros_cols = [f"{m}_ros" for m in metrics]
-    head = [cols.period, "product", "product_type", *labels, "percentile", "percentile_price", *ros_cols]
-    joined = joined.select(
-        *head, "outlet_count", "total_outlet_count", "data_partner_count",
-        "nda_data_partner_with_max_share", "nda_max_data_partner_share", *cells.keys[:1],
-    )
-    published = suppress(joined, thresholds).select(*head, "outlet_count", "total_outlet_count")
-    outlet_totals = published.select(cols.period, "product", "product_type", *labels, "total_outlet_count").distinct()
-
-    return BandStages(
-        cells=cells,
-        date_keys=date_keys,
-        cell_keys=cell_keys,
-        band_keys=band_keys,
-        edges=edges,
-        band_prices=bprices,
-        totals=totals,
-        banded=banded,
-        weekly=weekly,
-        period_ros=pros,
-        counts=counts,
-        shares=shares,
-        dominance=dom,
-        joined=joined,
-        published=published,
-        outlet_totals=outlet_totals,
-    )
+    return BandStages(prices, [float(q) for q in quantiles], list(metrics), dims, cols, thresholds, tie_policy, share_metric)

@@ -1,10 +1,9 @@
 """The registered analyses over the star-schema test tables.
 
-``Study`` wires the library together with the parameters of the test mapping
-(FIXTURES.md section 3) and exposes every intermediate by name; each
-registered query is a property of a fresh ``Study``.  The extract is
-materialised once per study (the snapshot step of the analysed job), so the
-later statistics jobs re-read it instead of re-running the star join.
+``Study`` wires the library together with the parameters of the test mapping (FIXTURES.md section 3) and
+exposes every intermediate by name; each registered query is a property of a fresh ``Study``.  All of them start
+from the one extract with its date bound and positivity guards, written once per study (the snapshot step of the
+analysed job).  A study owns the intermediates it writes: ``study.datasets.close()`` deletes them.
 """
 
 from __future__ import annotations
@@ -15,18 +14,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rosband.functions.labels import product_label, two_way
 from rosband.functions.units import UnitRule
-from rosband.operators.cleaning import continuous_items, outlier_report, remove_outliers, unit_volume
 from rosband.operators.bands import edges_long, edges_wide
+from rosband.operators.cleaning import continuous_items, outlier_report, remove_outliers, unit_volume
 from rosband.operators.disclosure import disclosure_flags
-from rosband.operators.joins import materialize
+from rosband.operators.joins import Datasets, materialize
 from rosband.operators.rollup import CELL_ID
 from rosband.plans.avg_price import AvgStages, avg_price
+from rosband.plans.job import avg_report, price_report
 from rosband.plans.price_bands import BandStages, price_bands, with_price
 from rosband.plans.report import report_lists
-from rosband.schema import DEFAULT_QUANTILES, DimSpec, Thresholds
+from rosband.schema import DEFAULT_QUANTILES, MULTI_SCHEMA, SALES_SCHEMA, DimSpec, Thresholds
 from rosband.sources import retail
 from rosband.sources.selection import select_products
+from rosband.sources.snapshot import snapshot
 from rosband.sources.tables import read_table
 
 # Parameters of the test mapping (fixed; see FIXTURES.md section 3 and README).
@@ -36,37 +38,35 @@ UNIT_RULES_A = (UnitRule.per(PINT_TYPES, 568), UnitRule.as_quantity(QUANTITY_TYP
 OUTLIER_GROUPS_A = ("date", "region", "segment", "product")
 OUTLIER_METRICS = ("volume", "value")
 PRODUCT_SELECTION = ("STANDARD", "PROMO", "MEDIUM", "LARGE", "SMALL")
-EXTRACT_DATE_FROM = "1995-01-01"
+OUTLIER_GROUPS_B = ("date", "region1", "region2", "region3", "region4", "segment", "product")
+EXTRACT_DATE_FROM = "1995-02-01"  # the tables begin in January 1995
+FILTER_CATEGORIES = ("BUILDING", "MACHINERY")
+FILTER_COUNTRY = "EUROPE"
+ITEM_LEVELS = ("product", "product_group")
+ITEM_LIST = ("STANDARD", "SMALL", "Pints")
+TWICE_CONVERTED = "Draught Any Device pint"
 MULTI_REGIONS = ("region1", "region2", "region3", "region4")
 CONTINUITY_THRESHOLD = 2
 THRESHOLDS = Thresholds(50, 3, 0.5)
-# Variant B items are ~250 labelled products: cells are thin at test scale.
-THRESHOLDS_MULTI = Thresholds(10, 3, 0.5)
-THRESHOLDS_MULTI_AVG = Thresholds(5, 3, 0.5)
 
 
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round double columns for comparison with another engine.
-
-    Plain IEEE arithmetic (``floor(x * 10^d + 0.5) / 10^d``) gives the same bits
-    in every engine, unlike ``round``.  A first pass at 9 decimals folds the
-    last-ulp noise of order-dependent sums onto one value, so that exact
-    half-way values such as 61598.4840625 (a sum of cents over 32) round the
-    same way whatever the summation order.  Magnitudes where the scaled value
-    would pass 2^53 are left as they are.
+    """Round double columns to ``digits`` decimals, for reports and comparison with other engines.
+
+    ``floor(x * 10^d + 0.5) / 10^d`` in plain IEEE arithmetic gives the same bits in every engine, unlike ``round``;
+    ``floor`` is written with a remainder because Spark's ends at 2^63.  A first pass at three decimals more folds
+    the last-bit noise of sums whose order differs onto one value, so that half-way values round alike.
     """
 
-    def step(c, d, bound):
+    def step(c, d):
         scale = float(10**d)
-        r = F.floor(c * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
-        return F.when(F.abs(c) < F.lit(bound), r).otherwise(c)
-
-    def r(c):
-        return step(step(c, digits + 3, 9.0e6), digits, 9.0e9)
+        x = c * F.lit(scale) + F.lit(0.5)
+        r = x % F.lit(1.0)
+        return (x - r - F.when(r < 0, F.lit(1.0)).otherwise(F.lit(0.0))) / F.lit(scale)
 
-    return df.withColumns(
-        {f.name: r(F.col(f.name)) for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)}
-    )
+    return df.withColumns({
+        f.name: step(step(F.col(f.name), digits + 3), digits) for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)
+    })
 
 
 def without_cell_id(df: DataFrame) -> DataFrame:
@@ -78,6 +78,7 @@ class Study:
         self.spark = spark
         self.sf_dir = sf_dir
         self.thresholds = thresholds
+        self.datasets = Datasets(spark)
 
     # -- extracts ------------------------------------------------------------
     @cached_property
@@ -87,7 +88,7 @@ class Study:
     @cached_property
     def fact_lazy(self) -> DataFrame:
         """The extract as a plan, for queries that read it once."""
-        return retail.sales_extract(self.view, guards=False, with_calendar=False)
+        return retail.sales_extract(self.view, with_calendar=False, date_from=EXTRACT_DATE_FROM)
 
     @cached_property
     def fact(self) -> DataFrame:
@@ -97,11 +98,15 @@ class Study:
 
     @cached_property
     def sales_extract(self) -> DataFrame:
-        return retail.sales_extract(self.view, date_from=EXTRACT_DATE_FROM, guards=True)
+        return retail.sales_extract(self.view, date_from=EXTRACT_DATE_FROM)
+
+    @cached_property
+    def multi_lazy(self) -> DataFrame:
+        return retail.sales_extract_multi(self.view, date_from=EXTRACT_DATE_FROM)
 
     @cached_property
     def multi(self) -> DataFrame:
-        return materialize(retail.sales_extract_multi(self.view), partition_by=["period"])
+        return materialize(self.multi_lazy, partition_by=["period"])
 
     @cached_property
     def multi_rules(self) -> DataFrame:
@@ -123,7 +128,7 @@ class Study:
         measures = names.where(noun.isin("bolt", "rod")).select(
             F.upper("p_name").alias("sel_product"), F.lit("25ml").alias("sel_size"), F.lit(None).cast("string").alias("sel_format")
         )
-        return materialize(pints.unionByName(measures))
+        return pints.unionByName(measures)
 
     # -- cleaning ------------------------------------------------------------
     @cached_property
@@ -144,8 +149,13 @@ class Study:
 
     @cached_property
     def multi_clean(self) -> DataFrame:
-        """Variant B rows: nulls removed, units converted; no sigma step (cells too thin)."""
-        return remove_outliers(self.multi, ("date", *MULTI_REGIONS, "segment", "product"), self.multi_rules, (), 3)
+        return remove_outliers(self.multi, OUTLIER_GROUPS_B, self.multi_rules, OUTLIER_METRICS, 3)
+
+    @cached_property
+    def multi_clean_in_periods(self) -> DataFrame:
+        """``multi_clean`` in the band periods, filtered first (a quarter lies in one period)."""
+        in_periods = self.multi.where(F.col("period").isin(list(retail.PERIOD_FILTER)))
+        return remove_outliers(in_periods, OUTLIER_GROUPS_B, self.multi_rules, OUTLIER_METRICS, 3)
 
     # -- composites ------------------------------------------------------------
     @cached_property
@@ -159,9 +169,20 @@ class Study:
             thresholds=self.thresholds,
         )
 
+    @cached_property
+    def bands_items(self) -> BandStages:
+        """Two item levels and an item list."""
+        data = self.clean_in_periods.withColumn("product_group", two_way("product", PINT_TYPES, "Pints", "Others"))
+        return price_bands(
+            data, period_filter=retail.PERIOD_FILTER, item_columns=ITEM_LEVELS, items=ITEM_LIST, thresholds=self.thresholds
+        )
+
     @cached_property
     def bands_multi(self) -> BandStages:
-        return price_bands(self.multi_clean, period_filter=retail.PERIOD_FILTER, dims=DimSpec.multi(MULTI_REGIONS), thresholds=THRESHOLDS_MULTI)
+        return price_bands(
+            self.multi_clean_in_periods, period_filter=retail.PERIOD_FILTER, dims=DimSpec.multi(MULTI_REGIONS),
+            thresholds=self.thresholds,
+        )
 
     @cached_property
     def avg(self) -> AvgStages:
@@ -169,17 +190,33 @@ class Study:
 
     @cached_property
     def avg_multi(self) -> AvgStages:
-        return avg_price(self.multi_clean, dims=DimSpec.multi(MULTI_REGIONS), thresholds=THRESHOLDS_MULTI_AVG)
-
-
-def _q(build):
-    """Wrap a Study accessor as a registered query (fresh study, rounded doubles)."""
-
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return round_doubles(without_cell_id(build(Study(spark, sf_dir))))
-
-    run.__name__ = getattr(build, "__name__", "query")
-    return run
+        return avg_price(self.multi_clean, dims=DimSpec.multi(MULTI_REGIONS), thresholds=self.thresholds)
+
+    # -- the whole job, written and read back ---------------------------------------
+    def sheet(self, name: str, variant: str = "A") -> DataFrame:
+        """One dataset of the price (or, for ``avg``, the average) report of a variant."""
+        root = self.datasets.path("report")
+        multi = variant == "B"
+        common = {
+            "pull": lambda _spark: self.multi_lazy if multi else self.fact_lazy,
+            "groups": OUTLIER_GROUPS_B if multi else OUTLIER_GROUPS_A,
+            "rules": self.multi_rules if multi else UNIT_RULES_A,
+            "dims": DimSpec.multi(MULTI_REGIONS) if multi else DimSpec(),
+            "thresholds": self.thresholds,
+            "schema": MULTI_SCHEMA if multi else SALES_SCHEMA,
+        }
+        if name.startswith("avg"):
+            avg_report(self.spark, root, **common)
+        else:
+            price_report(self.spark, root, periods=retail.PERIOD_FILTER, **common)
+        return self.spark.read.parquet(f"{root}/{name.removeprefix('avg_')}")
+
+
+def owned(name: str, spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Datasets]:
+    """A registered query with the handle that deletes its intermediates once the result is consumed."""
+    study = Study(spark, sf_dir)
+    with study.datasets.active():
+        return round_doubles(without_cell_id(_BUILD[name](study))), study.datasets
 
 
 def _region_dims(s: Study) -> DataFrame:
@@ -196,76 +233,105 @@ def _part_items(s: Study) -> DataFrame:
 
 
 def _product_label(s: Study) -> DataFrame:
-    from rosband.functions.labels import product_label
-
     p = _part_items(s)
     return p.select("p_partkey", product_label("item", "size", "format", retail.LABELLED_FORMATS).alias("product"))
 
 
 def _snapshot_roundtrip(s: Study) -> DataFrame:
-    import uuid
-
-    from rosband.session import checkpoint_dir
-    from rosband.sources.snapshot import snapshot
-
-    path = f"{checkpoint_dir(s.spark).rstrip('/')}/snapshots/fact-{uuid.uuid4().hex}"
+    path = s.datasets.path("snapshot")
     calls = []
 
     def compute(_spark):
         calls.append(1)
-        return s.fact
+        return s.fact_lazy
 
     snapshot(s.spark, path, compute, partition_by=["period"])
     again = snapshot(s.spark, path, compute, partition_by=["period"])
     if len(calls) != 1:
         raise AssertionError("snapshot recomputed although complete")
-    return again.select(*s.fact.columns)
+    return again.select(*s.fact_lazy.columns)
+
+
+def _unit_volume_multi(s: Study) -> DataFrame:
+    """All serving sizes, and one product with two rules (divided twice)."""
+    rules = s.multi_rules.withColumn("step", F.lit(1))
+    twice = rules.where(F.col("product") == TWICE_CONVERTED).select("product", F.lit(25.0).alias("divisor"), F.lit(2).alias("step"))
+    return unit_volume(s.multi_lazy, rules.unionByName(twice))
 
 
 def _product_selection_multi(s: Study) -> DataFrame:
-    return retail.sales_extract_multi(s.view, selection=s.multi_selection())
+    return retail.sales_extract_multi(s.view, selection=s.multi_selection(), date_from=EXTRACT_DATE_FROM)
 
 
 def _suppression(s: Study) -> DataFrame:
     return disclosure_flags(s.avg.joined, s.thresholds)
 
 
-QUERIES = {
-    "sales_extract": _q(lambda s: s.sales_extract),
-    "sales_extract_multi": _q(lambda s: s.multi),
-    "product_selection": _q(lambda s: select_products(s.fact_lazy, PRODUCT_SELECTION)),
-    "product_selection_multi": _q(_product_selection_multi),
-    "region_dims": _q(_region_dims),
-    "product_rollup": _q(lambda s: _part_items(s).select("p_partkey", "p_name", F.col("item").alias("product"))),
-    "product_label": _q(_product_label),
-    "snapshot_roundtrip": _q(_snapshot_roundtrip),
-    "unit_volume": _q(lambda s: unit_volume(s.fact_lazy, UNIT_RULES_A)),
-    "unit_price": _q(lambda s: with_price(s.fact_lazy)),
-    "remove_outliers": _q(lambda s: s.clean),
-    "outlier_report": _q(lambda s: outlier_report(unit_volume(s.fact, UNIT_RULES_A), s.clean, ("product",))),
-    "continuous_items": _q(lambda s: continuous_items(s.fact, CONTINUITY_THRESHOLD, item_column="product")),
-    "label_expand": _q(lambda s: s.bands.labelled),
-    "price_quantile_cube": _q(lambda s: edges_wide(s.bands.edges, s.bands.date_keys, DEFAULT_QUANTILES)),
-    "price_quantile_nodim": _q(lambda s: edges_wide(s.bands_nodim.edges, s.bands_nodim.date_keys, DEFAULT_QUANTILES)),
-    "band_edges": _q(lambda s: edges_long(s.bands.edges, s.bands.date_keys, DEFAULT_QUANTILES)),
-    "band_assign": _q(lambda s: s.bands.banded),
-    "band_prices": _q(lambda s: s.bands.band_prices),
-    "outlet_count_cube": _q(lambda s: s.bands.totals),
-    "weekly_ros": _q(lambda s: s.bands.weekly),
-    "period_ros": _q(lambda s: s.bands.period_ros),
-    "band_counts": _q(lambda s: s.bands.counts),
-    "partner_share": _q(lambda s: s.bands.shares),
-    "partner_dominance": _q(lambda s: s.bands.dominance),
-    "band_prices_left": _q(lambda s: s.bands.joined),
-    "price_bands": _q(lambda s: s.bands.published),
-    "outlet_totals": _q(lambda s: s.bands.outlet_totals),
-    "price_bands_multi": _q(lambda s: s.bands_multi.published),
-    "outlet_totals_multi": _q(lambda s: s.bands_multi.outlet_totals),
-    "avg_price_cube": _q(lambda s: s.avg.cube),
-    "partner_share_daily": _q(lambda s: s.avg.shares),
-    "suppression": _q(_suppression),
-    "avg_price": _q(lambda s: s.avg.published),
-    "avg_price_multi": _q(lambda s: s.avg_multi.published),
-    "report_lists_prices": _q(lambda s: report_lists(s.bands.published, ["region", "segment", "product"])),
-    "report_lists_avg": _q(lambda s: report_lists(s.avg.published, ["region", "segment", "product", "date"])),
+_BUILD = {
+    "sales_extract": lambda s: s.sales_extract,
+    "sales_extract_multi": lambda s: s.multi_lazy,
+    "sales_extract_filtered": lambda s: retail.sales_extract(
+        s.view, date_from=EXTRACT_DATE_FROM, categories=FILTER_CATEGORIES, country=FILTER_COUNTRY, with_calendar=False
+    ),
+    "sales_extract_multi_filtered": lambda s: retail.sales_extract_multi(
+        s.view, date_from=EXTRACT_DATE_FROM, categories=FILTER_CATEGORIES[:1], country=FILTER_COUNTRY
+    ),
+    "product_selection": lambda s: select_products(s.fact_lazy, PRODUCT_SELECTION),
+    "product_selection_multi": _product_selection_multi,
+    "region_dims": _region_dims,
+    "product_rollup": lambda s: _part_items(s).select("p_partkey", "p_name", F.col("item").alias("product")),
+    "product_label": _product_label,
+    "snapshot_roundtrip": _snapshot_roundtrip,
+    "unit_volume": lambda s: unit_volume(s.fact_lazy, UNIT_RULES_A),
+    "unit_volume_multi": _unit_volume_multi,
+    "unit_price": lambda s: with_price(s.fact_lazy),
+    "remove_outliers": lambda s: s.clean,
+    "outlier_report": lambda s: outlier_report(unit_volume(s.fact, UNIT_RULES_A), s.clean, ("product",)),
+    "continuous_items": lambda s: continuous_items(s.fact, CONTINUITY_THRESHOLD, item_column="product"),
+    "label_expand": lambda s: s.bands.labelled,
+    "price_quantile_cube": lambda s: edges_wide(s.bands.edges, s.bands.date_keys, DEFAULT_QUANTILES),
+    "price_quantile_nodim": lambda s: edges_wide(s.bands_nodim.edges, s.bands_nodim.date_keys, DEFAULT_QUANTILES),
+    "band_edges": lambda s: edges_long(s.bands.edges, s.bands.date_keys, DEFAULT_QUANTILES),
+    "band_assign": lambda s: s.bands.banded,
+    "band_prices": lambda s: s.bands.band_prices,
+    "outlet_count_cube": lambda s: s.bands.totals,
+    "weekly_ros": lambda s: s.bands.weekly,
+    "period_ros": lambda s: s.bands.period_ros,
+    "band_counts": lambda s: s.bands.counts,
+    "partner_share": lambda s: s.bands.shares,
+    "partner_dominance": lambda s: s.bands.dominance,
+    "band_prices_left": lambda s: s.bands.joined,
+    "price_bands": lambda s: s.bands.published,
+    "outlet_totals": lambda s: s.bands.outlet_totals,
+    "price_bands_items": lambda s: s.bands_items.published,
+    "price_bands_multi": lambda s: s.bands_multi.published,
+    "outlet_totals_multi": lambda s: s.bands_multi.outlet_totals,
+    "avg_price_cube": lambda s: s.avg.cube,
+    "partner_share_daily": lambda s: s.avg.shares,
+    "suppression": _suppression,
+    "avg_price": lambda s: s.avg.published,
+    "avg_price_multi": lambda s: s.avg_multi.published,
+    "report_lists_prices": lambda s: report_lists(s.bands.published, ["region", "segment", "product"]),
+    "report_lists_avg": lambda s: report_lists(s.avg.published, ["region", "segment", "product", "date"]),
+    "job_prices": lambda s: s.sheet("PC_Data"),
+    "job_outlet_totals": lambda s: s.sheet("OT_Data"),
+    "job_lists": lambda s: s.sheet("lists"),
+    "job_edges": lambda s: s.sheet("edges"),
+    "job_banded": lambda s: s.sheet("banded"),
+    "job_totals": lambda s: s.sheet("totals"),
+    "job_prices_multi": lambda s: s.sheet("PC_Data", "B"),
+    "job_avg": lambda s: s.sheet("avg"),
+    "job_avg_lists": lambda s: s.sheet("avg_lists"),
+    "job_avg_multi": lambda s: s.sheet("avg", "B"),
 }
+
+
+def _query(name: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return owned(name, spark, sf_dir)[0]
+
+    run.__name__ = name
+    return run
+
+
+QUERIES = {name: _query(name) for name in _BUILD}

@@ -5,10 +5,10 @@ side (region, segment, product [, date]), padded with blanks.  Here each list
 is sorted ascending (first-appearance order is not defined on a distributed
 frame), numbered 1..n and the lists are full-outer-joined on that number.
 
-Numbering is distributed (``ordinal``): a range partitioning sorts the members
-across tasks, ``monotonically_increasing_id`` gives each row's position inside
-its partition, and a table with one row per partition (its row count) yields
-the partition offsets.  No task ever holds more than its own partition.
+Numbering is distributed (``ordinal``): a range partitioning sorts the members across
+tasks and the sorted partitions are written with their number and each row's place in
+them; sizes and offsets of the partitions come from that written table, so they always
+belong to the same partitioning.  No task ever holds more than its own partition.
 """
 
 from __future__ import annotations
@@ -26,20 +26,17 @@ def ordinal(df: DataFrame, order_by: str, name: str = "position") -> DataFrame:
     """Number the rows 1..n in ascending ``order_by`` order without a single-task window."""
     parts = max(1, df.sparkSession.sparkContext.defaultParallelism)
     ranged = df.repartitionByRange(parts, F.col(order_by).asc_nulls_last()).sortWithinPartitions(order_by)
-    ranged = ranged.select(
-        "*",
-        F.spark_partition_id().alias("__pid"),
-        F.monotonically_increasing_id().alias("__mid"),
-    )
-    # position inside the partition: the id's low 33 bits
-    ranged = ranged.withColumn("__local", F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33))
+    # a monotonic id is the partition's number and, in its low 33 bits, the row's place in the partition
+    ranged = ranged.withColumn("__mid", F.monotonically_increasing_id())
+    ranged = ranged.withColumn("__pid", F.shiftright("__mid", 33)).withColumn("__local", F.col("__mid") - F.shiftleft(F.col("__pid"), 33))
+    ranged = materialize(ranged.drop("__mid"))
     sizes = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     # one row per partition: a running sum over this tiny table gives each partition's offset
     offsets = sizes.select(
         "__pid",
         (F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1))).alias("__off"),
     ).fillna(0, ["__off"])
-    out = ranged.join(F.broadcast(offsets), "__pid")
+    out = ranged.join(offsets, "__pid")
     return out.select(
         (F.col("__off") + F.col("__local") + F.lit(1)).cast("long").alias(name),
         *[c for c in df.columns],

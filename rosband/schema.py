@@ -52,10 +52,11 @@ class DimSpec:
 
     ``regions`` / ``segments`` list candidate columns; only those present in the
     frame are used.  With one region and one segment column this is the cube of
-    variant A.  With several region columns every (region column, segment column)
-    pair is cubed and the region labels share one output column ``region``
-    (variant B); ``not_member`` rows are dropped and the all-regions roll-up is
-    omitted unless ``keep_all_regions``.
+    variant A.  With several region columns, or whenever ``shared_labels`` is set
+    (variant B), every (region column, segment column) pair is cubed and the region
+    labels share one output column ``region``; ``region_dim`` names the column that a
+    label came from, so equal labels of two region columns stay apart.  ``not_member``
+    rows are dropped and the all-regions roll-up is omitted unless ``keep_all_regions``.
     """
 
     regions: tuple[str, ...] = ("region",)
@@ -66,6 +67,8 @@ class DimSpec:
     keep_all_regions: bool = True
     region_out: str = "region"
     segment_out: str = "segment"
+    region_dim_out: str = "region_dim"
+    shared_labels: bool = False
 
     @staticmethod
     def multi(region_columns, segment_columns=("segment",)) -> "DimSpec":
@@ -74,6 +77,7 @@ class DimSpec:
             segments=tuple(segment_columns),
             not_member=NOT_MEMBER,
             keep_all_regions=False,
+            shared_labels=True,
         )
 
 
@@ -93,6 +97,11 @@ SALES_SCHEMA = T.StructType(
 )
 
 
+MULTI_SCHEMA = T.StructType(
+    [f for f in SALES_SCHEMA.fields if f.name != "region"] + [T.StructField(f"region{i}", T.StringType()) for i in range(1, 5)]
+)
+
+
 def require_columns(df: DataFrame, names) -> None:
     """Fail fast (at plan time, no job) when a needed column is missing."""
     missing = [n for n in names if n not in df.columns]

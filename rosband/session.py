@@ -1,8 +1,8 @@
 """Session helpers for tests, the bench and local runs.
 
-Library functions never build a session; they take DataFrames.  On a cluster
-the session comes from the platform and ``spark.checkpoint.dir`` names shared
-storage; we only set our own directory when the setting is absent (tests).
+Library functions never build a session; they take DataFrames.  On a cluster the
+session comes from the platform and ``spark.checkpoint.dir`` must name a folder
+that driver and executors share.
 """
 
 from __future__ import annotations
@@ -32,13 +32,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint directory, creating a scratch one only if unset."""
+    """The shared folder of the session, ``spark.checkpoint.dir``.
+
+    A missing setting is an error, but for a session in one process (local master, as in tests):
+    there every task sees the same disk, and a scratch folder is made once.
+    """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="rosband-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir()
+    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    if not current:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        current = tempfile.mkdtemp(prefix="rosband-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    return sc.getCheckpointDir().rstrip("/")

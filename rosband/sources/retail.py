@@ -1,12 +1,12 @@
-"""The weekly point-of-sale extract, built from the star-schema test tables.
+"""The point-of-sale extract over any sales view, and the star-schema view of the test tables.
 
-The analysed job pulls ``SUM`` of value, volume and quantity per
-(date, outlet, product, dimensions, data partner) from a database view.  Here
-the view is the join lineitem - orders - customer - nation - region - part,
-and the extract is a filtered ``groupBy().agg(sum)`` over it:
+The analysed job pulls ``SUM`` of value, volume and quantity per (date, outlet, product, dimensions,
+data partner) from a database view, filtered by date, category, products, country and positivity.
+``ViewSpec`` says which columns (or SQL expressions) of a view play these parts; ``extract`` filters and
+aggregates any view, be it a table, a JDBC frame (``sources.jdbc``) or the test join built here:
 
 ======================  ===================================================
-date                    first day of the month of ``l_shipdate`` (DATE)
+date                    first day of the month (A) or quarter (B) of ``l_shipdate``
 period / qtr / year     ``year`` / ``quarter`` / ``year`` of ``l_shipdate``
 outlet                  ``o_custkey``
 product                 ``p_type`` (variant A) or a rolled-up label (B)
@@ -17,25 +17,30 @@ value, quantity         ``sum(l_extendedprice)``, ``sum(l_quantity)``
 volume                  ``sum(l_quantity * 568)`` (millilitres)
 ======================  ===================================================
 
-``c_mktsegment`` is a grouping key that is not selected, like the
-unselected quality tier of the source job: rows are not re-aggregated over it.
+``c_mktsegment`` is a grouping key that is not selected, like the unselected quality tier of the source
+job: rows are not re-aggregated over it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosband.functions.labels import first_match, keyword_rollup, membership, product_label, two_way
 from rosband.schema import PINT_ML
-from rosband.sources.tables import read_table, spread
+from rosband.sources.selection import select_products_multi
+from rosband.sources.tables import read_table
 
 # Fixed values of the test mapping (FIXTURES.md section 3).
 CORE_SEGMENTS = ("AUTOMOBILE", "BUILDING")
 SEGMENT_IN, SEGMENT_OUT = "Core", "Other"
-ROLLUP_RULES = (("widget", "Any Widget"), ("gear", "Any Gear"), ("ring", "Any Ring"))
+ROLLUP_RULES = (
+    ("widget", "Any Device"), ("gear", "Any Device"), ("gizmo", "Any Device"), ("anvil", "Any Device"),
+    ("ring", "Any Fitting"), ("bolt", "Any Fitting"), ("rod", "Any Fitting"), ("plate", "Any Fitting"),
+)
 LABELLED_FORMATS = ("Draught", "Packaged")
 PERIOD_FILTER = (1995, 1999)
 
@@ -47,10 +52,8 @@ def source_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     broadcast; the fact-to-fact joins are left to the planner (sort-merge or
     shuffled hash join on the join keys, with AQE).
     """
-    li = spread(
-        read_table(spark, sf_dir, "lineitem").select(
-            "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"
-        )
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"
     )
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
@@ -67,87 +70,93 @@ def source_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _time_columns(ts: str = "l_shipdate") -> dict:
-    d = F.col(ts).cast("date")
-    return {
-        "date": F.trunc(d, "month"),
-        "period": F.year(d).cast("int"),
-        "qtr": F.quarter(d).cast("int"),
-        "year": F.year(d).cast("int"),
-    }
+@dataclass(frozen=True)
+class ViewSpec:
+    """The parts that a sales view's columns play; every field is a column name or SQL expression."""
 
-
-def _measures() -> list:
-    return [
-        F.sum("l_extendedprice").alias("value"),
-        F.sum("l_quantity").alias("quantity"),
-        F.sum(F.col("l_quantity") * F.lit(PINT_ML)).alias("volume"),
-    ]
-
-
-def _guards(view: DataFrame) -> DataFrame:
-    """Positivity guards on outlet id, product id and the three measures."""
-    return view.where(
-        (F.col("o_custkey") > 0)
-        & (F.col("l_partkey") > 0)
-        & (F.col("l_quantity") * F.lit(PINT_ML) > 0)
-        & (F.col("l_extendedprice") > 0)
-        & (F.col("l_quantity") > 0)
-    )
+    date: str = "l_shipdate"
+    outlet: str = "o_custkey"
+    product_id: str = "l_partkey"
+    product: str = "p_type"
+    category: str = "c_mktsegment"
+    country: str = "r_name"
+    data_partner: str = "cast(l_suppkey % 10 as string)"
+    value: str = "l_extendedprice"
+    quantity: str = "l_quantity"
+    volume: str = f"l_quantity * {PINT_ML}D"
+    hidden: tuple[str, ...] = ("c_mktsegment",)  # grouping keys that are not selected
 
 
-def segment_expr() -> F.Column:
-    return two_way("c_mktsegment", CORE_SEGMENTS, SEGMENT_IN, SEGMENT_OUT)
+STAR = ViewSpec()
 
 
-def sales_extract(
+def filtered(
     view: DataFrame,
+    spec: ViewSpec = STAR,
     date_from: str | None = None,
     categories: Sequence[str] | None = None,
     products: Sequence[str] | None = None,
+    country: str | None = None,
     guards: bool = True,
-    with_calendar: bool = True,
-    predicate: F.Column | None = None,
 ) -> DataFrame:
-    """Variant A extract: one region column, one two-way segment column.
-
-    ``date_from`` is a lower bound on the sale date, ``categories`` an IN-list
-    on the outlet category (``c_mktsegment``), ``products`` an IN-list on the
-    product.  All are plain predicates, pushed into the Parquet scan or the
-    JDBC query.  With ``guards`` the positivity filters are applied.
-    ``predicate`` is any further row filter on the view's columns (for example
-    a country equality on a source that has one).
+    """The rows of a sales view that an extract takes; all filters are plain predicates that reach the scan.
+
+    ``date_from`` is a lower bound on the sale date, ``categories`` an IN-list (or one value) on the outlet category,
+    ``products`` an IN-list, ``country`` an equality; ``guards`` keeps rows whose ids and measures are positive.
     """
     v = view
     if date_from is not None:
-        v = v.where(F.col("l_shipdate") >= F.lit(date_from).cast("timestamp_ntz"))
+        dtype = v.select(F.expr(spec.date)).schema[0].dataType.simpleString()
+        v = v.where(F.expr(spec.date) >= F.lit(date_from).cast(dtype))
     if categories is not None:
-        v = v.where(F.col("c_mktsegment").isin(list(categories)))
+        v = v.where(F.expr(spec.category).isin(list(categories)))
     if products is not None:
-        v = v.where(F.col("p_type").isin(list(products)))
-    if predicate is not None:
-        v = v.where(predicate)
+        v = v.where(F.expr(spec.product).isin(list(products)))
+    if country is not None:
+        v = v.where(F.expr(spec.country) == country)
     if guards:
-        v = _guards(v)
-    t = _time_columns()
-    keys = [t["date"].alias("date"), t["period"].alias("period")]
-    if with_calendar:
-        keys += [t["qtr"].alias("qtr"), t["year"].alias("year")]
-    keys += [
-        F.col("o_custkey").cast("long").alias("outlet"),
-        F.col("p_type").alias("product"),
-        F.col("r_name").alias("region"),
-        segment_expr().alias("segment"),
-        F.col("c_mktsegment").alias("__quality"),
-        (F.col("l_suppkey") % 10).cast("string").alias("data_partner"),
-    ]
-    out = v.groupBy(*keys).agg(*_measures()).drop("__quality")
-    return out
-
-
-def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The variant A frame used by every downstream query: no guards, no filters."""
-    return sales_extract(source_view(spark, sf_dir), guards=False, with_calendar=False)
+        for part in (spec.outlet, spec.product_id, spec.volume, spec.value, spec.quantity):
+            v = v.where(F.expr(part) > 0)
+    return v
+
+
+def extract(view: DataFrame, keys: Mapping[str, F.Column], spec: ViewSpec = STAR) -> DataFrame:
+    """Measure sums per ``keys`` (output names) and the view's hidden keys, which are dropped afterwards."""
+    hidden = {f"__hidden{i}": F.expr(h) for i, h in enumerate(spec.hidden)}
+    sums = [F.sum(F.expr(e)).alias(n) for n, e in (("value", spec.value), ("quantity", spec.quantity), ("volume", spec.volume))]
+    return view.groupBy(*[e.alias(n) for n, e in {**keys, **hidden}.items()]).agg(*sums).drop(*hidden)
+
+
+def _calendar(spec: ViewSpec, grain: str) -> dict[str, F.Column]:
+    d = F.expr(spec.date).cast("date")
+    return {
+        "date": F.trunc(d, grain),
+        "period": F.year(d).cast("int"),
+        "qtr": F.quarter(d).cast("int"),
+        "year": F.year(d).cast("int"),
+    }
+
+
+def segment_expr(category: str = "c_mktsegment") -> F.Column:
+    return two_way(F.expr(category), CORE_SEGMENTS, SEGMENT_IN, SEGMENT_OUT)
+
+
+def sales_extract(
+    view: DataFrame, spec: ViewSpec = STAR, region: str = "r_name", with_calendar: bool = True, **filters
+) -> DataFrame:
+    """Variant A extract: one region column, one two-way segment column.  ``filters`` are those of ``filtered``."""
+    t = _calendar(spec, "month")
+    if not with_calendar:
+        t = {k: t[k] for k in ("date", "period")}
+    keys = {
+        **t,
+        "outlet": F.expr(spec.outlet).cast("long"),
+        "product": F.expr(spec.product),
+        "region": F.expr(region),
+        "segment": segment_expr(spec.category),
+        "data_partner": F.expr(spec.data_partner),
+    }
+    return extract(filtered(view, spec, **filters), keys, spec)
 
 
 # ----------------------------------------------------------------------------
@@ -180,52 +189,45 @@ def item_columns() -> dict:
     }
 
 
-def sales_extract_multi(view: DataFrame, selection: DataFrame | None = None, guards: bool = False) -> DataFrame:
-    """Variant B extract: region1..region4, segment, labelled product.
+def sales_extract_multi(
+    view: DataFrame, selection: DataFrame | None = None, spec: ViewSpec = STAR, **filters
+) -> DataFrame:
+    """Variant B extract: region1..region4, segment, labelled product; dates are quarters.
 
-    ``selection`` (optional) is a multi-attribute selection table applied with
-    ``select_products_multi`` before aggregation.
+    ``selection`` (optional) is a multi-attribute selection table applied with ``select_products_multi`` before
+    aggregation; ``filters`` are those of ``filtered``.
     """
-    from rosband.sources.selection import select_products_multi
-
-    v = view.withColumns({k: e for k, e in item_columns().items() if k != "item"})
+    v = filtered(view, spec, **filters).withColumns({k: e for k, e in item_columns().items() if k != "item"})
     if selection is not None:
         v = select_products_multi(v, selection, product="p_name")
-    if guards:
-        v = _guards(v)
-    t = _time_columns()
-    reg = region_columns()
-    keys = [
-        t["date"].alias("date"),
-        t["period"].alias("period"),
-        F.col("o_custkey").cast("long").alias("outlet"),
-        F.col("p_name"),
-        F.col("size"),
-        F.col("format"),
-        *[e.alias(k) for k, e in reg.items()],
-        segment_expr().alias("segment"),
-        F.col("c_mktsegment").alias("__quality"),
-        F.col("n_nationkey").alias("__nation"),
-        (F.col("l_suppkey") % 10).cast("string").alias("data_partner"),
-    ]
-    out = v.groupBy(*keys).agg(*_measures())
+    t = _calendar(spec, "quarter")
+    keys = {
+        "date": t["date"],
+        "period": t["period"],
+        "outlet": F.expr(spec.outlet).cast("long"),
+        **{c: F.col(c) for c in ("p_name", "size", "format")},
+        **region_columns(),
+        "segment": segment_expr(spec.category),
+        "__nation": F.col("n_nationkey"),
+        "data_partner": F.expr(spec.data_partner),
+    }
+    out = extract(v, keys, spec)
     # roll-up after the aggregation: rolled-up names are not re-aggregated
     rolled = keyword_rollup("p_name", ROLLUP_RULES)
     out = out.withColumn("product", product_label(rolled, "size", "format", LABELLED_FORMATS))
-    return out.drop("p_name", "size", "format", "__quality", "__nation")
-
-
-def multi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sales_extract_multi(source_view(spark, sf_dir))
+    return out.drop("p_name", "size", "format", "__nation")
 
 
 def multi_unit_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Unit rule table for the labelled products, derived from ``part``.
-
-    Pint labels convert millilitres to pints, 25 ml labels to 25 ml measures.
-    """
+    """Unit rule table for the labelled products, derived from ``part``: millilitres of a serving by format and size."""
     part = read_table(spark, sf_dir, "part").select("p_name", "p_type", "p_size").withColumns(item_columns())
-    labels = part.select(product_label("item", "size", "format", LABELLED_FORMATS).alias("product"), "size").distinct()
-    return labels.select(
-        "product", F.when(F.col("size") == "pint", F.lit(PINT_ML)).otherwise(F.lit(25.0)).alias("divisor")
+    small, draught, packaged = F.col("size") == "25ml", F.col("format") == "Draught", F.col("format") == "Packaged"
+    divisor = (
+        F.when(small & packaged, F.lit(200.0))
+        .when(small, F.lit(25.0))
+        .when(draught, F.lit(PINT_ML))
+        .when(packaged, F.lit(330.0))
+        .otherwise(F.lit(500.0))
     )
+    label = product_label("item", "size", "format", LABELLED_FORMATS).alias("product")
+    return part.select(label, divisor.alias("divisor")).distinct()

@@ -1,8 +1,7 @@
-"""Product selection tables, applied as broadcast left-semi joins.
+"""Product selections: an IN predicate, or a rule table applied as a left-semi join.
 
-A selection is a short list of products (or product/size/format rules), so it
-is a small constant table: broadcasting it keeps the sales rows unshuffled.
-Its size is that of the literal list the caller passes in, not of the data.
+The semi join is an equi-join on the product with the nullable rules as a further condition,
+so the planner may broadcast the rules by their size or shuffle both sides.
 """
 
 from __future__ import annotations
@@ -13,8 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rosband.operators.joins import broadcast_if_small
-
 SELECTION_SCHEMA = T.StructType(
     [
         T.StructField("sel_product", T.StringType(), False),
@@ -50,7 +47,7 @@ def select_products_multi(
     unless ``case_insensitive`` is False.
     """
     norm = (lambda c: F.lower(c)) if case_insensitive else (lambda c: c)
-    sel = broadcast_if_small(selection, 100_000)
+    sel = selection
     cond = (
         (norm(df[product]) == norm(sel["sel_product"]))
         & (sel["sel_size"].isNull() | (norm(df[size]) == norm(sel["sel_size"])))

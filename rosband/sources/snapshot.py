@@ -3,14 +3,18 @@
 The analysed job keeps its extract as a local Parquet file and skips the pull
 when the file exists.  Here the snapshot is a Parquet *dataset* on shared
 storage; it counts as present only when Spark's ``_SUCCESS`` marker exists, so
-a job that died half-way is recomputed rather than read.
+a job that died half-way is recomputed rather than read.  The frame's schema is
+kept beside the data: values of partition directories come back with the types
+they were written with ("01" stays a string).
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def _complete(spark: SparkSession, path: str) -> bool:
@@ -28,12 +32,16 @@ def snapshot(
     refresh: bool = False,
 ) -> DataFrame:
     """Return the dataset at ``path``, computing and writing it first if needed."""
-    if refresh or not _complete(spark, path):
-        w = compute(spark).write.mode("overwrite")
+    schema_path = f"{path.rstrip('/')}/_schema"
+    if refresh or not _complete(spark, path) or not _complete(spark, schema_path):
+        df = compute(spark)
+        w = df.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
-    return spark.read.parquet(path)
+        spark.createDataFrame([(df.schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(schema_path)
+    schema = T.StructType.fromJson(json.loads(spark.read.text(schema_path).first()["value"]))
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
 def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] | None = None) -> None:

@@ -1,28 +1,9 @@
-"""Reading the driver's Parquet tables."""
+"""Reading Parquet tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-TABLES = (
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-    "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
-)
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin repartition a scan that yields fewer splits than the cluster has cores.
-
-    A Parquet file is split by row groups; a large single-row-group file gives
-    one task, which would run every narrow operator after the scan (joins,
-    partial aggregation) on one core.  At cluster scale a scan has far more
-    splits than cores and this is a no-op (no shuffle is added).
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df

@@ -16,7 +16,7 @@ HERE = os.path.dirname(os.path.abspath(__file__))
 ROOT = os.path.dirname(HERE)
 sys.path.insert(0, ROOT)
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "pages")
 
 
 def duck(sf_dir: str):
@@ -96,7 +96,7 @@ def main(argv):
 
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:]
-    spark = local_session(8, 8)
+    spark = local_session(os.environ.get("CHECK_CPUS", "8"), 8)
     con = duck(sf_dir)
     q, o = queries(), oracle_sql()
     bad = 0
