@@ -1,6 +1,8 @@
 """Average price, multi-region cells, labels, report lists."""
 
+import pytest
 from conftest import d
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rosband.functions.labels import keyword_rollup, product_label
@@ -59,11 +61,40 @@ def test_report_lists_pad_short_lists(spark):
     assert [r["segment"] for r in out][:3] == ["s0", "s1", "s2"] and out[3]["segment"] is None
 
 
-def test_ordinal_is_dense_and_ordered(spark):
+def test_multi_naming_with_one_region_column(spark):
+    schema = ("date date, period int, outlet long, product string, region1 string, segment string, "
+              "data_partner string, value double, quantity double, volume double")
+    rows = [(d(1), 2020, i, "P", "A" if i < 6 else "n", "S", "p" + str(i % 3), 1.0 + i, 1.0, 1.0) for i in range(10)]
+    df = spark.createDataFrame(rows, schema)
+    st = avg_price(df, dims=DimSpec.multi(["region1"]), thresholds=LOW)
+    got = {(r["region_dim"], r["region"], r["segment"]): r["outlet_count"] for r in st.cube.collect()}
+    assert got == {("region1", "A", "S"): 6, ("region1", "A", "All Pubs"): 6}
+
+
+def test_equal_labels_of_two_region_columns_stay_apart(spark):
+    schema = ("date date, period int, outlet long, product string, region1 string, region2 string, segment string, "
+              "data_partner string, value double, quantity double, volume double")
+    rows = [(d(1), 2020, i, "P", "North" if i < 6 else "n", "North" if i < 3 else "n", "S", "p", 1.0 + i, 1.0, 1.0) for i in range(9)]
+    st = avg_price(spark.createDataFrame(rows, schema), dims=DimSpec.multi(["region1", "region2"]), thresholds=LOW)
+    got = {(r["region_dim"], r["region"]): r["outlet_count"] for r in st.published.where("segment = 'S'").collect()}
+    assert got == {("region1", "North"): 6, ("region2", "North"): 3}
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_ordinal_is_dense_and_ordered(spark, reuse):
     from rosband.plans.report import ordinal
 
-    df = spark.range(0, 1000).select((F.col("id") * 7 % 1000).cast("string").alias("k")).repartition(7)
-    out = ordinal(df, "k").collect()
-    pos = sorted((r["position"], r["k"]) for r in out)
-    assert [p for p, _ in pos] == list(range(1, 1001))
-    assert [k for _, k in pos] == sorted(k for _, k in pos)
+    n = 300_000  # enough for the range partitioning to sample
+    df = spark.range(0, n).select((F.col("id") * 7 % n).cast("string").alias("k")).repartition(7)
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        got = ordinal(df, "k")
+        before = Window.orderBy("position")
+        out = got.select("position", "k", F.lag("k").over(before).alias("p"))
+        r = out.agg(
+            F.count_distinct("position").alias("d"), F.min("position").alias("a"), F.max("position").alias("b"),
+            F.sum((F.col("p") >= F.col("k")).cast("long")).alias("bad"),
+        ).first()
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    assert (r["d"], r["a"], r["b"], r["bad"]) == (n, 1, n, 0)

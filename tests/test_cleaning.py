@@ -63,6 +63,15 @@ def test_unit_rule_table(spark, sales):
     assert got == {"X": 2.0, "Z": 3.0, "Q": 50.0}
 
 
+def test_rule_table_with_two_rules_for_a_product(spark, sales):
+    df = sales([(d(1), 2020, 1, "X", "R", "S", "a", 1.0, 2.0, 568.0 * 330), (d(1), 2020, 2, "Y", "R", "S", "a", 1.0, 3.0, 50.0)])
+    rules = spark.createDataFrame([("X", 568.0), ("X", 330.0)], "product string, divisor double")
+    assert sorted((r["outlet"], r["volume"]) for r in unit_volume(df, rules).collect()) == [(1, 1.0), (2, 50.0)]
+    steps = spark.createDataFrame([("X", 568.0, 1), ("X", None, 2)], "product string, divisor double, step int")
+    assert unit_volume(df, steps).where("outlet = 1").first()["volume"] == 2.0  # the later rule takes the quantity
+    assert unit_volume(df, rules).columns == df.columns
+
+
 def test_null_in_unused_column_removes_row(sales):
     df = sales([(d(1), 2020, 1, "P", "R", "S", None, 1.0, 1.0, 1.0), (d(1), 2020, 2, "P", "R", "S", "a", 1.0, 1.0, 1.0)])
     assert drop_incomplete(df).count() == 1
@@ -75,15 +84,20 @@ def test_continuity_threshold_is_strict(sales):
     assert sorted({r["outlet"] for r in out.collect()}) == [2]
 
 
-def test_shuffle_fallback_gives_same_rows(sales):
+def test_shuffle_join_gives_same_rows(spark, sales):
     rows = [(d(1 + i % 2), 2020, i, "P", "R", "S", "a", float(10 + i % 5), 1.0, float(1 + i % 3)) for i in range(40)]
     rows.append((d(1), 2020, 99, "P", "R", "S", "a", 500.0, 1.0, 2.0))
     df = sales(rows)
-    small = remove_outliers(df, G, metrics=["value", "volume"])
-    big = remove_outliers(df, G, metrics=["value", "volume"], max_rows=0)  # never broadcast
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
-    plan = big._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in plan
+    small = sorted(map(tuple, remove_outliers(df, G, metrics=["value", "volume"]).collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = remove_outliers(df, G, metrics=["value", "volume"])
+        assert "SortMergeJoin" in big._jdf.queryExecution().executedPlan().toString()
+        assert small == sorted(map(tuple, big.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
 def test_sigma_filter_matches_numpy(sales):

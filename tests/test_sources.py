@@ -76,16 +76,86 @@ def test_report_sinks_write_datasets(spark, tmp_path):
     assert spark.read.option("header", "true").csv(str(tmp_path / "csv" / "OT_Data")).count() == 1
 
 
-def test_materialize_and_release(spark):
-    from rosband.operators import joins
-    from rosband.operators.joins import broadcast_if_small, materialize, release, row_width
-
-    df = materialize(spark.range(10).selectExpr("id", "cast(id as string) s"))
-    mine = joins._WRITTEN[-1]
-    assert df.count() == 10
-    assert row_width(df.schema) == 8 + 8 + 32
-    plan = df.join(broadcast_if_small(df, max_rows=100), "id")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
-    plan = df.join(broadcast_if_small(df, max_rows=100, max_bytes=100), "id")._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in plan
-    assert release(spark, [mine]) == 1 and mine not in joins._WRITTEN
+def test_job_handle_deletes_its_datasets(spark):
+    from rosband.operators.joins import Datasets, materialize
+
+    own, other = Datasets(spark), Datasets(spark)
+    with own.active():
+        df = materialize(spark.range(10).selectExpr("id", "cast(id as string) s"))
+        with other.active():
+            kept = materialize(spark.range(3))
+    assert df.count() == 10 and len(own.paths) == 1 and len(other.paths) == 1
+    path = own.paths[0]
+    assert own.close() == 1 and own.paths == []
+    assert not os.path.exists(path.removeprefix("file:"))
+    assert kept.count() == 3 and other.close() == 1
+
+
+def test_a_query_leaves_nothing_behind_once_closed(spark):
+    from rosband.plans.registry import owned
+
+    df, datasets = owned("price_bands", spark, "/root/testdata/sf0.001")
+    df.collect()
+    paths = list(datasets.paths)
+    assert paths and datasets.close() == len(paths)
+    assert not any(os.path.exists(p.removeprefix("file:")) for p in paths)
+
+
+def test_partition_values_keep_their_types(spark):
+    from rosband.operators.joins import materialize
+
+    df = spark.createDataFrame([("01", 1.0), ("02", 2.0)], "period string, v double")
+    assert sorted(map(tuple, materialize(df, ["period"]).select("period", "v").collect())) == [("01", 1.0), ("02", 2.0)]
+    path = os.path.join(tempfile.mkdtemp(prefix="rosband-snap-"), "s")
+    for _ in range(2):
+        got = snapshot(spark, path, lambda _s: df, partition_by=["period"])
+        assert got.schema == df.schema and sorted(r["period"] for r in got.collect()) == ["01", "02"]
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from rosband.session import checkpoint_dir
+
+    sc = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None, getConf=dict)
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(SimpleNamespace(sparkContext=sc))
+
+
+def test_extract_over_a_view_with_other_names(spark):
+    """A table of the source's shape (as a JDBC frame would have it) with its own column names."""
+    import datetime as dt
+
+    from rosband.sources import retail
+
+    rows = [(dt.date(2020, 1, 6), 1, 10, "Ale", "BUILDING", "UK", "North", "p1", 5.0, 2.0, 568.0),
+            (dt.date(2020, 1, 6), 1, 10, "Ale", "BUILDING", "UK", "North", "p1", 7.0, 1.0, 568.0),
+            (dt.date(2019, 1, 6), 1, 10, "Ale", "BUILDING", "UK", "North", "p1", 7.0, 1.0, 568.0),
+            (dt.date(2020, 1, 6), 0, 10, "Ale", "BUILDING", "UK", "North", "p1", 7.0, 1.0, 568.0),
+            (dt.date(2020, 1, 6), 2, 10, "Ale", "FOOD", "UK", "North", "p1", 7.0, 1.0, 568.0),
+            (dt.date(2020, 1, 6), 2, 10, "Ale", "BUILDING", "FR", "North", "p1", 7.0, 1.0, 568.0)]
+    view = spark.createDataFrame(
+        rows, "day date, shop long, item_no long, item string, kind string, land string, area string, partner string, "
+        "money double, pieces double, ml double")
+    spec = retail.ViewSpec("day", "shop", "item_no", "item", "kind", "land", "partner", "money", "pieces", "ml", hidden=("kind",))
+    got = retail.sales_extract(
+        view, spec, region="area", with_calendar=False, date_from="2020-01-01", categories=["BUILDING"], country="UK", products=["Ale"]
+    ).collect()
+    assert [(r["outlet"], r["region"], r["segment"], r["value"], r["quantity"], r["volume"]) for r in got] == [
+        (1, "North", "Core", 12.0, 3.0, 1136.0)
+    ]
+
+
+def test_whole_job_writes_and_csv(spark, sales, tmp_path):
+    from rosband.functions.units import UnitRule
+    from rosband.plans.job import price_report
+    from rosband.schema import Thresholds
+
+    rows = [(d(m), 2020, i, "P", "R" + str(i % 2), "S", "abc"[i % 3], float(10 + i % 7), 1.0 + i % 3) for m in (1, 2) for i in range(40)]
+    root = str(tmp_path / "job")
+    price_report(
+        spark, root, lambda _s: sales(rows), ["date", "region", "segment", "product"], [UnitRule.per(["P"], 2)], [2020],
+        thresholds=Thresholds(1, 1, 1.0), fmt="csv",
+    )
+    for name in ("PC_Data", "OT_Data", "lists", "edges", "banded", "totals"):
+        assert spark.read.option("header", "true").csv(f"{root}/{name}").count() > 0, name
