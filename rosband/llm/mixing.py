@@ -128,7 +128,7 @@ def select(
     leaves = written(thin.groupBy(*levels).agg(F.sum("n_tokens").alias("tokens")), "leaves")
     total = F.floor(F.sum("tokens") * F.lit(budget_share))
     quota = budgets(leaves, levels, total, epochs, weights or {})
-    whole = F.when(F.col("tokens") > 0, F.least(F.lit(epochs), F.floor(F.col("quota") / F.col("tokens")))).otherwise(F.lit(epochs))
+    whole = F.when(F.col("tokens") > 0, F.least(F.lit(epochs).cast("long"), F.expr("quota div tokens"))).otherwise(F.lit(epochs).cast("long"))
     plan = quota.withColumn("whole", whole.cast("long")).withColumn("rest", F.col("quota") - F.col("whole") * F.col("tokens"))
     plan = written(plan.select(*levels, "whole", "rest"), "plan")
 

@@ -8,10 +8,6 @@ Sets are compared pruned: the smaller size over the larger bounds the similarity
 below the threshold are never looked at.  For a threshold ``t`` all sets are partitioned by length so that sets
 of one partition and the next hold every pair that the bound allows (``length_class``).
 
-``near_duplicates`` joins all distinct sets: within length classes on the signatures of the sets' prefixes (a set with
-``n`` signatures must share one of its ``n - ceil(t n) + 1`` rarest with every set at ``t`` or more), with hot
-signatures in blocks, and returns the class of every document and its number of links.
-
 Defined cases: a null text is an empty text; a text without a whole chain has one signature, the hash of all its words,
 so equal texts are alike (1) and others are not (0); rows that share doc_id and text are one document in the order
 of documents, and each gets the result; among equal doc_id the order is by text hash; a null doc_id comes last;
