@@ -30,8 +30,7 @@ HEADLINE = (
 
 
 def main() -> None:
-    from __spark_entry__ import queries
-    from rosband.operators.joins import release
+    from rosband.plans.registry import owned
     from rosband.session import local_session
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -39,13 +38,13 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
     spark = local_session(cpus, int(cpus) if cpus != "*" else 8, app="rosband-bench")
-    q = queries()
 
     def run(name: str) -> float:
         t = time.perf_counter()
-        q[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        df, datasets = owned(name, spark, sf_dir)
+        df.write.format("noop").mode("overwrite").save()
         elapsed = time.perf_counter() - t
-        release(spark)  # drop this run's intermediates (not timed)
+        datasets.close()  # drop this run's intermediates (not timed)
         return elapsed
 
     for n in names:  # warm-up: JIT, file listing caches
