@@ -25,6 +25,7 @@ from __future__ import annotations
 import base64
 from array import array
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import islice
 
 import pyarrow as pa
@@ -33,10 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Entries a worker keeps in each of its tables before it starts them anew.
-CACHE_ENTRIES = 400_000
+#: Stretches and pieces that a worker remembers before it forgets the older half of them, and pairs of tokens.
+CACHE_ENTRIES = 300_000
+CACHE_PAIRS = 600_000
 #: Longer stretches are encoded without being kept.
 CACHE_CHARS = 48
+#: Rows that a task hands back at a time.
+_ROWS = 1000
 
 #: U+0020 before a non-space: the tokens on both sides never depend on each other.
 _STRETCH = regex.compile(r" (?=\S)")
@@ -57,15 +61,19 @@ class Vocabulary:
         for b, r in ranks.items():
             self.bytes_of[r] = b
         self.longest = max(map(len, ranks))
-        # every prefix of a token that BPE can produce -> the tokens it ends in, (length, id), longest first
+        self.sizes = list(map(len, self.bytes_of))
+        self._pairs: dict[int, bool] = {}
+
+    @cached_property
+    def ends(self) -> dict[bytes, tuple]:
+        """Every prefix of a token that BPE can produce -> the tokens it ends in, (length, id), longest first."""
+        ranks, out = self.rank, {}
         made = {b: r for b, r in ranks.items() if len(b) == 1 or self.merge(b) == [r]}
-        self.ends: dict[bytes, tuple] = {}
         for b in made:
             for k in range(1, len(b) + 1):
-                p = b[:k]
-                if p not in self.ends:
-                    self.ends[p] = tuple((len(q), made[q]) for q in (p[i:] for i in range(k)) if q in made)
-        self._pairs: dict[int, bool] = {}
+                if (p := b[:k]) not in out:
+                    out[p] = tuple((len(q), made[q]) for q in (p[i:] for i in range(k)) if q in made)
+        return out
 
     def merge(self, data: bytes) -> list[int]:
         """Plain BPE: join the adjacent pair of lowest rank, leftmost first, until none is left."""
@@ -87,46 +95,58 @@ class Vocabulary:
         known = self._pairs.get(key)
         if known is None:
             known = self.merge(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
-            if len(self._pairs) >= CACHE_ENTRIES:
+            if len(self._pairs) >= CACHE_PAIRS:
                 _forget(self._pairs)
             self._pairs[key] = known
         return known
 
 
+def _extend(vocabulary: Vocabulary, s: bytes, last: list[int]) -> None:
+    """Bring ``last`` (the last token of each prefix of ``s``) from its length to that of ``s``."""
+    ends, pairs = vocabulary.ends, vocabulary._pairs
+    start, depth = len(last), 0  # depth: bytes of the longest end of the prefix that begins a token
+    for d in range(min(start, vocabulary.longest), 0, -1):
+        if s[start - d : start] in ends:
+            depth = d
+            break
+    for end in range(start + 1, len(s) + 1):
+        depth += 1
+        found = ends.get(s[end - depth : end])
+        while found is None:
+            depth -= 1
+            found = ends.get(s[end - depth : end])
+        for size, token in found:
+            if size == end:
+                break
+            key = last[end - size - 1] << 32 | token
+            ok = pairs.get(key)
+            if ok or ok is None and vocabulary.neighbours(key >> 32, token):
+                break
+        last.append(token)
+
+
+def _follow(vocabulary: Vocabulary, last: list[int]) -> list[int]:
+    """The tokens, read from the last one backwards."""
+    out, end, size = [], len(last), vocabulary.sizes
+    while end:
+        token = last[end - 1]
+        out.append(token)
+        end -= size[token]
+    out.reverse()
+    return out
+
+
 class PrefixTable:
     """The last token of every prefix of a byte string (one piece of the splitting pattern)."""
 
     def __init__(self, vocabulary: Vocabulary, data: bytes = b""):
-        self.vocabulary, self.data, self.last = vocabulary, b"", array("i")
+        self.vocabulary, self.data, self.last = vocabulary, b"", []
         self.append(data)
 
     def append(self, data: bytes) -> None:
         """Exact append: the entries so far stay as they are."""
-        start = len(self.data)
         self.data += data
-        s, last, v = self.data, self.last, self.vocabulary
-        ends, pairs, neighbours = v.ends, v._pairs, v.neighbours
-        depth = 0  # of the longest end of s[:start] that begins a token
-        for d in range(min(start, v.longest), 0, -1):
-            if s[start - d : start] in ends:
-                depth = d
-                break
-        for end in range(start + 1, len(s) + 1):
-            depth += 1
-            found = ends.get(s[end - depth : end])
-            while found is None:
-                depth -= 1
-                found = ends.get(s[end - depth : end])
-            for size, token in found:
-                if size == end:
-                    break
-                before = last[end - size - 1]
-                ok = pairs.get(before << 32 | token)
-                if ok is None:
-                    ok = neighbours(before, token)
-                if ok:
-                    break
-            last.append(token)
+        _extend(self.vocabulary, self.data, self.last)
 
     def edit(self, start: int, end: int, replacement: bytes) -> None:
         """Replace ``data[start:end]``; prefixes before ``start`` keep their entries."""
@@ -140,12 +160,7 @@ class PrefixTable:
         whole = self.vocabulary.rank.get(self.data)
         if whole is not None:
             return [whole]
-        out, end, size = [], len(self.data), self.vocabulary.bytes_of
-        while end:
-            token = self.last[end - 1]
-            out.append(token)
-            end -= len(size[token])
-        return out[::-1]
+        return _follow(self.vocabulary, self.last)
 
 
 def _forget(table: dict) -> None:
@@ -178,14 +193,27 @@ class Codec:
         self.pieces = regex.compile(pattern).findall
         short = lambda key: len(key) <= CACHE_CHARS
         self._piece = _Kept(self._encode_piece, short)
-        self._stretch = _Kept(lambda part: self._encode_stretch(" " + part), short)
+        self._stretch = _Kept(self._encode_word, short)
+        self.letters_are_pieces = r"| ?\p{L}+|" in pattern
 
     def _encode_piece(self, piece: str) -> bytes:
-        return _packed(PrefixTable(self.vocabulary, piece.encode("utf-8", "surrogatepass")).tokens())
+        data = piece.encode("utf-8", "surrogatepass")
+        whole = self.vocabulary.rank.get(data)
+        if whole is not None:
+            return _packed([whole])
+        last: list[int] = []
+        _extend(self.vocabulary, data, last)
+        return _packed(_follow(self.vocabulary, last))
 
     def _encode_stretch(self, stretch: str) -> bytes:
         return b"".join(map(self._piece.__getitem__, self.pieces(stretch)))
 
+    def _encode_word(self, word: str) -> bytes:
+        """A stretch without its leading space.  Letters alone are one piece with that space."""
+        if self.letters_are_pieces and word.isalpha():
+            return self._piece[" " + word]
+        return self._encode_stretch(" " + word)
+
     def stretches(self, text: str) -> list[str]:
         """The text cut at every U+0020 before a non-space; all but the first have lost that space."""
         parts = text.split(" ")
@@ -265,34 +293,47 @@ def _read(path: str) -> bytes:
         return f.read()
 
 
-def _with_column(df: DataFrame, name: str, source: str, make) -> DataFrame:
-    """Add a binary column made from the column ``source`` batch by batch."""
-    names = [f.name for f in df.schema.fields if f.name != name]
-    schema = T.StructType([f for f in df.schema.fields if f.name != name] + [T.StructField(name, T.BinaryType(), False)])
+def _with_columns(df: DataFrame, names: list[str], source: str, make) -> DataFrame:
+    """Add binary columns made from the column ``source``; ``make()`` gives the function of a value to theirs."""
+    kept = [f for f in df.schema.fields if f.name not in names]
+    schema = T.StructType([*kept, *(T.StructField(n, T.BinaryType(), False) for n in names)])
+    old = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            values = batch.column(source)
-            made = pa.array((work(x.as_py()) for x in values), pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(n) for n in names] + [made], [*names, name])
+            for at in range(0, max(1, batch.num_rows), _ROWS):
+                part = batch.slice(at, _ROWS)
+                made = list(zip(*(work(x.as_py()) for x in part.column(source)), strict=True)) or [()] * len(names)
+                arrays = [pa.array(m, pa.binary()) for m in made]
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in old), *arrays], [*old, *names])
 
     return df.mapInArrow(run, schema)
 
 
-def encode(df: DataFrame, vocabulary_path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """Add the binary column ``ids``: the token ids of ``text``, 4 bytes each, little-endian.
+def encode(
+    df: DataFrame, vocabulary_path: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str | None = None
+) -> DataFrame:
+    """Add the binary column ``ids``: the token ids of ``text``, 4 bytes each, little-endian.  ``decoded`` names a
+    further column for the bytes that these ids decode to.
 
-    The vocabulary file (bounded: one line per token) is read on the driver and broadcast.  A column
-    already called ``ids`` is replaced.
+    The vocabulary file (bounded: one line per token) is read on the driver and broadcast.  Columns already
+    called so are replaced.
     """
     lines = df.sparkSession.sparkContext.broadcast(_read(vocabulary_path))
 
     def make():
         codec = _codec(lines.value, pattern)
-        return lambda x: codec.encode(x or "")
+        if decoded is None:
+            return lambda x: (codec.encode(x or ""),)
+
+        def both(x):
+            own = codec.encode(x or "")
+            return own, codec.decode(own)
+
+        return both
 
-    return _with_column(df, ids, text, make)
+    return _with_columns(df, [ids] if decoded is None else [ids, decoded], text, make)
 
 
 def decode(df: DataFrame, vocabulary_path: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -301,16 +342,17 @@ def decode(df: DataFrame, vocabulary_path: str, pattern: str, ids: str = "ids",
 
     def make():
         codec = _codec(lines.value, pattern)
-        return lambda x: codec.decode(x or b"")
+        return lambda x: (codec.decode(x or b""),)
 
-    return _with_column(df, out, ids, make)
+    return _with_columns(df, [out], ids, make)
 
 
 def digest(docs: DataFrame, vocabulary_path: str, pattern: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every text: encoded, then decoded from the ids."""
-    coded = encode(docs.select("doc_id", "text"), vocabulary_path, pattern).drop("text")
-    coded = coded.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
-    coded = coded.withColumn("ids_sha256", F.sha2("ids", 256))
-    return decode(coded, vocabulary_path, pattern).select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
+    coded = encode(docs.select("doc_id", "text"), vocabulary_path, pattern, decoded="decoded")
+    return coded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
