@@ -2,38 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rosband.operators.joins import materialize
+
 #: What separates words in the word-based operators: space and U+0009 to U+000D.
 WORD_SPLIT = r"[ \t-\r]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Only where the session has none (single-process tests) a scratch folder is made,
-    and only for a local master; on a cluster a missing setting is an error.
-    """
-    sc = spark.sparkContext
-    folder = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not sc.master.startswith("local[") and sc.master != "local":
-        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="llm-ckpt-"))
-    return sc.getCheckpointDir().rstrip("/")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write an intermediate table to the shared folder and read it back (cuts the lineage)."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def written(df: DataFrame) -> DataFrame:
+    """Write an intermediate table to the shared folder (``spark.checkpoint.dir``) and read it back: cuts the lineage.
+
+    The table belongs to the active ``Datasets`` handle, which deletes it when closed."""
+    return materialize(df)
 
 
 def text_or_empty(column: str = "text") -> Column:

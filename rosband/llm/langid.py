@@ -52,7 +52,7 @@ def sample(docs: DataFrame, rows: int = ROWS, row_chars: int = ROW_CHARS) -> Dat
     learn = learn.select(F.col("lang").cast("string").alias("lang"), F.xxhash64("text").alias("h"), "text")
     least = Window.partitionBy("lang").orderBy("h")
     chosen = learn.select("lang", "h").distinct().withColumn("n", F.row_number().over(least)).where(F.col("n") <= rows)
-    chosen = written(chosen.select("lang", "h"), "sample-keys")
+    chosen = written(chosen.select("lang", "h"))
     texts = learn.join(chosen, ["lang", "h"]).select("lang", "h", F.substring("text", 1, row_chars).alias("text"))
     return texts.dropDuplicates(["lang", "h"]).orderBy("lang", "h").select("lang", "text")
 

@@ -124,13 +124,13 @@ def select(
         n_tokens(text).alias("own_tokens"),
     )
     thin = thin.groupBy("doc_id", "text_hash", *levels).agg(F.first("own_tokens").alias("own_tokens"), F.count("*").alias("rows"))
-    thin = written(thin.withColumn("n_tokens", F.col("own_tokens") * F.col("rows")), "thin")
-    leaves = written(thin.groupBy(*levels).agg(F.sum("n_tokens").alias("tokens")), "leaves")
+    thin = written(thin.withColumn("n_tokens", F.col("own_tokens") * F.col("rows")))
+    leaves = written(thin.groupBy(*levels).agg(F.sum("n_tokens").alias("tokens")))
     total = F.floor(F.sum("tokens") * F.lit(budget_share))
     quota = budgets(leaves, levels, total, epochs, weights or {})
     whole = F.when(F.col("tokens") > 0, F.least(F.lit(epochs).cast("long"), F.expr("quota div tokens"))).otherwise(F.lit(epochs).cast("long"))
     plan = quota.withColumn("whole", whole.cast("long")).withColumn("rest", F.col("quota") - F.col("whole") * F.col("tokens"))
-    plan = written(plan.select(*levels, "whole", "rest"), "plan")
+    plan = written(plan.select(*levels, "whole", "rest"))
 
     order = F.md5(F.concat_ws(":", F.lit(seed), F.col("whole").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     placed = (

@@ -179,12 +179,12 @@ def score(spans: DataFrame, rounds: int = ROUNDS, prior: float = PRIOR) -> DataF
     words = F.array(F.concat(F.lit("<"), "before"), F.concat(F.lit(">"), "after"))
     edges = spans.select(F.explode(words).alias("pattern"), "instance", "kind").where(F.length("pattern") > 1).distinct()
     seed = F.max(F.col("kind").isNotNull()).alias("is_seed")
-    edges = written(edges, "edges")
+    edges = written(edges)
     known = edges.groupBy("pattern", "instance").agg(seed)
     pairs = known.join(edges.where("kind is not null").select("pattern", "kind").distinct(), "pattern")
     pairs = pairs.join(edges.withColumn("own", F.lit(1.0)), ["pattern", "instance", "kind"], "left")
     # a row for each pattern, instance and kind that the pattern has seeds of
-    pairs = written(pairs.select("pattern", "kind", "instance", "is_seed", F.coalesce("own", F.lit(0.0)).alias("score")), "pairs")
+    pairs = written(pairs.select("pattern", "kind", "instance", "is_seed", F.coalesce("own", F.lit(0.0)).alias("score")))
     graph = pairs
     for _ in range(rounds):
         pattern = graph.groupBy("pattern", "kind").agg(
@@ -195,7 +195,7 @@ def score(spans: DataFrame, rounds: int = ROUNDS, prior: float = PRIOR) -> DataF
         instance = rated.where("not is_seed").groupBy("instance", "kind").agg(
             (1 - F.exp(F.sum(F.log1p(-F.col("confidence"))))).alias("found"), F.max("seeds").alias("backing")
         )
-        instance = written(instance, "scores")
+        instance = written(instance)
         graph = (
             pairs.join(instance.drop("backing"), ["instance", "kind"], "left")
             .withColumn("score", F.when(F.col("is_seed"), F.col("score")).otherwise(F.coalesce("found", F.lit(0.0))))
@@ -206,7 +206,7 @@ def score(spans: DataFrame, rounds: int = ROUNDS, prior: float = PRIOR) -> DataF
 
 def discovered(rows: DataFrame, accept: float = ACCEPT, seeds: int = SEEDS) -> DataFrame:
     """``doc_id, text_hash, spans``: the accepted spans of unseen instances, as ``array<struct<kind, start, end>>``."""
-    spans = written(occurrences(rows), "spans")
+    spans = written(occurrences(rows))
     rated = score(spans).where((F.col("score") >= accept) & (F.col("backing") >= seeds))
     best = rated.groupBy("instance").agg(F.max(F.struct("score", "kind")).alias("best"))
     best = best.select("instance", F.col("best.kind").alias("kind"))
@@ -228,7 +228,7 @@ def listed(spans: dict[str, Column]) -> Column:
 
 def extract(docs: DataFrame) -> DataFrame:
     """``doc_id``, the base spans by kind and ``more`` (discovered spans with their kind) of every row of ``docs``."""
-    rows = written(entities(docs), "entities")
+    rows = written(entities(docs))
     more = discovered(rows)
     same = rows["doc_id"].eqNullSafe(more["doc_id"]) & (rows["text_hash"] == more["text_hash"])
     out = rows.join(more, same, "left")

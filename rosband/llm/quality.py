@@ -135,7 +135,7 @@ def verdicts(
     docs: DataFrame, min_docs: int = MIN_DOCS, share: float = HOST_SHARE, keep_words: float = KEEP_WORDS
 ) -> DataFrame:
     """Per row of ``docs``: the base counts, ``removed_words``, ``removed_at`` (line numbers) and ``kept``."""
-    counted = written(counts(docs), "lines")
+    counted = written(counts(docs))
     key = F.coalesce("doc_id", F.lit(_LAST_ID))
     above = lines_above(counted, min_docs, share)
     carried = counted.select("host", "text_hash", key.alias("key"), F.inline("lines"))

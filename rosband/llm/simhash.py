@@ -194,13 +194,13 @@ def components(edges: DataFrame) -> DataFrame:
     each round by a constant share for keys in random order, as fingerprints are."""
     maps: list[DataFrame] = []
     while True:
-        edges = written(edges, "edges")
+        edges = written(edges)
         if edges.isEmpty():
             break
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = written(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("up")), "least")
+        least = written(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("up")))
         twice = least.select(F.col("a").alias("up"), F.col("up").alias("top"))
-        step = written(least.join(twice, "up").select(F.col("a").alias("node"), F.col("top").alias("root")), "step")
+        step = written(least.join(twice, "up").select(F.col("a").alias("node"), F.col("top").alias("root")))
         maps.append(step)
         ends = edges.join(step.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a")
         ends = ends.join(step.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b")
@@ -217,12 +217,12 @@ def components(edges: DataFrame) -> DataFrame:
 
 def groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """``doc_id, fp, component_id`` for every row of ``docs``."""
-    fps = written(fingerprints(docs, shingle), "fingerprints")
+    fps = written(fingerprints(docs, shingle))
     key = F.coalesce(F.col("doc_id"), F.lit(_LAST_ID))
-    classes = written(fps.groupBy("fp").agg(F.min(key).alias("first_id")), "classes")
+    classes = written(fps.groupBy("fp").agg(F.min(key).alias("first_id")))
     roots = components(links(classes.select("fp"), max_bits)).withColumnRenamed("node", "fp")
     rooted = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    rooted = written(rooted, "rooted")
+    rooted = written(rooted)
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = rooted.join(least, "root").select("fp", "component_id")
     return fps.join(named, "fp").select(

@@ -102,7 +102,7 @@ def in_order(docs: DataFrame, parts: int | None = None) -> DataFrame:
     ).distinct()
     order = [F.col("key").desc(), F.col("text_hash")]
     count = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = written(thin.repartitionByRange(count, *order).withColumn("part", F.spark_partition_id()), "order")
+    ranged = written(thin.repartitionByRange(count, *order).withColumn("part", F.spark_partition_id()))
     own = F.struct("key", "text_hash", "n")
     inside = Window.partitionBy("part").orderBy(*order)
     least = F.struct(F.bitwise_not("key").alias("down"), F.col("text_hash").alias("h"))
@@ -133,7 +133,7 @@ def digest(docs: DataFrame, chain: int = CHAIN) -> DataFrame:
     keyed = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(_FIRST_ID)).alias("key"), text_or_empty().alias("text")
     ).withColumn("text_hash", F.xxhash64("text"))
-    order = written(in_order(docs), "neighbours")
+    order = written(in_order(docs))
     placed = keyed.join(order, ["key", "text_hash"])
     # what the document before needs of this one: as many first code points as it loses, and the signatures
     handed = placed.dropDuplicates(["key", "text_hash"]).select(

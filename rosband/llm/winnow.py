@@ -134,11 +134,11 @@ def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``key, text_hash, gone``: per document with a later repeat the line numbers to delete, ascending."""
-    seqs = written(_sequences(docs, min_words).dropDuplicates(["key", "text_hash"]), "sequences")
+    seqs = written(_sequences(docs, min_words).dropDuplicates(["key", "text_hash"]))
     places = seqs.select("key", "text_hash", F.inline("windows"))
     marks = places.groupBy("mark").agg(F.sum(F.col("fresh").cast("long")).alias("n")).where("n > 1").select("mark")
     shared = places.join(marks, "mark", "left_semi").select("content", "key", "text_hash", "start", "end")
-    shared = written(shared, "shared")
+    shared = written(shared)
     first = shared.groupBy("content").agg(F.min(F.struct("key", "text_hash", "start")).alias("first"), F.count("*").alias("n"))
     pairs = (
         shared.join(first.where("n > 1"), "content")
