@@ -34,8 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Stretches and pieces that a worker remembers before it forgets the older half of them, and pairs of tokens.
-CACHE_ENTRIES = 300_000
+#: Stretches and pairs of tokens that a worker remembers before it forgets the older half of them.
+CACHE_ENTRIES = 800_000
 CACHE_PAIRS = 600_000
 #: Longer stretches are encoded without being kept.
 CACHE_CHARS = 48
@@ -191,10 +191,8 @@ class Codec:
     def __init__(self, vocabulary: Vocabulary, pattern: str):
         self.vocabulary = vocabulary
         self.pieces = regex.compile(pattern).findall
-        short = lambda key: len(key) <= CACHE_CHARS
-        self._piece = _Kept(self._encode_piece, short)
-        self._stretch = _Kept(self._encode_word, short)
         self.letters_are_pieces = r"| ?\p{L}+|" in pattern
+        self._stretch = _Kept(self._encode_word, lambda word: len(word) <= CACHE_CHARS)
 
     def _encode_piece(self, piece: str) -> bytes:
         data = piece.encode("utf-8", "surrogatepass")
@@ -206,12 +204,19 @@ class Codec:
         return _packed(_follow(self.vocabulary, last))
 
     def _encode_stretch(self, stretch: str) -> bytes:
-        return b"".join(map(self._piece.__getitem__, self.pieces(stretch)))
+        """All pieces of a stretch; letters behind a space are remembered as the word that they are."""
+        out = []
+        for piece in self.pieces(stretch):
+            if self.letters_are_pieces and piece[0] == " " and piece[1:].isalpha():
+                out.append(self._stretch[piece[1:]])
+            else:
+                out.append(self._encode_piece(piece))
+        return b"".join(out)
 
     def _encode_word(self, word: str) -> bytes:
         """A stretch without its leading space.  Letters alone are one piece with that space."""
         if self.letters_are_pieces and word.isalpha():
-            return self._piece[" " + word]
+            return self._encode_piece(" " + word)
         return self._encode_stretch(" " + word)
 
     def stretches(self, text: str) -> list[str]:
