@@ -99,11 +99,28 @@ def band_prices(edges: DataFrame, keys: Sequence[str], quantiles: Sequence[float
 
 
 def assign_bands(
-    rows: DataFrame, edges: DataFrame, keys: Sequence[str], quantiles: Sequence[float], price: str = "price"
+    rows: DataFrame,
+    cells: Column,
+    edges: DataFrame,
+    item_keys: Sequence[str],
+    cell_columns: Sequence[str],
+    keep: Sequence[str],
+    quantiles: Sequence[float],
+    price: str = "price",
 ) -> DataFrame:
-    """Join every labelled row to its cell's edges of the same date; add ``percentile``.
+    """One row per row and cell: ``keep``, the cell's columns and ``percentile``, the cell's band of the same date.
 
-    The band is the first quantile whose edge is >= the price.
+    ``cells`` is the array of the cells that a row belongs to, ``edges`` has a row per date, item and cell.  The edges of
+    all cells of a date and item (as many as dimension members are combined) are gathered in one array and joined
+    to the rows before these are expanded: however the planner runs the join, a row is moved at most once.  The band is
+    the first quantile whose edge is >= the price.
     """
-    joined = attach(rows, edges, keys)
-    return joined.withColumn("percentile", band_of(F.col(price), F.col(EDGES), quantiles)).drop(EDGES)
+    entry = F.struct(*cell_columns, EDGES)
+    by_item = edges.groupBy(*item_keys).agg(F.collect_list(entry).alias("__edges"))
+    cell = lambda e: F.struct(*[e[c].alias(c) for c in cell_columns])
+    # the row's cells are bound once, not once per entry
+    mine = F.transform(F.array(cells), lambda own: F.filter("__edges", lambda e: F.array_contains(own, cell(e))))[0]
+    banded = F.transform(
+        mine, lambda e: F.struct(*[e[c].alias(c) for c in cell_columns], band_of(F.col(price), e[EDGES], quantiles).alias("percentile"))
+    )
+    return attach(rows, by_item, item_keys).select(*keep, F.inline(banded))

@@ -99,8 +99,8 @@ def label_names(df: DataFrame, spec: DimSpec) -> tuple[str, ...]:
     return tuple(out if spec.shared_labels else c for c, out in own)
 
 
-def expand_cells(df: DataFrame, spec: DimSpec, carry: list[str]) -> Cells:
-    """Explode each row into the cells it belongs to; keep ``carry`` columns."""
+def own_cells(df: DataFrame, spec: DimSpec) -> Column:
+    """The cells a row belongs to: ``array<struct<cell_id, labels>>``."""
     names = label_names(df, spec)
     structs: list[Column] = []
     for cid, labels, conds in _entries(df, spec):
@@ -112,11 +112,21 @@ def expand_cells(df: DataFrame, spec: DimSpec, carry: list[str]) -> Cells:
                 cond = cond & c
             st = F.when(cond, st)
         structs.append(st)
-    dim_cols = set(spec.regions) | set(spec.segments) | set(names)
-    carry = [c for c in carry if c not in dim_cols]
-    arr = F.filter(F.array(*structs), lambda x: x.isNotNull())
-    exploded = df.select(*carry, F.explode(arr).alias("__cell"))
-    out = exploded.select(*carry, *[F.col(f"__cell.{c}").alias(c) for c in [CELL_ID, *names]])
+    return F.filter(F.array(*structs), lambda x: x.isNotNull())
+
+
+def carried(df: DataFrame, spec: DimSpec, carry: list[str]) -> list[str]:
+    """``carry`` without the dimension columns, which the cells' labels replace."""
+    dim_cols = set(spec.regions) | set(spec.segments) | set(label_names(df, spec))
+    return [c for c in carry if c not in dim_cols]
+
+
+def expand_cells(df: DataFrame, spec: DimSpec, carry: list[str]) -> Cells:
+    """Explode each row into the cells it belongs to; keep ``carry`` columns."""
+    names = label_names(df, spec)
+    keep = carried(df, spec, carry)
+    exploded = df.select(*keep, F.explode(own_cells(df, spec)).alias("__cell"))
+    out = exploded.select(*keep, *[F.col(f"__cell.{c}").alias(c) for c in [CELL_ID, *names]])
     return Cells(out, names)
 
 

@@ -33,7 +33,7 @@ from rosband.functions.measures import unit_price
 from rosband.operators.bands import assign_bands, band_prices, edges_from_histogram, price_histogram
 from rosband.operators.disclosure import partner_shares, partner_summary, suppress
 from rosband.operators.joins import materialize
-from rosband.operators.rollup import CELL_ID, Cells, expand_cells, expand_items
+from rosband.operators.rollup import CELL_ID, Cells, carried, expand_cells, expand_items, own_cells
 from rosband.operators.ros import distinct_outlets, outlet_rows, partner_rows, period_ros, two_grains, weekly_ros
 from rosband.schema import DEFAULT_METRICS, DEFAULT_QUANTILES, Columns, DimSpec, Thresholds, require_columns
 
@@ -63,11 +63,15 @@ class BandStages:
     def _members(self) -> list[str]:
         return [c for c in dict.fromkeys([*self.dims.regions, *self.dims.segments]) if c in self.prices.columns]
 
-    @cached_property
-    def cells(self) -> Cells:
+    @property
+    def _carry(self) -> list[str]:
         c = self.cols
         carry = [c.date, c.period, c.outlet, c.data_partner, c.price, "product_type", "product", *self.measures, *self._members]
-        return expand_cells(self.prices.select(*dict.fromkeys(carry)), self.dims, carry)
+        return list(dict.fromkeys(carry))
+
+    @cached_property
+    def cells(self) -> Cells:
+        return expand_cells(self.prices.select(*self._carry), self.dims, self._carry)
 
     @property
     def labelled(self) -> DataFrame:
@@ -104,7 +108,12 @@ class BandStages:
 
     @cached_property
     def banded(self) -> DataFrame:
-        return assign_bands(self.labelled, self.edges, self.date_keys, self.quantiles, self.cols.price)
+        rows = self.prices.select(*self._carry)
+        items = [self.cols.date, self.cols.period, "product_type", "product"]
+        keep = carried(rows, self.dims, self._carry)
+        return assign_bands(
+            rows, own_cells(rows, self.dims), self.edges, items, self.cells.keys, keep, self.quantiles, self.cols.price
+        )
 
     @cached_property
     def grain(self) -> DataFrame:

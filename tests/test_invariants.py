@@ -94,10 +94,11 @@ def test_avg_price_expands_once(study):
     assert "Generate" not in stages.published._jdf.queryExecution().optimizedPlan().toString()
 
 
-def test_band_join_is_broadcast_and_rows_not_shuffled_for_it(study):
-    plan = study.bands.banded._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
-    assert "SortMergeJoin" not in plan
+def test_rows_are_joined_with_edges_before_they_are_expanded(study):
+    plan = study.bands.banded._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate ") == 1 and plan.count("Join ") >= 1
+    generate, joins = plan.index("Generate "), [m.start() for m in re.finditer("Join ", plan)]
+    assert all(generate < j for j in joins)  # the expansion stands above every join of the rows
 
 
 def test_edges_hold_no_state_over_the_prices_of_a_cell(spark):
