@@ -9,8 +9,8 @@ coding the text with the sample, and the language that needs the fewest wins (ti
 
 Texts are read as letters without case; every run of other characters is one space.
 
-Distribution: the sample is chosen by the least hashes of the distinct texts of a language, by a top-k window
-that Spark limits before its shuffle; prediction is one ``mapInArrow`` without a shuffle.  In a task many
+Distribution: the sample is chosen by the least hashes of the distinct texts of a language, by top-k windows over
+shares of a language and then over their winners; prediction is one ``mapInArrow`` without a shuffle.  In a task many
 texts are parsed in lockstep over one transition table; texts are never cut.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0; without any labelled text every
@@ -40,6 +40,7 @@ LETTERS = 250
 #: Characters parsed in lockstep at a time, and the number of texts below which they are parsed one by one.
 _CHARS, _FEW = 1 << 23, 12
 _SPACE, _UNKNOWN = 0, 1
+_SHARES = 64
 
 
 def held_out() -> Column:
@@ -50,8 +51,12 @@ def sample(docs: DataFrame, rows: int = ROWS, row_chars: int = ROW_CHARS) -> Dat
     """``lang, text``: the distinct labelled texts with the least hashes, ``rows`` a language at most."""
     learn = docs.where("lang is not null and text is not null and doc_id is not null").where(~held_out())
     learn = learn.select(F.col("lang").cast("string").alias("lang"), F.xxhash64("text").alias("h"), "text")
-    least = Window.partitionBy("lang").orderBy("h")
-    chosen = learn.select("lang", "h").distinct().withColumn("n", F.row_number().over(least)).where(F.col("n") <= rows)
+    # first in shares of a language, then over what they leave: the last window holds a bounded number of rows
+    keys = learn.select("lang", "h").distinct().withColumn("share", F.pmod("h", F.lit(_SHARES)))
+    for by in (["lang", "share"], ["lang"]):
+        least = Window.partitionBy(*by).orderBy("h")
+        keys = keys.withColumn("n", F.row_number().over(least)).where(F.col("n") <= rows).drop("n")
+    chosen = keys
     chosen = written(chosen.select("lang", "h"))
     texts = learn.join(chosen, ["lang", "h"]).select("lang", "h", F.substring("text", 1, row_chars).alias("text"))
     return texts.dropDuplicates(["lang", "h"]).orderBy("lang", "h").select("lang", "text")
