@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Stretches and pairs of tokens that a worker remembers before it forgets the older half of them.
-CACHE_ENTRIES = 800_000
-CACHE_PAIRS = 600_000
+CACHE_ENTRIES = 500_000
+CACHE_PAIRS = 400_000
 #: Longer stretches are encoded without being kept.
 CACHE_CHARS = 48
 #: Rows that a task hands back at a time.
