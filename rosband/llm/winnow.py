@@ -1,5 +1,8 @@
 """Operator 8: line dedup by winnowing over line hashes.
 
+The registered query and the pipeline delete by words (``passages``): runs of whole lines and passages that begin or end
+inside a line.  ``dedup`` of this module deletes runs of whole lines only:
+
 A document is the sequence of the hashes of its normalised lines (lines without a word are passed
 over).  A window starts at every line and takes lines until it has ``min_words`` words; the least hash in
 it is its fingerprint, so every run of lines with ``min_words`` words or more holds a whole window and
@@ -29,6 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rosband.llm import passages
 from rosband.llm.common import text_or_empty, written
 from rosband.llm.lines import line_hash, line_words
 
@@ -179,8 +183,8 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS, gone: str | None = None)
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    """Per document the lines deleted (numbers from 0) and the SHA-256 of the text that is left (null: empty)."""
-    out = dedup(docs.select("doc_id", "text"), gone="gone")
+    """Per document the lines deleted whole (numbers from 0) and the SHA-256 of the text that is left (null: empty)."""
+    out = passages.dedup(docs.select("doc_id", "text"), MIN_WORDS, gone="gone")
     return out.select(
         "doc_id",
         F.size("gone").cast("long").alias("n_removed"),
