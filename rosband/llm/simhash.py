@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosband.llm.common import written
+from rosband.llm.common import text_or_empty, written
 
 #: Members of a block: a task holds two blocks, 8 bytes a member, and their comparison.
 BLOCK = 1024
@@ -62,14 +62,16 @@ def fingerprint(text: str, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``doc_id, fp`` (a signed long) of every row of ``docs``."""
+    """``doc_id, text_hash, fp`` (a signed long) of every row of ``docs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.fromiter((fingerprint(x.as_py() or "", shingle) for x in batch.column("text")), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            cols = [batch.column("doc_id"), batch.column("text_hash"), pa.array(fps.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "text_hash", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    keyed = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64(text_or_empty()).alias("text_hash"))
+    return keyed.mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
 def popcounts(fp: Column) -> Column:
@@ -215,14 +217,18 @@ def components(edges: DataFrame) -> DataFrame:
     return out
 
 
-def groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """``doc_id, fp, component_id`` for every row of ``docs``."""
-    fps = written(fingerprints(docs, shingle))
+def _rooted(fps: DataFrame, max_bits: int) -> DataFrame:
+    """``fp, first_id, root`` for every distinct fingerprint: equal roots within a component."""
     key = F.coalesce(F.col("doc_id"), F.lit(_LAST_ID))
     classes = written(fps.groupBy("fp").agg(F.min(key).alias("first_id")))
     roots = components(links(classes.select("fp"), max_bits)).withColumnRenamed("node", "fp")
-    rooted = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    rooted = written(rooted)
+    return written(classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
+
+
+def groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
+    """``doc_id, fp, component_id`` for every row of ``docs``."""
+    fps = written(fingerprints(docs, shingle).select("doc_id", "fp"))
+    rooted = _rooted(fps, max_bits)
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = rooted.join(least, "root").select("fp", "component_id")
     return fps.join(named, "fp").select(
@@ -231,11 +237,16 @@ def groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """``docs`` with one row of each component: that of the smallest doc_id (one of equal ids)."""
+    """``docs`` with one row of each component: that of the smallest doc_id, then text hash (one of equal rows).
+
+    Rows are named by doc_id and text hash, so rows with a null or repeated doc_id stand for their own components."""
+    names = ["__llm_key", "__llm_hash"]
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST_ID))
-    kept = groups(docs, shingle, max_bits).select(F.coalesce("component_id", F.lit(_LAST_ID)).alias("__llm_first")).distinct()
-    keyed = docs.withColumn("__llm_first", key)
-    return keyed.join(kept, "__llm_first", "left_semi").dropDuplicates(["__llm_first"]).select(*docs.columns)
+    fps = written(fingerprints(docs, shingle))
+    first = F.min(F.struct(key.alias("__llm_key"), F.col("text_hash").alias("__llm_hash"))).alias("first")
+    kept = fps.join(_rooted(fps, max_bits).select("fp", "root"), "fp").groupBy("root").agg(first).select("first.*")
+    keyed = docs.withColumns({"__llm_key": key, "__llm_hash": F.xxhash64(text_or_empty())})
+    return keyed.join(kept, names, "left_semi").dropDuplicates(names).select(*docs.columns)
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -100,3 +100,14 @@ def test_awkward_rows(awkward, empty_docs):
     assert kept.columns == awkward.columns
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted({str(x) for x in least.values()})
     assert simhash.digest(empty_docs).collect() == [] and simhash.one_of_each(empty_docs).collect() == []
+
+
+def test_one_row_of_each_component_with_null_and_repeated_ids(make_docs):
+    def text(c):
+        return " ".join(f"{c}{chr(97 + j % 26)}{chr(97 + j // 26)}" for j in range(80))
+
+    rows = [(None, text("a")), (None, text("b")), (None, text("b")), (7, text("c")), (7, text("d")), (7, text("d")), (8, text("d")),
+            (5, text("e")), (9, text("e")), (9, text("f")), (None, text("f"))]
+    kept = simhash.one_of_each(make_docs([(i, t, "en", "s") for i, t in rows])).collect()
+    want = [(None, "a"), (None, "b"), (7, "c"), (7, "d"), (5, "e"), (9, "f")]
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept) == sorted((str(i), text(c)) for i, c in want)
