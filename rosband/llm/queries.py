@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rosband.llm import bpe, chat, langid, licenses, mixing, pii, quality, simhash, spotsigs, warc, winnow
+from rosband.llm import bpe, chat, langid, licenses, mixing, pii, quality, simhash, spotsigs, vectorcodes, warc, winnow
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,7 @@ def _table(name: str) -> Callable[[SparkSession, str], DataFrame]:
 documents = _table("documents")
 pages = _table("pages")
 conversations = _table("conversations")
+embeddings = _table("embeddings")
 
 
 def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +64,10 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(documents(spark, sf_dir))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcodes.digest(embeddings(spark, sf_dir))
+
+
 def op13_chat_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = chat.with_sample(conversations(spark, sf_dir), -7, "\\### Assistant: </turn> ok")
     return chat.digest(turns, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -81,6 +86,7 @@ QUERIES: dict[str, Query] = {
         op8_line_dedup,
         op9_source_mix,
         op10_personal_data,
+        op12_vector_codes,
         op13_chat_masks,
     )
 }
