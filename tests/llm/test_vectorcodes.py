@@ -94,8 +94,16 @@ def test_tree_covers_and_assigns_exactly(kind):
     nodes, chosen, compared = V.assign(tree, points, entries)
     exact = ((points[:, None, :].astype(object) - entries[None].astype(object)) ** 2).sum(2)
     assert V.row_entries(tree, nodes, chosen).tolist() == [min(range(len(entries)), key=lambda e: (r[e], e)) for r in exact]
-    if kind in ("clusters", "copies", "one"):  # whole subtrees went
+    if kind in ("copies", "one"):  # equal rows went together
         assert compared < 400
+    if kind == "clusters":  # and with entries far apart whole subtrees
+        far = points[[int((points // 150 == c).all(1).argmax()) for c in np.unique(points // 150, axis=0)]]
+        apart = [far[0]]
+        for f in far:
+            if min(((f - a) ** 2).sum() for a in apart) > 10_000:
+                apart.append(f)
+        nodes, chosen, compared = V.assign(tree, points, np.array(apart))
+        assert compared < 60 and tree.count[nodes].max() > 20
 
 
 def test_codes_decode_to_codebook_entries(spark):
