@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rosband.llm import bpe, chat, langid, licenses, mixing, pii, quality, simhash, spotsigs, vectorcodes, warc, winnow
+from rosband.llm import alignment, bpe, chat, langid, licenses, mixing, pii, quality, simhash, spotsigs, vectorcodes, warc, winnow
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,6 +64,11 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(documents(spark, sf_dir))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return alignment.digest(documents(spark, sf_dir), *paths)
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectorcodes.digest(embeddings(spark, sf_dir))
 
@@ -86,6 +91,7 @@ QUERIES: dict[str, Query] = {
         op8_line_dedup,
         op9_source_mix,
         op10_personal_data,
+        op11_token_alignment,
         op12_vector_codes,
         op13_chat_masks,
     )
