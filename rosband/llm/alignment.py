@@ -17,10 +17,11 @@ texts are never cut; other columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import base64
 import hashlib
-import os
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,41 +47,34 @@ _DOCS = (
 # -- tokenizers ----------------------------------------------------------------------------------------------------
 
 
-def byte_of_char() -> dict[str, int]:
-    """The byte that each character of a byte-level vocabulary stands for: printable Latin-1 characters stand for
-    themselves, the other bytes in order for U+0100 and up."""
-    own = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b]
-    rest = [b for b in range(256) if b not in set(own)]
-    return {**{chr(b): b for b in own}, **{chr(0x100 + i): b for i, b in enumerate(rest)}}
-
-
 class Tokenizers:
-    """Encoders of both sides and the bytes of their tokens."""
+    """Encoders of both sides and the bytes of their tokens.
+
+    The left side is the byte-level vocabulary as a rank file; ``tests/llm`` compares it with the same vocabulary's
+    merge file over every code point.
+    """
 
-    def __init__(self, bpe_path: str, piece_path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one worker per core
+    def __init__(self, ranks_path: str, pattern: str, piece_path: str):
         import sentencepiece
-        from tokenizers import Tokenizer
+        import tiktoken
 
-        self._a = Tokenizer.from_file(bpe_path)
-        self._a.encode_special_tokens = True  # their strings in a text are ordinary text
+        with open(ranks_path, "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self._a = tiktoken.Encoding("left", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self._b = sentencepiece.SentencePieceProcessor(model_file=piece_path)
-        chars = byte_of_char()
-        vocabulary = self._a.get_vocab(with_added_tokens=False)
-        self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
-        for token, i in vocabulary.items():
-            # a token with another character is no byte-level token and never comes out of ordinary text
-            if all(c in chars for c in token):
-                self.a_bytes[i] = bytes(chars[c] for c in token)
+        self.a_bytes = [b""] * (max(ranks.values()) + 1)
+        for token, i in ranks.items():
+            self.a_bytes[i] = token
         self.b_bytes = []
         for i in range(self._b.get_piece_size()):
             piece = self._b.id_to_piece(i)
             self.b_bytes.append(bytes([int(piece[3:5], 16)]) if self._b.is_byte(i) else piece.replace("▁", " ").encode())
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[list[int]]]:
         """Ids of space + text on the left side and of text on the right side, which adds the space itself."""
-        a = self._a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        return [e.ids for e in a], self._b.encode(texts, num_threads=1)
+        # special tokens' strings are ordinary text: there are none
+        a = [self._a.encode_to_numpy(" " + t, disallowed_special=()) for t in texts]
+        return a, self._b.encode(texts, num_threads=1)
 
 
 # -- alignment -----------------------------------------------------------------------------------------------------
@@ -161,13 +155,14 @@ def _block(block: int, ids: list, texts: list[str], tok: Tokenizers, a_length, b
     a_all, b_all = tok.encode(texts)
     for i, text in enumerate(texts):
         expected = b" " + text.encode()
-        joined = (b"".join(map(t.__getitem__, x)) for t, x in ((tok.a_bytes, a_all[i]), (tok.b_bytes, b_all[i])))
-        if not text or any(j != expected for j in joined):
-            a_all[i], b_all[i] = [], []
+        # byte-level tokens tile every text: their lengths tell; pieces may be normalised: their bytes are compared
+        same = a_length[a_all[i]].sum() == len(expected) and b"".join(map(tok.b_bytes.__getitem__, b_all[i])) == expected
+        if not text or not same:
+            a_all[i], b_all[i] = a_all[i][:0], []
     n_a = np.array([len(x) for x in a_all], dtype=np.int64)
     n_b = np.array([len(x) for x in b_all], dtype=np.int64)
-    a_ids = np.fromiter((i for x in a_all for i in x), np.int64, int(n_a.sum()))
-    b_ids = np.fromiter((i for x in b_all for i in x), np.int64, int(n_b.sum()))
+    a_ids = np.concatenate(a_all).astype(np.int64)
+    b_ids = np.fromiter(chain.from_iterable(b_all), np.int64, int(n_b.sum()))
     g = align(np.cumsum(a_length[a_ids]), np.cumsum(b_length[b_ids]))
     a_doc = np.repeat(np.arange(len(texts)), n_a)
     n_links = np.bincount(a_doc[g.left], minlength=len(texts))
@@ -199,13 +194,15 @@ _BLOCK_SCHEMA = pa.schema([
 ])
 
 
-def aligned_blocks(docs: DataFrame, bpe_path: str, piece_path: str, block_chars: int = BLOCK_BYTES) -> DataFrame:
+def aligned_blocks(
+    docs: DataFrame, ranks_path: str, pattern: str, piece_path: str, block_chars: int = BLOCK_BYTES
+) -> DataFrame:
     """One row per block of documents: digests, distinct id pairs with their counts, links as pair numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tok = Tokenizers(bpe_path, piece_path)
+        tok = Tokenizers(ranks_path, pattern, piece_path)
         a_length = np.array([len(b) for b in tok.a_bytes], dtype=np.int64)
         b_length = np.array([len(b) for b in tok.b_bytes], dtype=np.int64)
         writer = GroupText(len(a_length), len(b_length))
@@ -263,9 +260,9 @@ def _looked_up(blocks: DataFrame) -> DataFrame:
     return blocks.select(*columns).mapInArrow(run, _DOCS)
 
 
-def digest(docs: DataFrame, bpe_path: str, piece_path: str, block_chars: int = BLOCK_BYTES) -> DataFrame:
+def digest(docs: DataFrame, ranks_path: str, pattern: str, piece_path: str, block_chars: int = BLOCK_BYTES) -> DataFrame:
     """Per document its tokens, groups and links, and how its links stand among the corpus's id pairs."""
-    blocks = written(aligned_blocks(docs, bpe_path, piece_path, block_chars))
+    blocks = written(aligned_blocks(docs, ranks_path, pattern, piece_path, block_chars))
     each = blocks.select("block", F.posexplode("pairs").alias("pos", "pair"))
     found = each.join(pair_counts(blocks), "pair").groupBy("block")
     # as many as the block has distinct pairs, in the order of their numbers

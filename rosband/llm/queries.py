@@ -65,8 +65,8 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paths = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
-    return alignment.digest(documents(spark, sf_dir), *paths)
+    left, right = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.digest(documents(spark, sf_dir), left, public_tokenizers.PATTERN, right)
 
 
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,19 +2,30 @@ import hashlib
 
 import numpy as np
 import public_tokenizers
+import tokenizers
 from pyspark.sql import functions as F
 
 from rosband.llm import alignment as A
 
-BPE, PIECE = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+RANKS, PIECE = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("piece_bpe_32k.model")
+SIDES = (RANKS, public_tokenizers.PATTERN, PIECE)
+
+
+def merges():
+    """The left vocabulary as a merge file."""
+    t = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    return t
 
 
 def brute(rows):
     """Token by token, from the tokenizers' own output."""
-    tok = A.Tokenizers(BPE, PIECE)
+    tok, left = A.Tokenizers(*SIDES), merges()
     parts, pair_n = [], {}
     for doc_id, text in rows:
-        a, b = ([], []) if not text else (x[0] for x in tok.encode([text]))
+        a, b = ([], []) if not text else (
+            left.encode(" " + text, add_special_tokens=False).ids, tok.encode([text])[1][0]
+        )
         joined = [b"".join(t[i] for i in x) for t, x in ((tok.a_bytes, a), (tok.b_bytes, b))]
         if not text or any(j != (" " + text).encode() for j in joined):
             a, b = [], []
@@ -58,7 +69,7 @@ def brute(rows):
 
 
 def got(df, **more):
-    return sorted((str(r[0]), *r[1:]) for r in A.digest(df, BPE, PIECE, **more).collect())
+    return sorted((str(r[0]), *r[1:]) for r in A.digest(df, *SIDES, **more).collect())
 
 
 def test_given_table_against_brute_force(spark):
@@ -98,3 +109,12 @@ def test_long_component():
     a = np.append(np.arange(2, 200_000, 2), 200_000)
     b = np.append(np.arange(1, 200_000, 2), 200_000)
     assert A.align(a, b).n_groups == 1
+
+
+def test_ranks_and_merges_agree_on_every_code_point():
+    """Every character stands in the same class of the pattern on both sides, hence both cut all texts alike."""
+    tok, left = A.Tokenizers(*SIDES), merges()
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF]
+    texts = ["".join(f"x{c}x {c}1{c}{c} \n" for c in points[at : at + 64]) for at in range(0, len(points), 64)]
+    for text, a in zip(texts, left.encode_batch_fast([" " + t for t in texts], add_special_tokens=False), strict=True):
+        assert tok._a.encode(" " + text, disallowed_special=()) == a.ids, hex(ord(text[1]))
