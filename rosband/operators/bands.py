@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import product
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosband.functions.bands import band_of, percentile_array
 from rosband.operators.joins import attach, materialize
+from rosband.operators.rollup import CELL_ID, Option, axes, label_names
+from rosband.schema import DimSpec
 
 EDGES = "edges"
 
@@ -31,12 +34,26 @@ def price_histogram(rows: DataFrame, keys: Sequence[str], price: str = "price",
     return rows.where(F.col(price).isNotNull()).groupBy(*keys, price).agg(n.alias("__n"))
 
 
+def counted_prices(rows: DataFrame, keys: Sequence[str], price: str = "price", repeats: float = 2.0) -> DataFrame:
+    """``keys, price, __n``: rows per price where that is worth a pass, else every row with a count of one.
+
+    Whether a price (per ``keys``) has ``repeats`` rows on average is measured on all rows with an approximate
+    distinct count.  The measurement chooses the plan only; quantiles of the result are the same either way.
+    """
+    rows = rows.where(F.col(price).isNotNull()).select(*keys, price)
+    measured = rows.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64(*keys, price)).alias("d")).first()
+    if measured["n"] >= repeats * measured["d"]:
+        return materialize(price_histogram(rows, keys, price))
+    return rows.withColumn("__n", F.lit(1).cast("long"))
+
+
 def edges_from_histogram(hist: DataFrame, keys: Sequence[str], quantiles: Sequence[float], price: str = "price") -> DataFrame:
     """Exact quantiles (linear interpolation at q*(n-1)) of ``price`` per key, by selecting ranks.
 
-    ``hist`` (keys, price, __n) should be a written table; it is read twice.  Prices fall into buckets; the
-    bucket totals (a few hundred rows per key at most) show in which bucket each wanted rank lies, and only those
-    buckets are ordered by price.  No task ever holds the prices of a cell: the largest unit of work is one bucket.
+    ``hist`` (keys, price, __n) is read twice and may hold a price several times, so it can be a plan that expands
+    rows as it reads them.  Prices fall into buckets; the bucket totals (a few hundred rows per key at most) show in
+    which bucket each wanted rank lies, these buckets are written, and only their rows are moved and ordered
+    by price.  No task ever holds the prices of a cell: the largest unit of work is one bucket.
     """
     keys = list(keys)
     qs = [float(q) for q in quantiles]
@@ -48,7 +65,7 @@ def edges_from_histogram(hist: DataFrame, keys: Sequence[str], quantiles: Sequen
     places = [F.lit(q) * (F.col("__all") - 1) for q in qs]
     ranks = F.array_distinct(F.array(*[f(p).cast("long") for p in places for f in (F.floor, F.ceil)]))
     here = F.filter(ranks, lambda r: (r >= F.col("__before")) & (r < F.col("__before") + F.col("__in")))
-    wanted = totals.withColumn("__ranks", here).where(F.size("__ranks") > 0).drop("__in")
+    wanted = materialize(totals.withColumn("__ranks", here).where(F.size("__ranks") > 0).drop("__in"))
     inside = Window.partitionBy(*keys, "__bucket").orderBy(price).rowsBetween(Window.unboundedPreceding, 0)
     found = binned.join(wanted, [*keys, "__bucket"]).withColumn("__end", F.col("__before") + F.sum("__n").over(inside))
     hit = F.filter("__ranks", lambda r: (r >= F.col("__end") - F.col("__n")) & (r < F.col("__end")))
@@ -98,29 +115,81 @@ def band_prices(edges: DataFrame, keys: Sequence[str], quantiles: Sequence[float
     return agg.select(*keys, F.inline(pairs))
 
 
+def _dense(df: DataFrame, keys: Sequence[str], code: str, value: str, name: str) -> DataFrame:
+    """Per ``keys`` the array that has each row's ``value`` at the place ``code`` (null at places without a row)."""
+    before = F.lag(code).over(Window.partitionBy(*keys).orderBy(code))
+    holes = F.col(code) - F.coalesce(before, F.lit(-1)) - 1
+    piece = F.concat(F.array_repeat(F.lit(None).cast(df.schema[value].dataType), holes.cast("int")), F.array(value))
+    pieces = F.array_sort(F.collect_list(F.struct(code, "__piece")))
+    out = df.withColumn("__piece", piece).groupBy(*keys)
+    return out.agg(F.flatten(F.transform(pieces, lambda x: x["__piece"])).alias(name))
+
+
+def numbered_members(edges: DataFrame, steps: Sequence[Sequence[Option]], axis: int) -> DataFrame:
+    """``option, label, code``: the members of an axis that have edges, numbered from 1 (0 is the roll-up).
+
+    One row per member of a dimension, so the window that numbers them is bounded by the dimension.
+    """
+    number, label = _part_of(steps, axis), list(steps[axis][0].labels)[-1]
+    found = edges.select(number.alias("option"), F.col(label).alias("label"))
+    found = found.where(F.col("option").isin([i for i, o in enumerate(steps[axis]) if o.source])).distinct()
+    return materialize(found.withColumn("code", F.row_number().over(Window.orderBy("option", "label"))))
+
+
+def _part_of(steps: Sequence[Sequence[Option]], axis: int) -> Column:
+    """Which option of an axis a cell id stands for."""
+    out = F.lit(None).cast("int")
+    for chosen in product(*[list(enumerate(options)) for options in steps]):
+        out = F.when(F.col(CELL_ID) == sum(o.number for _, o in chosen), F.lit(chosen[axis][0])).otherwise(out)
+    return out
+
+
 def assign_bands(
     rows: DataFrame,
-    cells: Column,
+    spec: DimSpec,
     edges: DataFrame,
     item_keys: Sequence[str],
-    cell_columns: Sequence[str],
     keep: Sequence[str],
     quantiles: Sequence[float],
     price: str = "price",
 ) -> DataFrame:
     """One row per row and cell: ``keep``, the cell's columns and ``percentile``, the cell's band of the same date.
 
-    ``cells`` is the array of the cells that a row belongs to, ``edges`` has a row per date, item and cell.  The edges of
-    all cells of a date and item (as many as dimension members are combined) are gathered in one array and joined
-    to the rows before these are expanded: however the planner runs the join, a row is moved at most once.  The band is
-    the first quantile whose edge is >= the price.
+    ``edges`` has a row per date, item and cell.  Members are numbered per dimension; the edges of a date and item are
+    gathered in nested arrays whose places are these numbers (0: the roll-up) and joined to the rows before these are
+    expanded: however the planner runs the join, a row is moved at most once.  A row looks up each of its cells
+    by place, in constant time whatever the number of cells.  The band is the first quantile whose edge is >= the price.
     """
-    entry = F.struct(*cell_columns, EDGES)
-    by_item = edges.groupBy(*item_keys).agg(F.collect_list(entry).alias("__edges"))
-    cell = lambda e: F.struct(*[e[c].alias(c) for c in cell_columns])
-    # the row's cells are bound once, not once per entry
-    mine = F.transform(F.array(cells), lambda own: F.filter("__edges", lambda e: F.array_contains(own, cell(e))))[0]
-    banded = F.transform(
-        mine, lambda e: F.struct(*[e[c].alias(c) for c in cell_columns], band_of(F.col(price), e[EDGES], quantiles).alias("percentile"))
-    )
-    return attach(rows, by_item, item_keys).select(*keep, F.inline(banded))
+    names, steps = label_names(rows, spec), axes(rows, spec)
+    places = edges
+    for axis, options in enumerate(steps):
+        label, at = list(options[0].labels)[-1], f"__place{axis}"
+        members = numbered_members(edges, steps, axis)
+        coded = members.select(F.col("option").alias("__option"), F.col("label").alias("__label"), F.col("code").alias(at))
+        places = places.withColumn("__option", _part_of(steps, axis)).withColumn("__label", F.col(label))
+        rolled = [i for i, o in enumerate(options) if not o.source]
+        places = places.join(coded, ["__option", "__label"], "left").withColumn(
+            at, F.when(F.col("__option").isin(rolled), F.lit(0)).otherwise(F.col(at))
+        ).drop("__option", "__label")
+        for i, o in enumerate(options):
+            if o.source:
+                own = members.where(F.col("option") == i).select(F.col("label").alias("__label"), F.col("code").alias(f"__code{axis}_{i}"))
+                rows = attach(rows.withColumn("__label", F.col(o.source).cast("string")), own, ["__label"], "left").drop("__label")
+    value = EDGES
+    for axis in reversed(range(len(steps))):
+        outer = [*item_keys, *[f"__place{i}" for i in range(axis)]]
+        places = _dense(places.select(*outer, f"__place{axis}", value), outer, f"__place{axis}", value, f"__edges{axis}")
+        value = f"__edges{axis}"
+    joined = attach(rows, places.select(*item_keys, F.col(value).alias("__edges")), item_keys)
+    entries = []
+    for chosen in product(*[list(enumerate(options)) for options in steps]):
+        found = F.col("__edges")
+        for axis, (i, o) in enumerate(chosen):
+            found = F.get(found, F.col(f"__code{axis}_{i}") if o.source else F.lit(0))
+        labels = {k: v.cast("string") for _, o in chosen for k, v in o.labels.items()}
+        entry = F.struct(
+            F.lit(sum(o.number for _, o in chosen)).alias(CELL_ID), *[labels[n].alias(n) for n in names],
+            band_of(F.col(price), found, quantiles).alias("percentile"),
+        )
+        entries.append(F.when(found.isNotNull(), entry))
+    return joined.select(*keep, F.inline(F.filter(F.array(*entries), lambda x: x.isNotNull())))

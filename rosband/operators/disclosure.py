@@ -11,9 +11,10 @@ from rosband.functions.measures import share, share_key, share_limit
 from rosband.schema import Thresholds
 
 
-def partner_shares(volumes: DataFrame, keys: Sequence[str]) -> DataFrame:
+def partner_shares(volumes: DataFrame, keys: Sequence[str], totals: Sequence[str] = ()) -> DataFrame:
     """Add ``total_dp_volume``, ``dp_volume_share`` and ``data_partner_count``.
 
+    ``totals`` names further columns whose sum over the key takes their place.
     The window is over already aggregated partner rows, so a partition holds
     one row per data partner of the cell -- bounded by the partner count.
     The number of rows per key is the number of distinct data partners.
@@ -23,11 +24,18 @@ def partner_shares(volumes: DataFrame, keys: Sequence[str]) -> DataFrame:
         volumes.withColumn("total_dp_volume", F.sum("dp_volume").over(w))
         .withColumn("dp_volume_share", share("dp_volume", "total_dp_volume"))
         .withColumn("data_partner_count", F.count(F.lit(1)).over(w))
+        .withColumns({c: F.sum(c).over(w) for c in totals})
     )
 
 
-def partner_summary(shares: DataFrame, keys: Sequence[str], partner: str = "data_partner", tie_policy: str = "drop") -> DataFrame:
-    """One row per key: ``data_partner_count`` and the unique largest partner with its share.
+def partner_summary(
+    shares: DataFrame,
+    keys: Sequence[str],
+    partner: str = "data_partner",
+    tie_policy: str = "drop",
+    totals: Sequence[str] = (),
+) -> DataFrame:
+    """One row per key: ``data_partner_count``, the unique largest partner with its share, and ``totals`` of the key.
 
     With ``tie_policy="drop"`` (the analysed job's behaviour: an average-method
     rank gives tied leaders 1.5, so no row has rank 1) a key whose top share is
@@ -53,6 +61,7 @@ def partner_summary(shares: DataFrame, keys: Sequence[str], partner: str = "data
         F.max("__n_top").alias("__n_top"),
         F.min(partner).alias("__top"),
         F.max(s).alias("__share"),
+        *[F.max(c).alias(c) for c in totals],
     )
     unique = F.col("__n_top") == 1 if tie_policy == "drop" else F.col("__n_top") >= 1
     return summary.select(
@@ -60,6 +69,7 @@ def partner_summary(shares: DataFrame, keys: Sequence[str], partner: str = "data
         "data_partner_count",
         F.when(unique, F.col("__top")).alias("nda_data_partner_with_max_share"),
         F.when(unique, F.col("__share")).alias("nda_max_data_partner_share"),
+        *totals,
     )
 
 

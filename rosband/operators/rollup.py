@@ -11,10 +11,14 @@ Each expanded row carries ``cell_id``, an integer that identifies the grouping
 set (and, with several region columns, the dimension pair).  It is part of
 every key, so a roll-up member can never merge with a real member that happens
 to carry the same label.
+
+Statistics whose parts can be merged need no expansion of rows: ``roll_up``
+makes the cells from rows aggregated at the finest grain, parents from children.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from itertools import product as cartesian
 
@@ -38,52 +42,53 @@ class Cells:
         return [CELL_ID, *self.labels]
 
 
-def _entries(df: DataFrame, spec: DimSpec):
-    """Yield (cell_id, {label_col: Column}, condition) for every grouping set."""
+@dataclass(frozen=True)
+class Option:
+    """One way in which a row takes part in an axis: by the member in ``source``, or in the roll-up (no source)."""
+
+    number: int  # what it adds to the cell id
+    labels: dict[str, Column]
+    conditions: tuple[Column, ...] = ()
+    source: str | None = None
+
+
+def axes(df: DataFrame, spec: DimSpec) -> list[list[Option]]:
+    """The options of every present dimension; the cells of a row are the combinations of one option of each."""
     regions = [c for c in spec.regions if c in df.columns]
     segments = [c for c in spec.segments if c in df.columns]
+
+    def member(col: str, number: int, labels: dict[str, Column], is_region: bool) -> Option:
+        conditions = [F.col(col).isNotNull()]
+        if is_region and spec.not_member is not None:
+            conditions.append(~F.col(col).eqNullSafe(spec.not_member))
+        return Option(number, labels, tuple(conditions), col)
+
     if not _shared(regions, segments, spec):
-        dims = []
-        if regions:
-            dims.append((regions[0], spec.all_regions, True))
-        if segments:
-            dims.append((segments[0], spec.all_segments, False))
-        names = label_names(df, spec)
-        for mask in range(1 << len(dims)):
-            labels, conds = {}, []
-            for bit, ((col, all_label, is_region), name) in enumerate(zip(dims, names, strict=True)):
-                if mask >> bit & 1:
-                    labels[name] = F.lit(all_label)
-                else:
-                    labels[name] = F.col(col)
-                    conds.append(F.col(col).isNotNull())
-                    if is_region and spec.not_member is not None:
-                        conds.append(~F.col(col).eqNullSafe(spec.not_member))
-            if mask >> 0 & 1 and regions and not spec.keep_all_regions:
-                continue
-            yield mask, labels, conds
-        return
-    rolled_pairs = [(False, False), (False, True)] + ([(True, False), (True, True)] if spec.keep_all_regions else [])
-    for (i, rc), (j, sc), (r_all, s_all) in cartesian(enumerate(regions), enumerate(segments), rolled_pairs):
-        # a rolled-up dimension gives the same cells whichever column it came from: emit once
-        if (r_all and i > 0) or (s_all and j > 0):
-            continue
-        cid = (2 if r_all else 0) + (1 if s_all else 0) + 10 * (0 if r_all else i + 1) + 1000 * (0 if s_all else j + 1)
-        conds = []
-        if r_all:
-            rlab = F.lit(spec.all_regions)
-        else:
-            rlab = F.col(rc)
-            conds.append(rlab.isNotNull())
-            if spec.not_member is not None:
-                conds.append(~rlab.eqNullSafe(spec.not_member))
-        if s_all:
-            slab = F.lit(spec.all_segments)
-        else:
-            slab = F.col(sc)
-            conds.append(slab.isNotNull())
-        dim = F.lit(spec.all_regions if r_all else rc)
-        yield cid, {spec.region_dim_out: dim, spec.region_out: rlab, spec.segment_out: slab}, conds
+        out = []
+        present = [(c, spec.all_regions, True) for c in regions[:1]] + [(c, spec.all_segments, False) for c in segments[:1]]
+        for bit, ((col, all_label, is_region), name) in enumerate(zip(present, label_names(df, spec), strict=True)):
+            options = [member(col, 0, {name: F.col(col)}, is_region)]
+            if not is_region or spec.keep_all_regions:
+                options.append(Option(1 << bit, {name: F.lit(all_label)}))
+            out.append(options)
+        return out
+    dim, region, segment = label_names(df, spec)
+    by_region = [member(c, 10 * (i + 1), {dim: F.lit(c), region: F.col(c)}, True) for i, c in enumerate(regions)]
+    if spec.keep_all_regions and regions:
+        by_region.append(Option(2, {dim: F.lit(spec.all_regions), region: F.lit(spec.all_regions)}))
+    by_segment = [member(c, 1000 * (j + 1), {segment: F.col(c)}, False) for j, c in enumerate(segments)]
+    if segments:
+        by_segment.append(Option(1, {segment: F.lit(spec.all_segments)}))
+    return [by_region, by_segment]
+
+
+def _entry(number: Column, options: list[Option] | tuple[Option, ...]) -> Column:
+    """``struct<cell_id, labels>`` of a combination of options, null where the row does not take part."""
+    labels = [v.cast("string").alias(k) for o in options for k, v in o.labels.items()]
+    entry = F.struct(number.alias(CELL_ID), *labels)
+    for condition in (c for o in options for c in o.conditions):
+        entry = F.when(condition, entry)
+    return entry
 
 
 def _shared(regions: list[str], segments: list[str], spec: DimSpec) -> bool:
@@ -101,18 +106,33 @@ def label_names(df: DataFrame, spec: DimSpec) -> tuple[str, ...]:
 
 def own_cells(df: DataFrame, spec: DimSpec) -> Column:
     """The cells a row belongs to: ``array<struct<cell_id, labels>>``."""
+    entries = [_entry(F.lit(sum(o.number for o in chosen)), chosen) for chosen in cartesian(*axes(df, spec))]
+    return F.filter(F.array(*entries), lambda x: x.isNotNull())
+
+
+def roll_up(df: DataFrame, keys: list[str], spec: DimSpec, merge: dict[str, Callable[[str], Column]]) -> Cells:
+    """The cells of rows that are aggregated per ``keys`` and members, one axis after the other.
+
+    Every step makes an axis' roll-up and members from the rows of the step before, which are aggregated already:
+    (region, segment) gives (region, all segments), and those two give (all regions, ...).  A parent is so made from
+    its children and never from the rows of the table.  ``merge`` maps each measure to the aggregate that
+    combines children (``sum`` for sums, ``bit_or`` for sets).  Where ``df`` is partitioned by some of ``keys``, no
+    step moves a row.
+    """
     names = label_names(df, spec)
-    structs: list[Column] = []
-    for cid, labels, conds in _entries(df, spec):
-        fields = [F.lit(cid).alias(CELL_ID)] + [labels[n].cast("string").alias(n) for n in names]
-        st = F.struct(*fields)
-        if conds:
-            cond = conds[0]
-            for c in conds[1:]:
-                cond = cond & c
-            st = F.when(cond, st)
-        structs.append(st)
-    return F.filter(F.array(*structs), lambda x: x.isNotNull())
+    steps = axes(df, spec)
+    out, done = df.withColumn(CELL_ID, F.lit(0)), []
+    aggregates = [f(c).alias(c) for c, f in merge.items()]
+    for i, options in enumerate(steps):
+        later = list(dict.fromkeys(o.source for rest in steps[i + 1 :] for o in rest if o.source))
+        new = list(options[0].labels) if options else []
+        entries = F.filter(F.array(*[_entry(F.col(CELL_ID) + o.number, (o,)) for o in options]), lambda x: x.isNotNull())
+        out = out.select(*keys, *done, *later, *merge, F.inline(entries))
+        done += new
+        out = out.groupBy(*keys, CELL_ID, *done, *later).agg(*aggregates)
+    if not steps:
+        out = out.groupBy(*keys, CELL_ID).agg(*aggregates)
+    return Cells(out.select(*keys, CELL_ID, *names, *merge), names)
 
 
 def carried(df: DataFrame, spec: DimSpec, carry: list[str]) -> list[str]:

@@ -1,10 +1,8 @@
 """Rate of sale: weekly sums and distinct outlets, period means, band counts.
 
-Everything about outlets is derived from an outlet-grain aggregate (sums per
-key x date x outlet; ``two_grains`` builds it together with the partner grain).
-Its shuffle keys include the date and the outlet, so a hot cell is spread over
-many tasks, and the later counts of distinct outlets are plain counts over
-already de-duplicated rows (no ``count(DISTINCT)`` expansion).
+Distinct outlets are exact sets: one row per key (and date) and 64-bit word of outlet numbers (``operators/numbers``),
+built by ``two_grains`` together with the partner grain.  Its shuffle keys include the date and the word, so a hot
+cell is spread over many tasks; sets of several dates or bands merge by ``bit_or`` and no outlet is listed again.
 """
 
 from __future__ import annotations
@@ -15,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosband.functions.measures import rate_of_sale
+from rosband.operators.numbers import BITS, WORD, set_size, set_words
 
 
 KIND = "__kind"
@@ -22,18 +21,19 @@ OUTLET_ROWS, PARTNER_ROWS = 0, 1
 
 
 def two_grains(
-    rows: DataFrame, keys: Sequence[str], outlet_keys: Sequence[str], partner: str, measures: Sequence[str]
+    rows: DataFrame, keys: Sequence[str], dates: Sequence[str], outlet: str, partner: str, measures: Sequence[str]
 ) -> DataFrame:
     """Both grains the statistics of a cell need, from one pass over the rows.
 
-    ``GROUPING SETS ((keys, outlet_keys), (keys, partner))`` with the measure sums: outlet rows (``__kind`` 0) carry
-    one row per key and outlet (and date, where that is not a key), partner rows (``__kind`` 1) one row per key and
-    partner.  One shuffle, with map-side partial aggregation for both sets; the outlet set's keys include the
-    outlet, so a hot cell is spread over many tasks.
+    ``GROUPING SETS ((keys, dates, word), (keys, partner))`` with the measure sums: outlet rows (``__kind`` 0) carry
+    the set of outlets per key and date, word by word, partner rows (``__kind`` 1) one row per key and partner.  One
+    shuffle, with map-side partial aggregation for both sets; the outlet rows' keys include the word, so a hot
+    cell is spread over many tasks.
     """
-    r = rows.where(F.col(outlet_keys[-1]).isNotNull() & F.col(partner).isNotNull())
-    agg = r.groupingSets([[*keys, *outlet_keys], [*keys, partner]], *keys, *outlet_keys, partner).agg(
+    r = set_words(rows.where(F.col(outlet).isNotNull() & F.col(partner).isNotNull()), outlet)
+    agg = r.groupingSets([[*keys, *dates, WORD], [*keys, partner]], *keys, *dates, WORD, partner).agg(
         *[F.sum(m).alias(f"sum_{m}") for m in measures],
+        F.bit_or(BITS).alias(BITS),
         F.grouping(partner).alias("__g"),
     )
     kind = F.when(F.col("__g") == 1, F.lit(OUTLET_ROWS)).otherwise(F.lit(PARTNER_ROWS))
@@ -41,8 +41,8 @@ def two_grains(
 
 
 def outlet_rows(grain: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
-    """Rows per ``keys`` (which end in the outlet)."""
-    return grain.where(F.col(KIND) == OUTLET_ROWS).select(*keys, *[f"sum_{m}" for m in measures])
+    """Rows per ``keys`` and word: the words of the outlet sets and the sums of their outlets."""
+    return grain.where(F.col(KIND) == OUTLET_ROWS).select(*keys, WORD, BITS, *[f"sum_{m}" for m in measures])
 
 
 def partner_rows(grain: DataFrame, keys: Sequence[str], partner: str, metric: str) -> DataFrame:
@@ -50,14 +50,12 @@ def partner_rows(grain: DataFrame, keys: Sequence[str], partner: str, metric: st
     return grain.where(F.col(KIND) == PARTNER_ROWS).select(*keys, partner, F.col(f"sum_{metric}").alias("dp_volume"))
 
 
-def weekly_ros(grain: DataFrame, keys: Sequence[str], metrics: Sequence[str], outlet: str = "outlet") -> DataFrame:
+def weekly_ros(grain: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataFrame:
     """Per key (which includes the date): ``sum_<m>``, ``outlets`` and ``<m>_ros = sum / outlets``.
 
-    ``grain`` has one row per key x outlet, so the outlet count is a row count.
+    ``grain`` has one row per key and word, so the outlets are the bits of its rows.
     """
-    agg = grain.groupBy(*keys).agg(
-        *[F.sum(f"sum_{m}").alias(f"sum_{m}") for m in metrics], F.count(F.lit(1)).alias("outlets")
-    )
+    agg = grain.groupBy(*keys).agg(*[F.sum(f"sum_{m}").alias(f"sum_{m}") for m in metrics], set_size().alias("outlets"))
     return agg.withColumns({f"{m}_ros": rate_of_sale(f"sum_{m}", "outlets") for m in metrics})
 
 
@@ -66,6 +64,11 @@ def period_ros(weekly: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -
     return weekly.groupBy(*keys).agg(*[F.avg(f"{m}_ros").alias(f"{m}_ros") for m in metrics])
 
 
-def distinct_outlets(grain: DataFrame, keys: Sequence[str], outlet: str = "outlet", name: str = "outlet_count") -> DataFrame:
-    """Distinct outlets per key, from the outlet-grain rows (dedup, then count)."""
-    return grain.select(*keys, outlet).distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+def merged_sets(grain: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The union of the sets of a key, word by word."""
+    return grain.groupBy(*keys, WORD).agg(F.bit_or(BITS).alias(BITS))
+
+
+def distinct_outlets(sets: DataFrame, keys: Sequence[str], name: str = "outlet_count") -> DataFrame:
+    """Distinct outlets per key, from sets with one row per key and word."""
+    return sets.groupBy(*keys).agg(set_size().alias(name))

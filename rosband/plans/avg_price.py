@@ -4,6 +4,9 @@ No period filter: every date is used.  Per date x item x cell: metric sums,
 distinct outlets, the unweighted mean of row prices (not sum(value) /
 sum(quantity)), distinct data partners; ROS = sum / outlets; data-partner
 shares of volume per date and cell with the unique largest partner.
+
+No row is expanded: the rows are aggregated per finest cell and partner, and per finest cell into sets of outlets;
+the cells are rolled up from these.
 """
 
 from __future__ import annotations
@@ -17,15 +20,15 @@ from pyspark.sql import functions as F
 from rosband.functions.measures import rate_of_sale
 from rosband.operators.disclosure import partner_shares, partner_summary, suppress
 from rosband.operators.joins import materialize
-from rosband.operators.rollup import Cells, expand_cells
-from rosband.operators.ros import outlet_rows, partner_rows, two_grains
+from rosband.operators.numbers import BITS, WORD, set_words
+from rosband.operators.rollup import CELL_ID, roll_up
+from rosband.operators.ros import distinct_outlets, merged_sets
 from rosband.plans.price_bands import with_price
 from rosband.schema import DEFAULT_METRICS, Columns, DimSpec, Thresholds, require_columns
 
 
 @dataclass
 class AvgStages:
-    cells: Cells
     keys: list[str]
     cube: DataFrame
     shares: DataFrame
@@ -48,38 +51,41 @@ def avg_price(
     prices = with_price(data, cols)
     measures = list(dict.fromkeys([*metrics, share_metric]))
     members = [c for c in dict.fromkeys([*dims.regions, *dims.segments]) if c in prices.columns]
-    # one aggregate of the rows at the finest grain; the mean row price is carried as (sum, count) so it stays
-    # row-weighted; cells are made from these rows, and both grains of a cell come from one more aggregate
-    finest = [cols.date, cols.product, cols.outlet, cols.data_partner]
-    base = prices.groupBy(*finest, *members).agg(
+    rows = prices.where(F.col(cols.outlet).isNotNull() & F.col(cols.data_partner).isNotNull())
+    item = [cols.date, cols.product]
+    # sums per finest cell and partner; the mean row price is carried as (sum, count) so it stays row-weighted
+    sums = [*measures, "__price_sum", "__price_n"]
+    finest = rows.groupBy(*item, *members, cols.data_partner).agg(
         *[F.sum(m).alias(m) for m in measures],
         F.sum(cols.price).alias("__price_sum"),
         F.count(cols.price).alias("__price_n"),
     )
-    carried = [*measures, "__price_sum", "__price_n"]
-    cells = expand_cells(base, dims, [*finest, *carried, *members])
-    keys = [cols.date, cols.product, *cells.keys]
-    both = materialize(two_grains(cells.df, keys, [cols.outlet], cols.data_partner, carried))
-    grain = outlet_rows(both, [*keys, cols.outlet], carried)
-    shares = partner_shares(partner_rows(both, keys, cols.data_partner, share_metric), keys)
-    summary = partner_summary(shares, keys, cols.data_partner, tie_policy)
+    # one more exchange of these, by keys that every cell of a partner keeps
+    finest = finest.repartition(*item, cols.data_partner)
+    rolled = roll_up(finest, [*item, cols.data_partner], dims, dict.fromkeys(sums, F.sum))
+    keys = [*item, *rolled.keys]
+    partners = materialize(rolled.df)
+    # the outlets of every cell as sets: the rows move once, by word, and the cells of a word are made where it lies
+    words = set_words(rows.select(*item, *members, cols.outlet), cols.outlet).select(*item, *members, WORD, BITS)
+    words = merged_sets(words.repartition(*item, WORD), [*item, *members])
+    outlets = distinct_outlets(roll_up(words, [*item, WORD], dims, {BITS: F.bit_or}).df, keys)
+    volumes = partners.withColumn("dp_volume", F.col(share_metric))
+    every = partner_shares(volumes, keys, sums)  # one window pass gives the shares and the sums of a cell
+    shares = every.drop(*sums)
+    summary = partner_summary(every, keys, cols.data_partner, tie_policy, sums)
     has_top = F.col("nda_data_partner_with_max_share").isNotNull()
-    cube = grain.groupBy(*keys).agg(
-        *[F.sum(f"sum_{m}").alias(f"sum_{m}") for m in metrics],
-        F.count(F.lit(1)).alias("outlet_count"),
-        F.try_divide(F.sum("sum___price_sum"), F.sum("sum___price_n").cast("double")).alias("avg_price"),
-    )
+    cube = summary.withColumns({f"sum_{m}": F.col(m) for m in metrics})
+    cube = cube.withColumn("avg_price", F.try_divide("__price_sum", F.col("__price_n").cast("double"))).drop(*sums)
+    cube = outlets.join(cube, keys)
     cube = cube.withColumns({f"{m}_ros": rate_of_sale(f"sum_{m}", "outlet_count") for m in metrics})
-    # the partner summary is joined once; the cube query and the published rows prune it
-    full = cube.join(summary, keys, "inner")
-    dom = summary.where(has_top)
+    dom = summary.where(has_top).drop(*sums)
 
-    labels = list(cells.labels)
+    labels = list(rolled.labels)
     ros_cols = [f"{m}_ros" for m in metrics]
     head = [cols.date, cols.product, *labels, "avg_price", *ros_cols, "outlet_count"]
-    cube = full.drop("nda_data_partner_with_max_share", "nda_max_data_partner_share")
+    full, cube = cube, cube.drop("nda_data_partner_with_max_share", "nda_max_data_partner_share")
     joined = full.where(has_top).select(
-        *head, "data_partner_count", "nda_data_partner_with_max_share", "nda_max_data_partner_share", *cells.keys[:1]
+        *head, "data_partner_count", "nda_data_partner_with_max_share", "nda_max_data_partner_share", CELL_ID
     )
     published = suppress(joined, thresholds).select(*head)
-    return AvgStages(cells=cells, keys=keys, cube=cube, shares=shares, dominance=dom, joined=joined, published=published)
+    return AvgStages(keys=keys, cube=cube, shares=shares, dominance=dom, joined=joined, published=published)

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from rosband.functions.units import UnitRule
 from rosband.operators.bands import edges_wide
 from rosband.operators.cleaning import remove_outliers
+from rosband.operators.joins import materialize
 from rosband.operators.rollup import CELL_ID
 from rosband.plans.avg_price import AvgStages, avg_price
 from rosband.plans.price_bands import BandStages, price_bands
@@ -41,7 +42,7 @@ def _cleaned(
     data = conform(extract, schema)
     if periods is not None:  # outlier groups hold the date, and a date is in one period
         data = data.where(data["period"].isin(list(periods)))
-    return remove_outliers(data, groups, rules, metrics, 3)
+    return materialize(remove_outliers(data, groups, rules, metrics, 3))
 
 
 def price_report(

@@ -13,10 +13,10 @@ all-region / all-segment roll-ups):
 5. the band price is the mean over the weeks of the cell's edge;
 6. cells are published only if they pass the disclosure rule.
 
-Plan shape: prices are counted per date, item and dimension members before the roll-up cells
-are made from the counts, and edges are selected by rank from that histogram.  One ``explode``
-expands the rows into their cells for the bands; one grouping-sets aggregate of the banded
-rows feeds every later statistic.  Each stage is built when it is asked for: the edges, the
+Plan shape: edges are selected by rank from prices that are expanded into their cells as they are
+read (counted first where prices repeat).  Rows look their cells' edges up by place and are then
+expanded once; one grouping-sets aggregate of the banded rows feeds every later statistic, with
+exact sets of outlets that merge over dates and bands.  Each stage is built when it is asked for: the edges, the
 banded rows' grains and what reads them write their intermediates then, other stages stay lazy.
 """
 
@@ -30,11 +30,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosband.functions.measures import unit_price
-from rosband.operators.bands import assign_bands, band_prices, edges_from_histogram, price_histogram
+from rosband.operators.bands import assign_bands, band_prices, counted_prices, edges_from_histogram
 from rosband.operators.disclosure import partner_shares, partner_summary, suppress
 from rosband.operators.joins import materialize
-from rosband.operators.rollup import CELL_ID, Cells, carried, expand_cells, expand_items, own_cells
-from rosband.operators.ros import distinct_outlets, outlet_rows, partner_rows, period_ros, two_grains, weekly_ros
+from rosband.operators.rollup import CELL_ID, Cells, carried, expand_cells, expand_items
+from rosband.operators.ros import distinct_outlets, merged_sets, outlet_rows, partner_rows, period_ros, two_grains, weekly_ros
 from rosband.schema import DEFAULT_METRICS, DEFAULT_QUANTILES, Columns, DimSpec, Thresholds, require_columns
 
 
@@ -90,17 +90,13 @@ class BandStages:
         return [*self.cell_keys, "percentile"]
 
     @cached_property
-    def histogram(self) -> DataFrame:
-        """Rows per price of every cell and date: counted per members first, then summed over the cells they are in."""
+    def edges(self) -> DataFrame:
+        """Edges of every cell and date; prices are expanded into their cells as they are read, never written."""
         c = self.cols
         keys = [c.date, c.period, "product_type", "product", c.price]
-        base = price_histogram(self.prices, [*keys[:-1], *self._members], c.price)
-        cells = expand_cells(base, self.dims, [*keys, "__n", *self._members]).df
-        return materialize(price_histogram(cells, self.date_keys, c.price, F.col("__n")))
-
-    @cached_property
-    def edges(self) -> DataFrame:
-        return materialize(edges_from_histogram(self.histogram, self.date_keys, self.quantiles, self.cols.price))
+        counted = counted_prices(self.prices, [*keys[:-1], *self._members], c.price)
+        cells = expand_cells(counted, self.dims, [*keys, "__n", *self._members]).df
+        return materialize(edges_from_histogram(cells, self.date_keys, self.quantiles, c.price))
 
     @cached_property
     def band_prices(self) -> DataFrame:
@@ -111,39 +107,38 @@ class BandStages:
         rows = self.prices.select(*self._carry)
         items = [self.cols.date, self.cols.period, "product_type", "product"]
         keep = carried(rows, self.dims, self._carry)
-        return assign_bands(
-            rows, own_cells(rows, self.dims), self.edges, items, self.cells.keys, keep, self.quantiles, self.cols.price
-        )
+        return assign_bands(rows, self.dims, self.edges, items, keep, self.quantiles, self.cols.price)
 
     @cached_property
     def grain(self) -> DataFrame:
-        """Band x date x outlet sums and band x partner volumes, written: four statistics read them."""
+        """Outlet sets and sums per band and date, and partner volumes per band, written: four statistics read them."""
         c = self.cols
-        return materialize(two_grains(self.banded, self.band_keys, [c.date, c.outlet], c.data_partner, self.measures))
+        return materialize(two_grains(self.banded, self.band_keys, [c.date], c.outlet, c.data_partner, self.measures))
+
+    @cached_property
+    def _weeks(self) -> DataFrame:
+        return outlet_rows(self.grain, [*self.band_keys, self.cols.date], self.measures)
 
     @cached_property
     def weekly(self) -> DataFrame:
-        c = self.cols
-        rows = outlet_rows(self.grain, [*self.band_keys, c.date, c.outlet], self.measures)
-        return weekly_ros(rows, [c.date, *self.band_keys], self.metrics, c.outlet)
+        return weekly_ros(self._weeks, [self.cols.date, *self.band_keys], self.metrics)
 
     @cached_property
     def period_ros(self) -> DataFrame:
         return period_ros(self.weekly, self.band_keys, self.metrics)
 
     @cached_property
-    def _pairs(self) -> DataFrame:
-        """Band x outlet pairs, shared by both outlet counts."""
-        c = self.cols
-        return outlet_rows(self.grain, [*self.band_keys, c.date, c.outlet], self.measures).select(*self.band_keys, c.outlet).distinct()
+    def _sets(self) -> DataFrame:
+        """The outlets of a band over all dates, shared by both outlet counts."""
+        return merged_sets(self._weeks, self.band_keys)
 
     @cached_property
     def outlets(self) -> DataFrame:
-        return self._pairs.groupBy(*self.band_keys).agg(F.count(F.lit(1)).alias("outlet_count"))
+        return distinct_outlets(self._sets, self.band_keys)
 
     @cached_property
     def totals(self) -> DataFrame:
-        return distinct_outlets(self._pairs, self.cell_keys, self.cols.outlet, "total_outlet_count")
+        return distinct_outlets(merged_sets(self._sets, self.cell_keys), self.cell_keys, "total_outlet_count")
 
     @cached_property
     def shares(self) -> DataFrame:

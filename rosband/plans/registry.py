@@ -137,7 +137,7 @@ class Study:
 
     @cached_property
     def clean_in_periods(self) -> DataFrame:
-        """``clean`` restricted to the band periods, with the filter applied first.
+        """``clean`` restricted to the band periods, with the filter applied first; written, several jobs read it.
 
         Outlier groups contain the date, and a date lies in one period, so
         filtering periods before the outlier step gives exactly the rows of
@@ -145,7 +145,7 @@ class Study:
         selected period directories.
         """
         in_periods = self.fact.where(F.col("period").isin(list(retail.PERIOD_FILTER)))
-        return remove_outliers(in_periods, OUTLIER_GROUPS_A, UNIT_RULES_A, OUTLIER_METRICS, 3)
+        return materialize(remove_outliers(in_periods, OUTLIER_GROUPS_A, UNIT_RULES_A, OUTLIER_METRICS, 3))
 
     @cached_property
     def multi_clean(self) -> DataFrame:
@@ -153,9 +153,9 @@ class Study:
 
     @cached_property
     def multi_clean_in_periods(self) -> DataFrame:
-        """``multi_clean`` in the band periods, filtered first (a quarter lies in one period)."""
+        """``multi_clean`` in the band periods, filtered first (a quarter lies in one period); written."""
         in_periods = self.multi.where(F.col("period").isin(list(retail.PERIOD_FILTER)))
-        return remove_outliers(in_periods, OUTLIER_GROUPS_B, self.multi_rules, OUTLIER_METRICS, 3)
+        return materialize(remove_outliers(in_periods, OUTLIER_GROUPS_B, self.multi_rules, OUTLIER_METRICS, 3))
 
     # -- composites ------------------------------------------------------------
     @cached_property

@@ -15,34 +15,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosband.operators.joins import materialize
+from rosband.operators.numbers import ordinal
 from rosband.sources.snapshot import write_dataset
 
 
-def ordinal(df: DataFrame, order_by: str, name: str = "position") -> DataFrame:
-    """Number the rows 1..n in ascending ``order_by`` order without a single-task window."""
-    parts = max(1, df.sparkSession.sparkContext.defaultParallelism)
-    ranged = df.repartitionByRange(parts, F.col(order_by).asc_nulls_last()).sortWithinPartitions(order_by)
-    # a monotonic id is the partition's number and, in its low 33 bits, the row's place in the partition
-    ranged = ranged.withColumn("__mid", F.monotonically_increasing_id())
-    ranged = ranged.withColumn("__pid", F.shiftright("__mid", 33)).withColumn("__local", F.col("__mid") - F.shiftleft(F.col("__pid"), 33))
-    ranged = materialize(ranged.drop("__mid"))
-    sizes = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    # one row per partition: a running sum over this tiny table gives each partition's offset
-    offsets = sizes.select(
-        "__pid",
-        (F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1))).alias("__off"),
-    ).fillna(0, ["__off"])
-    out = ranged.join(offsets, "__pid")
-    return out.select(
-        (F.col("__off") + F.col("__local") + F.lit(1)).cast("long").alias(name),
-        *[c for c in df.columns],
-    )
-
-
 def report_lists(published: DataFrame, columns: Sequence[str], position: str = "position") -> DataFrame:
     """Zip the sorted distinct members of ``columns`` by position.
 

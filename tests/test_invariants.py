@@ -70,14 +70,15 @@ def test_stages_write_only_what_they_need(spark):
     with own.datasets.active():
         assert own.fact.count() > 0
         before = len(own.datasets.paths)
-        own.clean_in_periods  # noqa: B018  statistics of two metrics
+        own.clean_in_periods  # noqa: B018  statistics of two metrics, and the cleaned rows
         cleaned = len(own.datasets.paths)
         own.bands.labelled.count()
-    assert cleaned == before + 2 and len(own.datasets.paths) == cleaned  # no edges, no grain
+    assert cleaned == before + 3 and len(own.datasets.paths) == cleaned  # no edges, no grain
     own.datasets.close()
 
 
-def test_avg_price_expands_once(study):
+def test_avg_price_never_expands_rows(study, spark):
+    """Every expansion stands above an aggregate of the rows: cells are rolled up, parents from children."""
     import importlib
 
     plan_module = importlib.import_module("rosband.plans.avg_price")
@@ -88,14 +89,17 @@ def test_avg_price_expands_once(study):
         stages = plan_module.avg_price(study.clean)
     finally:
         plan_module.materialize = real
-    (grains,) = seen
-    text = grains._jdf.queryExecution().optimizedPlan().toString()
-    assert len(re.findall(r"Generate explode", text)) == 1
-    assert "Generate" not in stages.published._jdf.queryExecution().optimizedPlan().toString()
+    for df in (*seen, stages.published):
+        plan = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        below = [i for i, line in enumerate(plan) if "Generate" in line]
+        assert below
+        for i in below:  # its input is an aggregate, a pruning projection of one at most
+            assert any("Aggregate" in line for line in plan[i + 1 : i + 3]), plan[i : i + 3]
 
 
 def test_rows_are_joined_with_edges_before_they_are_expanded(study):
     plan = study.bands.banded._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction(array_contains" not in plan  # edges are looked up by place, not searched
     assert plan.count("Generate ") == 1 and plan.count("Join ") >= 1
     generate, joins = plan.index("Generate "), [m.start() for m in re.finditer("Join ", plan)]
     assert all(generate < j for j in joins)  # the expansion stands above every join of the rows
@@ -121,3 +125,50 @@ def test_price_buckets_follow_the_price(spark):
     df = spark.createDataFrame([(i, p) for i, p in enumerate(prices)], "i int, price double")
     got = [r["b"] for r in df.orderBy("i").select(price_bucket(F.col("price")).alias("b")).collect()]
     assert got == sorted(got)
+
+
+def test_edges_of_many_cells_are_found_by_place(spark):
+    """100 regions x 100 segments on a date: every row meets its own cells' edges."""
+    from rosband.operators.bands import assign_bands
+    from rosband.operators.rollup import CELL_ID
+    from rosband.schema import DimSpec
+
+    cell = lambda i: (f"r{i // 100:02d}", f"s{i % 100:02d}")
+    edges = [(1, 0, *cell(i), [float(i)]) for i in range(10_000) if i % 7] + [(1, 3, "GB", "All Pubs", [2e4])]
+    e = spark.createDataFrame(edges, f"d int, {CELL_ID} int, region string, segment string, edges array<double>")
+    rows = spark.createDataFrame([(1, i, *cell(i), i + j * 0.5) for i in range(0, 10_000, 37) for j in (0, 1)], "d int, i int, region string, segment string, price double")
+    got = assign_bands(rows, DimSpec(), e, ["d"], ["d", "i", "price"], [1.0])
+    want = {(i, i + j * 0.5, 0, *cell(i), 1.0 if j == 0 else None) for i in range(0, 10_000, 37) if i % 7 for j in (0, 1)}
+    want |= {(i, i + j * 0.5, 3, "GB", "All Pubs", 1.0) for i in range(0, 10_000, 37) for j in (0, 1)}
+    assert {tuple(r) for r in got.select("i", "price", CELL_ID, "region", "segment", "percentile").collect()} == want
+
+
+def test_sets_of_numbers_are_exact_beyond_one_word_and_merge(spark):
+    from rosband.operators.numbers import set_words
+    from rosband.operators.ros import distinct_outlets, merged_sets
+
+    ids = [0, 63, 64, 65, 4095, 40_000, 2**62, -1, -64, -(2**63), 2**63 - 1]
+    rows = [(k, d, i) for k in ("a", "b") for d in (1, 2) for n, i in enumerate(ids * 2) if (n + d) % 3 and (k == "a" or i > 60)]
+    for kind, make in (("long", lambda i: i), ("string", lambda i: f"outlet {i}")):
+        df = spark.createDataFrame([(k, d, make(i)) for k, d, i in rows], f"k string, d int, o {kind}")
+        sets = merged_sets(set_words(df, "o"), ["k", "d"])
+        got = {(r["k"], r["d"]): r["outlet_count"] for r in distinct_outlets(sets, ["k", "d"]).collect()}
+        assert got == {(k, d): len({i for kk, dd, i in rows if (kk, dd) == (k, d)}) for k, d, _ in rows}
+        over = {r["k"]: r["outlet_count"] for r in distinct_outlets(merged_sets(sets, ["k"]), ["k"]).collect()}
+        assert over == {k: len({i for kk, _, i in rows if kk == k}) for k, _, _ in rows}
+
+
+@pytest.mark.parametrize("repeated", [True, False])
+def test_counting_prices_first_is_a_choice_of_plan_only(spark, repeated):
+    import numpy as np
+
+    from rosband.operators.bands import counted_prices, edges_from_histogram
+    from rosband.schema import DEFAULT_QUANTILES
+
+    prices = [float(i % (13 if repeated else 10_007)) * 1.25 for i in range(3_000)]
+    df = spark.createDataFrame([(i % 2, p) for i, p in enumerate(prices)], "k int, price double")
+    counted = counted_prices(df, ["k"])
+    assert (counted.count() < 100) == repeated
+    for r in edges_from_histogram(counted, ["k"], DEFAULT_QUANTILES).collect():
+        own = [p for i, p in enumerate(prices) if i % 2 == r["k"]]
+        assert np.allclose(r["edges"], np.percentile(own, [20, 40, 60, 80, 100]), rtol=0, atol=1e-9)
