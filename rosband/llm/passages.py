@@ -8,7 +8,8 @@ and ends, up to its last equal word on both sides.
 Within a window the least hash of ``gram`` consecutive words is its mark, so equal windows have equal marks.  The
 windows of one place of a mark follow each other and are one row with the hash of all their words.  Only marks
 at two places or more go on.  A row whose words stand at an earlier place goes whole; where a mark has rows of
-different words, the first row of each is taken apart into its windows, which are compared by content.  A passage that
+different words, the first row of each whose words agree with another's on one side of the mark, as those of equal
+windows must, is taken apart into its windows, which are compared by content.  A passage that
 thousands of documents share is thus one row a mark and document, and only its ends are taken apart.
 
 Lines whose words all go are deleted, in others the words with the space behind them (at a line's end: before them).
@@ -36,10 +37,17 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _PIECE = 1 << 16
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def _powers(base: int, n: int) -> np.ndarray:
-    steps = np.full(n, base, np.uint64)
-    steps[:1] = 1
-    return np.cumprod(steps, dtype=np.uint64)
+    """The first ``n`` powers; the longest table asked for so far is kept."""
+    known = _POWERS.get(base)
+    if known is None or len(known) < n:
+        steps = np.full(1 << max(n - 1, 1).bit_length(), base, np.uint64)
+        steps[0] = 1
+        known = _POWERS[base] = np.cumprod(steps, dtype=np.uint64)
+    return known[:n]
 
 
 class Sums:
@@ -63,14 +71,19 @@ def gram_size(min_words: int) -> int:
     return max(1, 2 * min_words // 5)
 
 
-def marks(sums: Sums, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``mark, whole, lo, hi``: for each place of a mark the first and last start of its windows and the hash of their words."""
+def marks(sums: Sums, min_words: int) -> tuple[np.ndarray, ...]:
+    """For each place of a mark ``mark, whole, lo, hi, left, right``: the first and last start of its windows, the hash of
+    their words, and a hash of the words before and behind the mark (a random number where there are too few).
+
+    A window has ``min_words - gram`` words beside its mark, half of them or more on one side.  So of equal windows the
+    marks have equal words on the left, or on the right, as many as ``left`` and ``right`` take in.
+    """
     gram = gram_size(min_words)
     width = min_words - gram + 1
     windows = sums.n - min_words + 1
     if windows <= 0:
         none = np.zeros(0, np.int64)
-        return none.view(np.uint64), none.view(np.uint64), none, none
+        return none.view(np.uint64), none.view(np.uint64), none, none, none.astype(np.int32), none.astype(np.int32)
     at = np.arange(sums.n - gram + 1)
     hashes = sums.runs(at, at + gram)
     best, size = at, 1  # best[i]: place of the least of ``size`` hashes from i on, the last of equal ones
@@ -81,11 +94,19 @@ def marks(sums: Sums, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
         size += step
     lo = np.flatnonzero(np.concatenate([[True], best[1:] != best[:-1]]))
     hi = np.concatenate([lo[1:], [windows]]) - 1
-    return hashes[best[lo]], sums.runs(lo, hi + min_words), lo, hi
+    mark, side = best[lo], (min_words - gram + 1) // 2
+    whole = sums.runs(lo, hi + min_words)
+    left = np.where(mark >= side, sums.runs(np.maximum(mark - side, 0), mark), whole)
+    end = mark + gram
+    right = np.where(end + side <= sums.n, sums.runs(end, np.minimum(end + side, sums.n)), whole)
+    # 32 bits each: equal hashes of different words only let a window be compared in vain
+    return hashes[mark], whole, lo, hi, (left >> np.uint64(32)).astype(np.uint32).view(np.int32), (
+        right >> np.uint64(32)
+    ).astype(np.uint32).view(np.int32)
 
 
 def _places(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
-    names = ["key", "text_hash", "mark", "whole", "lo", "hi"]
+    names = ["key", "text_hash", "mark", "whole", "lo", "hi", "left", "right"]
     for batch in batches:
         key, text_hash = (batch.column(n).to_numpy() for n in names[:2])
         held: list[tuple] = []
@@ -95,7 +116,7 @@ def _places(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.Re
             n = len(found[0])
             if n:
                 held.append((np.full(n, key[i]), np.full(n, text_hash[i]), found[0].view(np.int64), found[1].view(np.int64),
-                             found[2].astype(np.int32), found[3].astype(np.int32)))
+                             found[2].astype(np.int32), found[3].astype(np.int32), *found[4:]))
                 size += n
             if size >= _PIECE:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held, strict=True)], names)
@@ -136,7 +157,8 @@ def repeats(docs: DataFrame, min_words: int) -> DataFrame:
     span = F.struct("lo", "hi")
     places = written(
         _keyed(docs).mapInArrow(
-            lambda x: _places(x, min_words), "key long, text_hash long, mark long, whole long, lo int, hi int"
+            lambda x: _places(x, min_words),
+            "key long, text_hash long, mark long, whole long, lo int, hi int, left int, right int",
         )
     )
     twice = written(places.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark"))
@@ -145,23 +167,30 @@ def repeats(docs: DataFrame, min_words: int) -> DataFrame:
     later = shared.join(first.where("n > 1").select("mark", "whole", "first"), ["mark", "whole"]).where(own != F.col("first"))
     later = later.select("key", "text_hash", "lo", "hi")
 
-    # written, so that the join below reads a plain table and may be split at a hot mark
+    # the first rows of marks that have rows of different words; written, so that the joins below read a plain table
     mixed = written(first.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark"))
     apart = shared.join(first.select("mark", "whole", "first"), ["mark", "whole"]).where(own == F.col("first"))
-    apart = apart.join(mixed, "mark", "left_semi").groupBy("key", "text_hash").agg(F.collect_set(span).alias("spans"))
+    apart = written(apart.join(mixed, "mark", "left_semi").select("mark", "key", "text_hash", "lo", "hi", "left", "right"))
+    # of these only what has equal words on one side of the mark can hold equal windows
+    sides = [apart.groupBy("mark", s).agg(F.count("*").alias(f"n_{s}")).where(f"n_{s} > 1") for s in ("left", "right")]
+    for side, counts in zip(("left", "right"), sides, strict=True):
+        apart = apart.join(written(counts), ["mark", side], "left")
+    apart = apart.where("n_left IS NOT NULL OR n_right IS NOT NULL").groupBy("key", "text_hash")
+    apart = apart.agg(F.collect_set(span).alias("spans"))
     windows = _keyed(docs).join(written(apart), ["key", "text_hash"]).select("key", "text_hash", "text", "spans")
     windows = written(
         windows.mapInArrow(lambda x: _windows(x, min_words), "content long, key long, text_hash long, start int")
     )
     place = F.struct("key", "text_hash", "start")
     least = windows.groupBy("content").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    single = windows.join(least, "content").where(place != F.col("first"))
+    single = windows.join(written(least), "content").where(place != F.col("first"))
     single = single.select("key", "text_hash", F.col("start").alias("lo"), F.col("start").alias("hi"))
     return later.unionAll(single).groupBy("key", "text_hash").agg(F.collect_set(span).alias("spans"))
 
 
-def cut(text: str, spans: list[tuple[int, int]], min_words: int) -> tuple[str, list[int]]:
-    """``text`` without the words of the windows that start at ``lo`` to ``hi`` of ``spans``, and the numbers of deleted lines."""
+def cut(text: str, spans: list[tuple[int, int]], min_words: int) -> tuple[str, list[int], int]:
+    """``text`` without the words of the windows that start at ``lo`` to ``hi`` of ``spans``, the numbers of the lines
+    deleted whole and the number of words deleted, in whole lines or not."""
     gone: list[list[int]] = []
     for lo, hi in sorted(spans):
         if gone and lo <= gone[-1][1]:
@@ -170,42 +199,43 @@ def cut(text: str, spans: list[tuple[int, int]], min_words: int) -> tuple[str, l
             gone.append([lo, hi + min_words])
     left, lines, at, k = [], [], 0, 0
     for number, line in enumerate(text.split("\n")):
-        words = [m.span() for m in _WORD.finditer(line)]
-        end = at + len(words)
+        n = len(line.encode().split())  # as many words as ``line_words`` gives
+        end = at + n
         while k < len(gone) and gone[k][1] <= at:
             k += 1
         own = []
         for lo, hi in gone[k:]:
             if lo >= end:
                 break
-            own.append((max(lo - at, 0), min(hi - at, len(words))))
+            own.append((max(lo - at, 0), min(hi - at, n)))
         at = end
-        if not words:
+        if not n:
             own = []
-        elif own and own[0] == (0, len(words)):
+        elif own and own[0] == (0, n):
             lines.append(number)
             continue
+        words = [m.span() for m in _WORD.finditer(line)] if own else []
         for a, b in reversed(own):
-            if b < len(words):
+            if b < n:
                 line = line[: words[a][0]] + line[words[b][0] :]
             else:
                 line = line[: words[a - 1][1]] + line[words[-1][1] :]
         left.append(line)
-    return "\n".join(left), lines
+    return "\n".join(left), lines, sum(hi - lo for lo, hi in gone)
 
 
-def dedup(docs: DataFrame, min_words: int, gone: str | None = None) -> DataFrame:
+def dedup(docs: DataFrame, min_words: int, gone: str | None = None, n_words: str | None = None) -> DataFrame:
     """``docs`` without later repeats of passages in ``text`` (``n_chars`` follows the text).  ``gone`` names a column for
-    the numbers of the lines deleted whole (an empty array where none is)."""
+    the numbers of the lines deleted whole (an empty array where none is), ``n_words`` one for the words deleted."""
 
-    @F.arrow_udf("struct<text: string, gone: array<int>>")
+    @F.arrow_udf("struct<text: string, gone: array<int>, n_words: long>")
     def without(text: pa.Array, spans: pa.Array) -> pa.Array:
         out = [
             None if s is None else cut(t, [(x["lo"], x["hi"]) for x in s], min_words)
             for t, s in zip(text.to_pylist(), spans.to_pylist(), strict=True)
         ]
-        out = [None if x is None else {"text": x[0], "gone": x[1]} for x in out]
-        return pa.array(out, pa.struct([("text", pa.string()), ("gone", pa.list_(pa.int32()))]))
+        out = [None if x is None else {"text": x[0], "gone": x[1], "n_words": x[2]} for x in out]
+        return pa.array(out, pa.struct([("text", pa.string()), ("gone", pa.list_(pa.int32())), ("n_words", pa.int64())]))
 
     found = repeats(docs, min_words).select(
         F.col("key").alias("__llm_key"), F.col("text_hash").alias("__llm_hash"), F.col("spans").alias("__llm_spans")
@@ -217,7 +247,9 @@ def dedup(docs: DataFrame, min_words: int, gone: str | None = None) -> DataFrame
     out = out.withColumn("text", F.when(touched, F.col("__llm_left.text")).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(touched, F.length("text")).otherwise(F.col("n_chars")))
-    names = [F.col(c) for c in docs.columns if c != gone]
+    names = [F.col(c) for c in docs.columns if c not in (gone, n_words)]
+    if n_words:
+        names.append(F.coalesce("__llm_left.n_words", F.lit(0).cast("long")).alias(n_words))
     if gone:
         names.append(F.coalesce("__llm_left.gone", F.array().cast("array<int>")).alias(gone))
     return out.select(*names)

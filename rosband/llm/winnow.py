@@ -183,11 +183,13 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS, gone: str | None = None)
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    """Per document the lines deleted whole (numbers from 0) and the SHA-256 of the text that is left (null: empty)."""
-    out = passages.dedup(docs.select("doc_id", "text"), MIN_WORDS, gone="gone")
+    """Per document the lines deleted whole (numbers from 0), the words deleted in whole lines or inside one, and the
+    SHA-256 of the text that is left (null: empty)."""
+    out = passages.dedup(docs.select("doc_id", "text"), MIN_WORDS, gone="gone", n_words="n_words_removed")
     return out.select(
         "doc_id",
         F.size("gone").cast("long").alias("n_removed"),
+        "n_words_removed",
         F.array_join("gone", ",").alias("removed_lines"),
         F.sha2(text_or_empty(), 256).alias("text_sha256"),
     )

@@ -34,12 +34,14 @@ def test_passages_inside_lines_like_brute_force(make_docs):
             words += p[rng.randint(0, 4) : len(p) - rng.randint(0, 4)]
         docs[i] = "".join(w + rng.choice([" ", " ", " ", "  ", "\n", "\n\n"]) for w in words)
     docs[200], docs[201] = "ha ha " * 30, "so ha " + "ha " * 12 + "end"
-    got = {r["doc_id"]: r for r in passages.dedup(make_docs([(i, t, "en", "s") for i, t in docs.items()]), 10, gone="gone").collect()}
+    table = make_docs([(i, t, "en", "s") for i, t in docs.items()])
+    got = {r["doc_id"]: r for r in passages.dedup(table, 10, gone="gone", n_words="n").collect()}
     want = gone_words(docs, 10)
     assert sum(map(len, want.values())) > 500
     for i, t in docs.items():
         assert norm(got[i]["text"]) == [w for k, w in enumerate(norm(t)) if k not in want[i]]
         assert got[i]["text"] == t or want[i]
+        assert got[i]["n"] == len(want[i])
         at, lines = 0, []
         for n, line in enumerate(t.split("\n")):
             k = len(norm(line))
