@@ -31,7 +31,7 @@ carried AS (SELECT host, norm, count(DISTINCT t) AS n, min(k) AS first_k FROM wo
 hosts AS (SELECT host, count(DISTINCT t) AS n FROM u GROUP BY host),
 above AS (
   SELECT c.host, c.norm, c.first_k FROM carried c JOIN hosts h USING (host)
-  WHERE c.n > {quality.MIN_DOCS} AND c.n > CAST({quality.HOST_SHARE} AS DOUBLE) * h.n
+  WHERE c.n > {quality.MIN_DOCS} AND (c.n > {quality.MAX_DOCS} OR c.n > CAST({quality.HOST_SHARE} AS DOUBLE) * h.n)
 ), gone AS (
   SELECT y.k, y.t, y.host, sum(y.n) AS n FROM wordy y JOIN above a ON y.host = a.host AND y.norm = a.norm AND y.k <> a.first_k
   GROUP BY y.k, y.t, y.host

@@ -2,9 +2,10 @@
 
 Base rules look at one text: its words, symbols, repeated lines and repeated 8-word windows.  The
 method looks across documents: lines are normalised and hashed; per host (``source``) it counts the
-distinct documents that carry a line; a line carried by more than ``max(min_docs, share * documents of
-the host)`` documents is above the limit and is removed from all of them but the first (smallest
-doc_id); a document that keeps less than ``keep_words`` of its words is depleted and rejected.
+distinct documents that carry a line; a line carried by more than ``max_docs`` documents is above the limit, in
+a small host by more than ``share`` of its documents (never by ``min_docs`` or fewer), and is removed from all of them
+but the first (smallest doc_id); a document that keeps less than ``keep_words`` of its words is depleted and
+rejected.  The limit does not grow with the host, so a footer of a large host goes as surely as one of a small host.
 
 Documents with equal texts count as one document of the host, both for a line's count and for the
 host's size: a group of copies is for near-duplicate removal to thin out, and must not turn its own
@@ -31,9 +32,12 @@ from pyspark.sql import functions as F
 from rosband.llm.common import text_or_empty, written
 from rosband.llm.lines import line_hash, line_words
 
-#: A line is above the limit in a host when more documents than both of these carry it.
-MIN_DOCS = 20
+#: A line is above the limit in a host when more documents than this carry it,
+MAX_DOCS = 40
+#: or, where that is less, more than this share of the host's documents,
 HOST_SHARE = 0.1
+#: but never when so many or fewer do.
+MIN_DOCS = 10
 #: Share of a document's words that must be left.
 KEEP_WORDS = 0.3
 _LAST_ID = (1 << 63) - 1
@@ -116,7 +120,9 @@ def counts(docs: DataFrame) -> DataFrame:
     )
 
 
-def lines_above(counted: DataFrame, min_docs: int = MIN_DOCS, share: float = HOST_SHARE) -> DataFrame:
+def lines_above(
+    counted: DataFrame, min_docs: int = MIN_DOCS, share: float = HOST_SHARE, max_docs: int = MAX_DOCS
+) -> DataFrame:
     """``host, line, first_key``: the lines above the limit and the document that keeps them."""
     key = F.coalesce("doc_id", F.lit(_LAST_ID)).alias("key")
     lines = counted.select("host", "text_hash", key, F.explode("lines.line").alias("line"))
@@ -126,18 +132,22 @@ def lines_above(counted: DataFrame, min_docs: int = MIN_DOCS, share: float = HOS
     return (
         carried.where(F.col("n") > min_docs)
         .join(sizes, "host")
-        .where(F.col("n") > share * F.col("docs"))
+        .where((F.col("n") > max_docs) | (F.col("n") > share * F.col("docs")))
         .select("host", "line", "first_key")
     )
 
 
 def verdicts(
-    docs: DataFrame, min_docs: int = MIN_DOCS, share: float = HOST_SHARE, keep_words: float = KEEP_WORDS
+    docs: DataFrame,
+    min_docs: int = MIN_DOCS,
+    share: float = HOST_SHARE,
+    keep_words: float = KEEP_WORDS,
+    max_docs: int = MAX_DOCS,
 ) -> DataFrame:
     """Per row of ``docs``: the base counts, ``removed_words``, ``removed_at`` (line numbers) and ``kept``."""
     counted = written(counts(docs))
     key = F.coalesce("doc_id", F.lit(_LAST_ID))
-    above = lines_above(counted, min_docs, share)
+    above = lines_above(counted, min_docs, share, max_docs)
     carried = counted.select("host", "text_hash", key.alias("key"), F.inline("lines"))
     removed = (
         carried.join(above, ["host", "line"])

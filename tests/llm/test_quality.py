@@ -53,6 +53,21 @@ def test_lines_above_the_limit(make_docs):
     assert kept[3]["text"] == body(3) and kept[3]["n_chars"] == len(body(3)) and kept[0]["text"].startswith("Home")
 
 
+def test_default_limits_do_not_grow_with_the_host(make_docs):
+    """A footer in 60 of 1,500 documents goes, and documents that are little else are rejected."""
+    footer = "sign up for our letter and never miss what our many good friends write about the town and its people"
+    rows = [(i, f"{body(i, 30)}\n{footer}", "en", "large") for i in range(50)]
+    rows += [(100 + i, f"{footer}\n{body(200 + i, 4)}", "en", "large") for i in range(10)]
+    rows += [(1000 + i, body(500 + i), "en", "large") for i in range(1440)]
+    rows += [(5000 + i, f"{footer}\n{body(4000 + i, 4)}", "en", "small") for i in range(quality.MIN_DOCS)]
+    got = {r["doc_id"]: r for r in quality.verdicts(make_docs(rows)).collect()}
+    n = len(footer.split())
+    assert [got[i]["removed_words"] for i in range(50)] == [0] + [n] * 49 and all(got[i]["kept"] for i in range(50))
+    assert not any(got[100 + i]["kept"] for i in range(10))  # depleted
+    assert all(got[5000 + i]["kept"] and got[5000 + i]["removed_words"] == 0 for i in range(quality.MIN_DOCS))
+    assert sum(r["removed_words"] > 0 for r in got.values()) == 59
+
+
 def test_digits_and_case_are_normalised(make_docs):
     rows = [(i, f"Page {i} OF 99\n{body(i)}", "en", "h") for i in range(6)]
     got = quality.verdicts(make_docs(rows), min_docs=2, share=0.1).collect()
