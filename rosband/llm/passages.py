@@ -21,20 +21,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosband.llm.common import text_or_empty, written
-from rosband.llm.lines import line_words
 
 _LAST_ID = (1 << 63) - 1
-#: Words of a line, as ``line_words`` splits them.
-_WORD = re.compile(r"[^ \t\r\x0b\x0c]+")
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_PIECE = 1 << 16
-
+#: What ``line_words`` splits at.
+_SPACE = re.compile(rb"[ \t-\r]")
+_IS_SPACE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
+_BASE, _BYTE_BASE = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
+_INVERSE, _BYTE_INVERSE = pow(_BASE, -1, 1 << 64), pow(_BYTE_BASE, -1, 1 << 64)
+#: Rows of a batch that goes out, and bytes of the texts that are hashed together.
+_PIECE, _BYTES = 1 << 16, 1 << 18
+_LOW = np.uint64((1 << 32) - 1)
 
 _POWERS: dict[int, np.ndarray] = {}
 
@@ -49,80 +49,141 @@ def _powers(base: int, n: int) -> np.ndarray:
     return known[:n]
 
 
-class Sums:
-    """Hashes of any run of words of a text (polynomial, modulo 2**64)."""
+def _mixed(x: np.ndarray, length: np.ndarray) -> np.ndarray:
+    x = x + length.astype(np.uint64)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
+def _edges(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of bytes that begin and end with a space."""
+    space = _IS_SPACE[data]
+    at = np.flatnonzero(space[1:] != space[:-1]) + 1
+    return at[0::2], at[1::2]
+
+
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the words of lower-cased text, split as by ``line_words``, runs of digits as one 0."""
+    places, hashes, at = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], 0
+    while at < len(data):
+        cut = _SPACE.search(data, at + _BYTES)
+        end = cut.start() if cut else len(data)
+        x = np.frombuffer(b" %b " % data[at:end], np.uint8)
+        start, stop = _edges(x)
+        places.append(start + (at - 1))
+        digit = (x - np.uint8(48)) < 10
+        if digit.any():
+            x = np.where(digit, np.uint8(48), x)
+            again = digit[1:] & digit[:-1]
+            if again.any():
+                x = x[np.concatenate(([True], ~again))]
+                start, stop = _edges(x)
+        upto = np.zeros(len(x) + 1, np.uint64)
+        np.cumsum(x * _powers(_BYTE_BASE, len(x)), dtype=np.uint64, out=upto[1:])
+        hashes.append(_mixed((upto[stop] - upto[start]) * _powers(_BYTE_INVERSE, len(x))[start], stop - start))
+        at = end
+    return np.concatenate(places), np.concatenate(hashes)
 
-    def __init__(self, text: str):
-        words = line_words(text)
-        self.n = n = len(words)
-        hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, n)
-        self.upto = np.zeros(n + 1, np.uint64)
-        np.cumsum(hashes * _powers(_BASE, n), dtype=np.uint64, out=self.upto[1:])
-        self.back = _powers(_INVERSE, n + 1)
+
+class Sums:
+    """Hashes of any run of words (polynomial, modulo 2**64) of texts that stand one after the other: text ``i`` has the
+    ``n[i]`` words from ``first[i]`` on."""
+
+    def __init__(self, texts: list[str]):
+        data = [x.lower().encode("utf-8", "surrogatepass") for x in texts]
+        ends = np.cumsum([len(x) + 1 for x in data])
+        places, hashes = word_hashes(b" ".join(data))
+        upto = np.searchsorted(places, np.concatenate(([0], ends)))
+        self.first, self.n = upto[:-1], np.diff(upto)
+        self.upto = np.zeros(len(hashes) + 1, np.uint64)
+        np.cumsum(hashes * _powers(_BASE, len(hashes)), dtype=np.uint64, out=self.upto[1:])
+        self.back = _powers(_INVERSE, len(hashes) + 1)
 
     def runs(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        x = (self.upto[end] - self.upto[start]) * self.back[start] + (end - start).astype(np.uint64)
-        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        return x ^ (x >> np.uint64(32))
+        return _mixed((self.upto[end] - self.upto[start]) * self.back[start], end - start)
 
 
 def gram_size(min_words: int) -> int:
     return max(1, 2 * min_words // 5)
 
 
-def marks(sums: Sums, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``mark, whole, lo, hi``: for each place of a mark the first and last start of its windows and the hash of their words."""
+def marks(sums: Sums, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``text, mark, whole, lo, hi``: for each place of a mark the text, the first and last start of its windows (words of
+    the text, from 0) and the hash of their words."""
     gram = gram_size(min_words)
     width = min_words - gram + 1
-    windows = sums.n - min_words + 1
-    if windows <= 0:
+    text = np.repeat(np.arange(len(sums.n)), sums.n)
+    start = np.flatnonzero(np.arange(len(text)) + min_words <= (sums.first + sums.n)[text])
+    if not len(start):
         none = np.zeros(0, np.int64)
-        return none.view(np.uint64), none.view(np.uint64), none, none
-    at = np.arange(sums.n - gram + 1)
+        return none, none.view(np.uint64), none.view(np.uint64), none, none
+    at = np.arange(len(text) - gram + 1)
     hashes = sums.runs(at, at + gram)
-    best, size = at, 1  # best[i]: place of the least of ``size`` hashes from i on, the last of equal ones
+    # the least of ``size`` hashes from a place on, with its place below: the last of equal ones
+    best, size = (hashes & ~_LOW) | (_LOW - at.astype(np.uint64)), 1
     while size < width:
         step = min(size, width - size)
-        a, b = best[:-step], best[step:]
-        best = np.where(hashes[a] < hashes[b], a, b)
+        best = np.minimum(best[:-step], best[step:])
         size += step
-    lo = np.flatnonzero(np.concatenate([[True], best[1:] != best[:-1]]))
-    hi = np.concatenate([lo[1:], [windows]]) - 1
-    return hashes[best[lo]], sums.runs(lo, hi + min_words), lo, hi
+    best = best[start] & _LOW  # a window's mark is in its own text, so texts do not share places
+    new = np.flatnonzero(np.concatenate(([True], best[1:] != best[:-1])))
+    lo, hi = start[new], start[np.concatenate((new[1:], [len(start)])) - 1]
+    text = text[lo]
+    first = sums.first[text]
+    mark = hashes[(_LOW - best[new]).astype(np.int64)]
+    return text, mark, sums.runs(lo, hi + min_words), lo - first, hi - first
+
+
+def _together(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``_BYTES`` characters or one longer text."""
+    begin = size = 0
+    for i, text in enumerate(texts):
+        if size and size + len(text) > _BYTES:
+            yield begin, i
+            begin, size = i, 0
+        size += len(text)
+    if begin < len(texts):
+        yield begin, len(texts)
 
 
 def _places(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
     names = ["key", "text_hash", "mark", "whole", "lo", "hi"]
     for batch in batches:
         key, text_hash = (batch.column(n).to_numpy() for n in names[:2])
-        held: list[tuple] = []
-        size = 0
-        for i, text in enumerate(batch.column("text")):
-            found = marks(Sums(text.as_py()), min_words)
-            n = len(found[0])
-            if n:
-                held.append((np.full(n, key[i]), np.full(n, text_hash[i]), found[0].view(np.int64), found[1].view(np.int64),
-                             found[2].astype(np.int32), found[3].astype(np.int32)))
-                size += n
-            if size >= _PIECE:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held, strict=True)], names)
-                held, size = [], 0
-        if held:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held, strict=True)], names)
+        texts = batch.column("text").to_pylist()
+        for a, b in _together(texts):
+            text, mark, whole, lo, hi = marks(Sums(texts[a:b]), min_words)
+            for at in range(0, len(text), _PIECE):
+                part = slice(at, at + _PIECE)
+                row = text[part] + a
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key[row]), pa.array(text_hash[row]), pa.array(mark[part].view(np.int64)),
+                     pa.array(whole[part].view(np.int64)), pa.array(lo[part].astype(np.int32)),
+                     pa.array(hi[part].astype(np.int32))],
+                    names,
+                )
 
 
 def _windows(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for key, text_hash, text, spans in zip(*(batch.column(n) for n in ("key", "text_hash", "text", "spans")), strict=True):
-            sums = Sums(text.as_py())
-            start = np.concatenate([np.arange(x["lo"], x["hi"] + 1) for x in spans.as_py()])
+        key, text_hash = (batch.column(n).to_numpy() for n in ("key", "text_hash"))
+        texts, spans = batch.column("text").to_pylist(), batch.column("spans")
+        lo, hi = (spans.flatten().field(n).to_numpy().astype(np.int64) for n in ("lo", "hi"))
+        upto = np.concatenate(([0], np.cumsum(spans.value_lengths().to_numpy())))
+        for a, b in _together(texts):
+            sums = Sums(texts[a:b])
+            own = slice(upto[a], upto[b])
+            n = hi[own] - lo[own] + 1
+            text = np.repeat(np.repeat(np.arange(b - a), np.diff(upto[a : b + 1])), n)
+            start = np.repeat(lo[own] - np.cumsum(n) + n, n) + np.arange(n.sum())
             for at in range(0, len(start), _PIECE):
-                part = start[at : at + _PIECE]
+                part, row = start[at : at + _PIECE], text[at : at + _PIECE]
+                place = part + sums.first[row]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(sums.runs(part, part + min_words).view(np.int64)),
-                        pa.array(np.full(len(part), key.as_py())),
-                        pa.array(np.full(len(part), text_hash.as_py())),
+                        pa.array(sums.runs(place, place + min_words).view(np.int64)),
+                        pa.array(key[row + a]),
+                        pa.array(text_hash[row + a]),
                         pa.array(part.astype(np.int32)),
                     ],
                     ["content", "key", "text_hash", "start"],
@@ -177,31 +238,31 @@ def cut(text: str, spans: list[tuple[int, int]], min_words: int) -> tuple[str, l
             gone[-1][1] = max(gone[-1][1], hi + min_words)
         else:
             gone.append([lo, hi + min_words])
-    left, lines, at, k = [], [], 0, 0
-    for number, line in enumerate(text.split("\n")):
-        n = len(line.encode().split())  # as many words as ``line_words`` gives
-        end = at + n
-        while k < len(gone) and gone[k][1] <= at:
-            k += 1
-        own = []
-        for lo, hi in gone[k:]:
-            if lo >= end:
-                break
-            own.append((max(lo - at, 0), min(hi - at, n)))
-        at = end
-        if not n:
-            own = []
-        elif own and own[0] == (0, n):
-            lines.append(number)
-            continue
-        words = [m.span() for m in _WORD.finditer(line)] if own else []
-        for a, b in reversed(own):
-            if b < n:
-                line = line[: words[a][0]] + line[words[b][0] :]
+    raw = text.encode()
+    data = np.frombuffer(b" %b " % raw, np.uint8)
+    start, stop = (x - 1 for x in _edges(data))
+    ends = [*np.flatnonzero(data == 10) - 1, len(raw)]  # of the lines, in bytes
+    upto = np.searchsorted(start, ends)  # words up to the end of each line
+    left, lines, at = [], [], 0
+    for lo, hi in gone:
+        for number in range(*np.searchsorted(upto, [lo, hi - 1], "right") + [0, 1]):
+            first, last = int(upto[number - 1]) if number else 0, int(upto[number])
+            if first == last:
+                continue
+            if lo <= first and last <= hi:
+                lines.append(int(number))
+                cut_from, cut_to = ends[number - 1] + 1 if number else 0, ends[number] + 1
+            elif hi < last:
+                cut_from, cut_to = start[max(lo, first)], start[hi]
             else:
-                line = line[: words[a - 1][1]] + line[words[-1][1] :]
-        left.append(line)
-    return "\n".join(left), lines, sum(hi - lo for lo, hi in gone)
+                cut_from, cut_to = stop[lo - 1], stop[last - 1]
+            left.append(raw[at:cut_from])
+            at = cut_to
+    left.append(raw[at:])
+    out = b"".join(left)
+    if lines and lines[-1] == len(ends) - 1:
+        out = out[:-1]  # the line end before it
+    return out.decode(), lines, sum(hi - lo for lo, hi in gone)
 
 
 def dedup(docs: DataFrame, min_words: int, gone: str | None = None, n_words: str | None = None) -> DataFrame:
