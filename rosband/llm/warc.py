@@ -12,7 +12,9 @@ identifier and the record type, so building again gives the same records.  ``ser
 bytes of a gzip member; members can be written one after the other into a ``.warc.gz`` file.
 
 HTML is read in one pass over its tags (quoted attribute values, comments, scripts and styles included); malformed
-markup is read on from where a tag cannot go on, so the time is in proportion to the length.
+markup is read on from where a tag cannot go on, so the time is in proportion to the length.  Content of hidden
+elements is no text; where such an element is never closed, script, style, iframe and textarea hide the rest of
+the page, the others nothing.
 
 Distribution: rows are independent; one ``mapInArrow`` without a shuffle.
 
@@ -45,6 +47,8 @@ BLOCKS = frozenset(
     "ul".split()
 )
 HIDDEN = frozenset("script style noscript template iframe object svg textarea".split())
+#: Those whose content is no markup: without an end tag they reach to the end of the page.
+RAW = frozenset("script style iframe textarea".split())
 
 _TAG = re.compile(r"""<(?:(/?)([A-Za-z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>?|!--|[!?][^>]*+>?)""")
 _HREF = re.compile(r"""(?<![^\s"'/])href\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))""", re.I)
@@ -56,6 +60,7 @@ def read_page(page: str) -> tuple[str, str, str, list[str]]:
     text: list[str] = []
     title: list[str] = []
     links: list[str] = []
+    unclosed: set[str] = set()
     lang, at, in_title = "", 0, False
     while True:
         m = _TAG.search(page, at)
@@ -78,9 +83,14 @@ def read_page(page: str) -> tuple[str, str, str, list[str]]:
         name, closing = name.lower(), bool(m.group(1))
         if name == "title":
             in_title = not closing
-        elif name in HIDDEN and not closing and not m.group(3).endswith("/"):
+        elif name in HIDDEN and name not in unclosed and not closing and not m.group(3).endswith("/"):
             end = re.compile(f"</{name}(?![^\\s/>])[^>]*+>?", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            if end:
+                at = end.end()
+            elif name in RAW:
+                at = len(page)
+            else:
+                unclosed.add(name)  # the start tag is passed over, here and further on
         elif name == "a" and not closing:
             if href := _HREF.search(m.group(3)):
                 links.append(html.unescape(next(g for g in href.groups() if g is not None)).strip())

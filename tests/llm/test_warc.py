@@ -2,6 +2,7 @@ import base64
 import gzip
 import hashlib
 import time
+from html.parser import HTMLParser
 
 import pytest
 
@@ -64,3 +65,47 @@ def test_awkward_pages(spark):
     assert len(twice) == 4 and len(set(twice)) == 2
     assert {r["block"] for r in got if r["page_id"] == 1 and r["warc_type"] == "conversion"} == {""}
     assert warc.digest(spark.createDataFrame([], PAGE)).collect() == []
+
+
+def test_unclosed_elements_hide_nothing():
+    for name in ("noscript", "svg", "object", "template"):
+        text, _, _, links = warc.read_page(f"<p>one<{name}>two</p><a href=/x>three</a><{name}>four")
+        assert text.split() == ["onetwo", "threefour"] and links == ["/x"], name
+    assert warc.read_page("<p>one<script>two<p>three")[0] == "one"
+    assert warc.read_page("<p>a<svg>b</svg>c<svg>d")[0] == "acd"
+    start = time.process_time()
+    warc.read_page("<svg>x" * 200_000)
+    assert time.process_time() - start < 5
+
+
+class Reader(HTMLParser):
+    """Text of a page, by the standard library's parser."""
+
+    def __init__(self):
+        super().__init__()
+        self.hidden, self.title, self.out = 0, False, []
+
+    def handle_starttag(self, tag, attrs):
+        self.hidden += tag in warc.HIDDEN
+        self.title = self.title or tag == "title"
+        self.out.append("\n" if tag in warc.BLOCKS else "")
+
+    def handle_endtag(self, tag):
+        self.hidden -= tag in warc.HIDDEN
+        self.title = self.title and tag != "title"
+        self.out.append("\n" if tag in warc.BLOCKS else "")
+
+    def handle_data(self, data):
+        if not self.hidden and not self.title:
+            self.out.append(data.replace("\n", " "))
+
+
+def test_whole_table_like_the_standard_parser(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    blocks = {r["refers_to"]: r["block"] for r in warc.digest(pages).where("warc_type = 'conversion'").collect()}
+    for r in warc.responses(pages).collect():
+        reader = Reader()
+        reader.feed(r["payload"] or "")
+        reader.close()
+        lines = (" ".join(x.split()) for x in "".join(reader.out).split("\n"))
+        assert blocks[r["record_id"]] == "\n".join(x for x in lines if x)
