@@ -1,8 +1,8 @@
 """Operator 3: language identification by cross-parsing entropy.
 
-Learning: per language a bounded sample of labelled texts (parameters ``ROWS``, ``ROW_CHARS``,
-``TOTAL_CHARS``) becomes one string and its suffix automaton, which accepts exactly the substrings of
-that string.  Prediction: a text is parsed left to right into phrases, each the longest match with the
+Learning: per language a bounded sample of whole labelled texts (``ROWS`` texts of at most ``ROW_CHARS`` characters; a
+language without such a text gives its shortest one) becomes one string and its suffix automaton, which accepts exactly
+the substrings of that string.  The bound is each language's own; no text is cut.  Prediction: a text is parsed left to right into phrases, each the longest match with the
 automaton (a letter that the sample lacks is a phrase of its own).  Fewer phrases mean that the text is
 closer to the language; ``phrases * log2(sample length) / text length`` estimates the bits per character of
 coding the text with the sample, and the language that needs the fewest wins (ties: the smaller name).
@@ -14,8 +14,8 @@ shares of a language and then over their winners; prediction is one ``mapInArrow
 texts are parsed in lockstep over one transition table; texts are never cut.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0; without any labelled text every
-row is ``und``; a null doc_id is not held out and not learned from; repeated rows, empty tables and extra
-columns need no care.
+row is ``und``; a null doc_id is not held out and not learned from; repeated rows are predicted alike and learned from
+once; an empty table gives no rows; extra columns pass through ``predict`` and are ignored elsewhere.
 """
 
 from __future__ import annotations
@@ -31,10 +31,9 @@ from pyspark.sql import functions as F
 
 from rosband.llm.common import written
 
-#: Bounds of the sample: rows a language, characters of a row, characters of all languages together.
-ROWS = 48
-ROW_CHARS = 800
-TOTAL_CHARS = 160_000
+#: Bounds of a language's sample: its rows, and the characters of a row that may be in it.
+ROWS = 24
+ROW_CHARS = 1_600
 #: Letters with a code of their own; the sample's rarer ones are parsed as letters it lacks.
 LETTERS = 250
 #: Characters parsed in lockstep at a time, and the number of texts below which they are parsed one by one.
@@ -48,17 +47,20 @@ def held_out() -> Column:
 
 
 def sample(docs: DataFrame, rows: int = ROWS, row_chars: int = ROW_CHARS) -> DataFrame:
-    """``lang, text``: the distinct labelled texts with the least hashes, ``rows`` a language at most."""
+    """``lang, text``: of the distinct labelled texts of at most ``row_chars`` those with the least hashes, ``rows`` a
+    language at most; for a language without one its shortest text."""
     learn = docs.where("lang is not null and text is not null and doc_id is not null").where(~held_out())
     learn = learn.select(F.col("lang").cast("string").alias("lang"), F.xxhash64("text").alias("h"), "text")
+    size = F.length("text")
+    over = F.when(size <= row_chars, F.lit(0)).otherwise(size)
     # first in shares of a language, then over what they leave: the last window holds a bounded number of rows
-    keys = learn.select("lang", "h").distinct().withColumn("share", F.pmod("h", F.lit(_SHARES)))
+    keys = learn.select("lang", "h", over.alias("over")).distinct().withColumn("share", F.pmod("h", F.lit(_SHARES)))
     for by in (["lang", "share"], ["lang"]):
-        least = Window.partitionBy(*by).orderBy("h")
-        keys = keys.withColumn("n", F.row_number().over(least)).where(F.col("n") <= rows).drop("n")
-    chosen = keys
-    chosen = written(chosen.select("lang", "h"))
-    texts = learn.join(chosen, ["lang", "h"]).select("lang", "h", F.substring("text", 1, row_chars).alias("text"))
+        least = Window.partitionBy(*by).orderBy("over", "h")
+        keys = keys.withColumn("n", F.row_number().over(least)).where(F.col("n") <= F.when(F.col("over") == 0, rows).otherwise(1))
+        keys = keys.drop("n")
+    chosen = written(keys.select("lang", "h"))
+    texts = learn.join(chosen, ["lang", "h"])
     return texts.dropDuplicates(["lang", "h"]).orderBy("lang", "h").select("lang", "text")
 
 
@@ -107,11 +109,10 @@ class Parser:
     ``table[state + code]`` holds the next state (times the alphabet) and, in its two low bits, the phrases that end
     there: none inside a match, one where a new match begins, one more for a letter that the language lacks."""
 
-    def __init__(self, texts: dict[str, list[str]], total_chars: int = TOTAL_CHARS):
+    def __init__(self, texts: dict[str, list[str]]):
         self.languages = sorted(texts)
         self.folded = _folded()
-        chars = max(1, total_chars // max(1, len(texts)))
-        joined = {k: self._codes_by(self.folded, "\n".join(v))[:chars] for k, v in texts.items()}
+        joined = {k: self._codes_by(self.folded, "\n".join(v)) for k, v in texts.items()}
         letters, n = np.unique(np.concatenate([*joined.values(), np.zeros(0, np.uint32)]), return_counts=True)
         kept = letters[np.lexsort((letters, -n))]
         kept = kept[kept != 0][:LETTERS]

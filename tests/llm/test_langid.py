@@ -43,6 +43,16 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r["score"] <= 1 for r in got)
 
 
+def test_sample_holds_whole_texts_of_every_language(make_docs):
+    rows = [(i, f"short text number {i} " * (1 + i % 3), "en", "s") for i in range(200)]
+    rows += [(1000 + i, "lang und mehr " * (500 + i), "de", "s") for i in range(20)]
+    learned = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2]
+    got = langid.learn(make_docs(rows), rows=5, row_chars=50)
+    fits = {t for _, t, lang, _ in learned if lang == "en" and len(t) <= 50}
+    assert len(got["en"]) == 5 and set(got["en"]) <= fits
+    assert got["de"] == [min((t for _, t, lang, _ in learned if lang == "de"), key=len)]
+
+
 def test_awkward_rows(awkward, empty_docs, make_docs):
     got = {(r["doc_id"], r["lang_pred"]) for r in langid.digest(awkward).collect()}
     assert {(2, "und"), (3, "und"), (6, "und"), (None, "und")} <= got
