@@ -14,7 +14,8 @@ the end of the prefix; only the one bucket per leaf that holds the end is sorted
 task, however large its source.
 
 Tokens are words between space and U+0009 to U+000D.  Domains: the test documents have none, so
-``domain_of_source`` deals sources to four of them; it is a parameter.
+``domain_of_source`` deals sources to four of them; it is a parameter.  A tree is a mapping of level names to columns
+of the documents; levels need a value in every row (a null node joins nothing, its rows are not selected).
 
 Defined cases: null lang, source or doc_id count as the empty string in tree and order; null or empty
 texts have no tokens and cost nothing; documents without tokens are in every prefix that ends behind
@@ -50,6 +51,14 @@ TREE: dict[str, Callable[[], Column]] = {
 }
 
 
+#: Target weights of the registered query and the pipeline by level and node; nodes that are not named weigh 1.
+WEIGHTS: dict[str, dict[str, float]] = {
+    "domain": {"domain0": 3.0, "domain1": 2.0, "domain3": 0.5},
+    "language": {"en": 4.0, "de": 2.0, "": 0.25},
+    "leaf_source": {"": 0.5},
+}
+
+
 def n_tokens(text: Column) -> Column:
     """Words of a text: runs of separators become one space, spaces at the ends go, the rest is counted."""
     flat = F.btrim(F.regexp_replace(text, WORD_SPLIT, " "))
@@ -158,24 +167,24 @@ def select(
     return both.select(*columns, (F.col("whole") + F.col("taken")).alias("copies"))
 
 
-def mix(docs: DataFrame, epochs: int = EPOCHS, **parameters) -> DataFrame:
+def mix(docs: DataFrame, tree: Mapping[str, Callable[[], Column]] = TREE, epochs: int = EPOCHS, **parameters) -> DataFrame:
     """The rows of ``docs`` that are selected, each as often as epochs take it."""
-    taken = select(docs, epochs=epochs, **parameters).where("copies > 0").select(
+    taken = select(docs, tree, epochs=epochs, **parameters).where("copies > 0").select(
         F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__llm_id"),
         F.col("text_hash").alias("__llm_hash"),
-        *[F.col(x).alias(f"__llm_{x}") for x in TREE],
+        *[F.col(x).alias(f"__llm_{x}") for x in tree],
         F.col("copies").alias("__llm_copies"),
     )
     keyed = docs.withColumns({
         "__llm_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
         "__llm_hash": F.md5(text_or_empty()),
-        **{f"__llm_{x}": make() for x, make in TREE.items()},
+        **{f"__llm_{x}": make() for x, make in tree.items()},
     })
-    rows = keyed.join(taken, ["__llm_id", "__llm_hash", *[f"__llm_{x}" for x in TREE]])
+    rows = keyed.join(taken, ["__llm_id", "__llm_hash", *[f"__llm_{x}" for x in tree]])
     return rows.withColumn("__llm_epoch", F.explode(F.sequence(F.lit(1), F.col("__llm_copies").cast("int")))).select(*docs.columns)
 
 
 def digest(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: its place in the tree, its tokens and how many epochs take it."""
-    rows = select(docs).withColumn("row", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
+    rows = select(docs, weights=WEIGHTS).withColumn("row", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
     return rows.select("doc_id", *TREE, "n_tokens", "copies")

@@ -49,6 +49,12 @@ FROM b
 """
 
 
+def _weight(level: str) -> str:
+    """Weight of the node in column ``level``."""
+    cases = " ".join(f"WHEN '{node}' THEN CAST({weight} AS DOUBLE)" for node, weight in mixing.WEIGHTS[level].items())
+    return f"CASE {level} {cases} ELSE CAST(1.0 AS DOUBLE) END"
+
+
 def _level(name: str, parents: list[str], level: str) -> str:
     """Budgets of the children ``level`` of the nodes in ``given_<name>``."""
     keys = ", ".join([*parents, level])
@@ -56,15 +62,16 @@ def _level(name: str, parents: list[str], level: str) -> str:
     part = f"PARTITION BY {', '.join('n.' + p for p in parents)}" if parents else ""
     same = f"PARTITION BY {', '.join(parents)}" if parents else ""
     return f"""
-n_{level} AS (SELECT {keys}, sum(capacity) AS capacity FROM caps GROUP BY {keys}),
+n_{level} AS (SELECT {keys}, sum(capacity) AS capacity, {_weight(level)} AS weight FROM caps GROUP BY {keys}),
 l_{level} AS (
   SELECT n.*, (g.given - coalesce(sum(capacity) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0))
-              / count(*) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lev
+              / sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lev
   FROM n_{level} n JOIN given_{name} g ON {on}
-  WINDOW w AS ({part} ORDER BY capacity, {', '.join(f'n.{p}' for p in [*parents, level])})
+  WINDOW w AS ({part} ORDER BY capacity / weight, {', '.join(f'n.{p}' for p in [*parents, level])})
 ),
 given_{level} AS (
-  SELECT {keys}, CASE WHEN capacity <= lev THEN capacity ELSE max(CASE WHEN capacity > lev THEN lev END) OVER ({same}) END AS given
+  SELECT {keys}, CASE WHEN capacity <= lev * weight THEN capacity
+                      ELSE weight * max(CASE WHEN capacity > lev * weight THEN lev END) OVER ({same}) END AS given
   FROM l_{level}
 )"""
 

@@ -28,6 +28,24 @@ def test_weights(spark):
     assert {r["top"]: r["quota"] for r in got.collect()} == {"a": 300, "b": 200, "c": 100}
 
 
+def test_registered_weights_differ(spark):
+    from pyspark.sql import functions as F
+
+    tops = ["domain0", "domain1", "domain2", "domain3"]
+    leaves = spark.createDataFrame([(t, 10_000) for t in tops], "domain string, tokens long")
+    got = mixing.budgets(leaves, ["domain"], F.lit(6500), 1, mixing.WEIGHTS)
+    assert {r["domain"]: r["quota"] for r in got.collect()} == dict(zip(tops, (3000, 2000, 1000, 500), strict=True))
+
+
+def test_mix_follows_its_own_tree(make_docs):
+    from pyspark.sql import functions as F
+
+    docs = make_docs([(i, "word " * 10, "en" if i < 60 else "de", f"s{i % 7}") for i in range(120)])
+    out = mixing.mix(docs, {"tongue": lambda: F.col("lang")}, epochs=1, weights={"tongue": {"en": 3.0}}, budget_share=0.5)
+    assert out.columns == docs.columns
+    assert {r["lang"]: r["n"] for r in out.groupBy("lang").agg(F.count("*").alias("n")).collect()} == {"en": 45, "de": 15}
+
+
 def slow_select(rows, quota, epochs, seed):
     """copies by (doc_id, text) of one leaf."""
     tokens = {r: len((r[1] or "").split()) for r in rows}
