@@ -477,6 +477,19 @@ SQL |= {
         "job_prices": "price_bands", "job_outlet_totals": "outlet_totals", "job_lists": "report_lists_prices",
         "job_edges": "price_quantile_cube", "job_banded": "band_assign", "job_totals": "outlet_count_cube",
         "job_prices_multi": "price_bands_multi", "job_avg": "avg_price", "job_avg_lists": "report_lists_avg",
-        "job_avg_multi": "avg_price_multi",
+        "job_avg_multi": "avg_price_multi", "job_shared_prices": "price_bands", "job_shared_avg": "avg_price",
+        "snapshot_incremental": "snapshot_roundtrip",
     }.items()
 }
+
+
+def _removed(base: str, complete: str, first: str, second: str) -> str:
+    """Rows in and removed of the two sigma steps, volume first."""
+    n = "(SELECT count(*) FROM {})".format
+    return base + f"""
+SELECT 1 AS step, 'volume' AS metric, {n(complete)} AS rows_in, {n(complete)} - {n(first)} AS rows_removed
+UNION ALL SELECT 2, 'value', {n(first)}, {n(first)} - {n(second)}"""
+
+
+SQL["job_shared_removed"] = _removed(BASE, "nn", "c1", "clean")
+SQL["job_shared_removed_multi"] = _removed(MBASE, "munit", "mc1", "mclean")

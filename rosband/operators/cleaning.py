@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rosband.functions.units import UnitRule, apply_rules
@@ -59,24 +59,55 @@ def remove_outliers(
     metrics: Sequence[str] | None = None,
     st_devs: float = 3,
     cols: Columns = Columns(),
+    watch: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> DataFrame:
     """Null removal, unit conversion, then one sigma filter per metric in order.
 
     The second metric's statistics are computed on the rows that survived the first.  Single-row groups
     (null deviation) and constant groups (zero deviation) are removed, because the strict comparison is never
     true.  The input is read once per metric and once for the result: pass a written table (``materialize``)
-    when building it is expensive.
+    when building it is expensive.  ``watch`` is applied to the complete rows and to what each metric leaves.
     """
     require_columns(df, list(group_columns))
     metrics = list(OUTLIER_DEFAULT_METRICS if metrics is None else metrics)
     out = drop_incomplete(df)
     if isinstance(unit_rules, DataFrame) or unit_rules:
         out = unit_volume(out, unit_rules, cols)
+    out = watch(out)
     for m in metrics:
-        out = _sigma_step(out, group_columns, m, st_devs)
+        out = watch(_sigma_step(out, group_columns, m, st_devs))
     return out
 
 
+def remove_outliers_counted(
+    df: DataFrame,
+    group_columns: Sequence[str],
+    unit_rules: Sequence[UnitRule] | DataFrame = (),
+    metrics: Sequence[str] | None = None,
+    st_devs: float = 3,
+    cols: Columns = Columns(),
+    partition_by: Sequence[str] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """``remove_outliers`` written, and ``step, metric, rows_in, rows_removed`` of each metric's filter.
+
+    The rows are counted as they pass while the result is written (``DataFrame.observe``), so nothing is read or
+    aggregated for the report.  Rows of a shuffle stage that is computed again after the loss of an executor may be counted
+    twice: the counts are a report of the run, ``outlier_report`` counts exactly.
+    """
+    metrics = list(OUTLIER_DEFAULT_METRICS if metrics is None else metrics)
+    seen: list[Observation] = []
+
+    def watch(rows: DataFrame) -> DataFrame:
+        seen.append(Observation())
+        return rows.observe(seen[-1], F.count(F.lit(1)).alias("rows"))
+
+    out = materialize(remove_outliers(df, group_columns, unit_rules, metrics, st_devs, cols, watch), partition_by)
+    # a step that no row can reach is taken out of the plan and has no count
+    rows = [o._jo.getAsJava().get("rows") or 0 for o in seen]
+    steps = [(i + 1, m, rows[i], rows[i] - rows[i + 1]) for i, m in enumerate(metrics)]
+    return out, df.sparkSession.createDataFrame(steps, "step int, metric string, rows_in long, rows_removed long")
+
+
 def outlier_report(before: DataFrame, after: DataFrame, by: Sequence[str] = ("product",)) -> DataFrame:
     """Rows in / rows removed per key (the analysed job prints one total)."""
     keys = list(by)

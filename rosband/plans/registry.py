@@ -22,13 +22,13 @@ from rosband.operators.disclosure import disclosure_flags
 from rosband.operators.joins import Datasets, materialize
 from rosband.operators.rollup import CELL_ID
 from rosband.plans.avg_price import AvgStages, avg_price
-from rosband.plans.job import avg_report, price_report
+from rosband.plans.job import avg_report, price_report, sales_report
 from rosband.plans.price_bands import BandStages, price_bands, with_price
-from rosband.plans.report import report_lists
+from rosband.plans.report import read_sheet, report_lists
 from rosband.schema import DEFAULT_QUANTILES, MULTI_SCHEMA, SALES_SCHEMA, DimSpec, Thresholds
 from rosband.sources import retail
 from rosband.sources.selection import select_products
-from rosband.sources.snapshot import snapshot
+from rosband.sources.snapshot import incremental_snapshot, snapshot
 from rosband.sources.tables import read_table
 
 # Parameters of the test mapping (fixed; see FIXTURES.md section 3 and README).
@@ -196,8 +196,22 @@ class Study:
     def sheet(self, name: str, variant: str = "A") -> DataFrame:
         """One dataset of the price (or, for ``avg``, the average) report of a variant."""
         root = self.datasets.path("report")
+        common = self.job_parameters(variant)
+        if name.startswith("avg"):
+            avg_report(self.spark, root, **common)
+        else:
+            price_report(self.spark, root, periods=retail.PERIOD_FILTER, **common)
+        return self.spark.read.parquet(f"{root}/{name.removeprefix('avg_')}")
+
+    def shared_sheet(self, name: str, variant: str = "A") -> DataFrame:
+        """One committed sheet of the job that makes both reports from the same cleaned rows."""
+        root = self.datasets.path("report")
+        sales_report(self.spark, root, periods=retail.PERIOD_FILTER, **self.job_parameters(variant))
+        return read_sheet(self.spark, root, name)
+
+    def job_parameters(self, variant: str) -> dict:
         multi = variant == "B"
-        common = {
+        return {
             "pull": lambda _spark: self.multi_lazy if multi else self.fact_lazy,
             "groups": OUTLIER_GROUPS_B if multi else OUTLIER_GROUPS_A,
             "rules": self.multi_rules if multi else UNIT_RULES_A,
@@ -205,11 +219,6 @@ class Study:
             "thresholds": self.thresholds,
             "schema": MULTI_SCHEMA if multi else SALES_SCHEMA,
         }
-        if name.startswith("avg"):
-            avg_report(self.spark, root, **common)
-        else:
-            price_report(self.spark, root, periods=retail.PERIOD_FILTER, **common)
-        return self.spark.read.parquet(f"{root}/{name.removeprefix('avg_')}")
 
 
 def owned(name: str, spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Datasets]:
@@ -252,6 +261,26 @@ def _snapshot_roundtrip(s: Study) -> DataFrame:
     return again.select(*s.fact_lazy.columns)
 
 
+def _snapshot_incremental(s: Study) -> DataFrame:
+    """All periods pulled, then one of them again under a new version."""
+    path = s.datasets.path("snapshot")
+    pulled = []
+
+    def compute(_spark, periods):
+        pulled.append(sorted(periods))
+        return s.fact_lazy.where(F.col("period").isin(periods))
+
+    versions = {r["period"]: 1 for r in s.fact_lazy.select("period").distinct().collect()}
+    incremental_snapshot(s.spark, path, compute, versions)
+    if not versions:
+        return s.fact_lazy
+    last = max(versions)
+    again = incremental_snapshot(s.spark, path, compute, {**versions, last: 2})
+    if pulled != [sorted(versions), [last]]:
+        raise AssertionError("periods pulled although complete")
+    return again.select(*s.fact_lazy.columns)
+
+
 def _unit_volume_multi(s: Study) -> DataFrame:
     """All serving sizes, and one product with two rules (divided twice)."""
     rules = s.multi_rules.withColumn("step", F.lit(1))
@@ -282,6 +311,7 @@ _BUILD = {
     "product_rollup": lambda s: _part_items(s).select("p_partkey", "p_name", F.col("item").alias("product")),
     "product_label": _product_label,
     "snapshot_roundtrip": _snapshot_roundtrip,
+    "snapshot_incremental": _snapshot_incremental,
     "unit_volume": lambda s: unit_volume(s.fact_lazy, UNIT_RULES_A),
     "unit_volume_multi": _unit_volume_multi,
     "unit_price": lambda s: with_price(s.fact_lazy),
@@ -323,6 +353,10 @@ _BUILD = {
     "job_avg": lambda s: s.sheet("avg"),
     "job_avg_lists": lambda s: s.sheet("avg_lists"),
     "job_avg_multi": lambda s: s.sheet("avg", "B"),
+    "job_shared_prices": lambda s: s.shared_sheet("PC_Data"),
+    "job_shared_avg": lambda s: s.shared_sheet("avg"),
+    "job_shared_removed": lambda s: s.shared_sheet("removed"),
+    "job_shared_removed_multi": lambda s: s.shared_sheet("removed", "B"),
 }
 
 
