@@ -2,19 +2,27 @@
 
 Base patterns find the seed entities: e-mail addresses, IP addresses, card numbers, phone numbers.  The words
 beside them are lexical patterns, each for a kind: ``<word`` (the word before) and ``>word`` (the word after).
-Identifier-like tokens (six digits or more) that no base span touches are the unseen instances.  Patterns and
-instances form a bipartite graph that Spark scores in turns: a pattern's confidence for a kind is the mean score
+The unseen instances are what no base span touches of
+
+* the slots of the patterns: the text between a word before and the next word after of the same kind, on one line, with
+  ``SLOT_WORDS`` words at most, whatever its shape (spaces and brackets included).  The patterns of slots have ``SEEDS``
+  distinct seeds, and their word stands beside a seed at ``RELIABLE`` of its places in all texts;
+* identifier-like tokens (six digits or more), which need a pattern on one side only.
+
+Patterns and instances form a bipartite graph that Spark scores in turns: a pattern's confidence for a kind is the mean score
 of its instances, lowered by ``PRIOR`` virtual instances of score 0; an instance's score is the noisy-or of its
 patterns' confidences, seeds stay at 1 for their kind and 0 for others.  After ``ROUNDS`` turns the unseen
 instances that score ``ACCEPT`` or more and are backed by a pattern with ``SEEDS`` distinct seeds are spans of
-that kind wherever they stand.
+that kind wherever they were candidates; kinds made of digits ask for ``TOKEN_DIGITS`` digits, and a span inside a longer
+accepted one goes.
 
 Places are code points, end exclusive.  Matches are leftmost and do not overlap; the expressions below find the
 same matches as the plain patterns but never scan a run of characters twice: a match begins at the end of the one
 before (``\\G``) or where its run begins, and repetitions that need no backtracking are possessive.
 
-Distribution: texts are read once; what is kept of them are spans and their two neighbouring words.  The graph
-holds a row for each span, pre-aggregated by pattern before shuffles, so a frequent word is one partial row a task.
+Distribution: what is kept of texts are spans and their two neighbouring words.  Words of all texts are counted with
+map-side sums, so a frequent word is one partial row a task; texts are read once more for the places of the patterns'
+words, and only texts with slots are cut at them.  Slots are found by a window over one text's places.
 
 Defined cases: a null text is an empty text; a null doc_id is kept; rows that share doc_id and text get the same
 spans; empty tables give empty results; extra columns are ignored.
@@ -22,7 +30,7 @@ spans; empty tables give empty results; extra columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosband.llm.common import let, text_or_empty, written
@@ -40,8 +48,9 @@ ROUNDS = 3
 PRIOR = 2.0
 SEEDS = 3
 ACCEPT = 0.9
-#: Characters beside a span in which the neighbouring word is read.
-_BESIDE = 48
+SLOT_WORDS = 10
+RELIABLE = 0.2
+NOT_WORD = r"[^\p{L}\p{N}]+"
 _CHUNK = 256
 
 
@@ -90,12 +99,12 @@ def found(text: Column, pattern: str, clue: Column) -> Column:
         def at(total: Column) -> Column:
             def span(hit: Column, i: Column) -> Column:
                 start = F.element_at(total, i + 1) + F.length(F.element_at(g, i + 1))
-                left, right = F.right(F.element_at(g, i + 1), F.lit(_BESIDE)), F.left(F.element_at(g, i + 2), F.lit(_BESIDE))
+                left, right = F.element_at(g, i + 1), F.element_at(g, i + 2)
                 return F.struct(
                     start.alias("start"),
                     (start + F.length(hit)).alias("end"),
                     hit.alias("value"),
-                    _word(left, r"([\p{L}\p{N}]++)[^\p{L}\p{N}\n]*+$").alias("before"),
+                    _word(left, r"(?<![\p{L}\p{N}])([\p{L}\p{N}]++)[^\p{L}\p{N}\n]*+$").alias("before"),
                     _word(right, r"^[^\p{L}\p{N}\n]*+([\p{L}\p{N}]++)").alias("after"),
                 )
 
@@ -174,6 +183,74 @@ def occurrences(rows: DataFrame) -> DataFrame:
     return both.drop("value")
 
 
+def reliable_words(docs: DataFrame, spans: DataFrame) -> DataFrame:
+    """``word, side, kind`` of the patterns whose slots are read: enough distinct seeds, beside seeds often enough."""
+    sides = F.inline(F.array(F.struct(F.col("before").alias("word"), F.lit("<").alias("side")),
+                             F.struct(F.col("after").alias("word"), F.lit(">").alias("side"))))
+    seeds = spans.where("kind is not null").select("doc_id", "text_hash", "start", "kind", "instance", sides).where("word != ''")
+    hits = seeds.groupBy("word", "side", "kind", "instance").agg(F.count("*").alias("n"))
+    hits = hits.groupBy("word", "side", "kind").agg(F.count("*").alias("seeds"), F.sum("n").alias("n"))
+    every = docs.select(F.explode(F.split(text_or_empty(), NOT_WORD)).alias("word")).where("word != ''")
+    total = every.groupBy("word").agg(F.count("*").alias("n")).groupBy(F.lower("word").alias("word")).agg(F.sum("n").alias("total"))
+    strong = written(hits.where(F.col("seeds") >= SEEDS))
+    return strong.join(total, "word").where(F.col("n") >= RELIABLE * F.col("total")).select("word", "side", "kind")
+
+
+def slots(docs: DataFrame, words: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, i, j``: the word places before and after every slot of the reliable words."""
+    key = [F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("text_hash")]
+    places = docs.select(*key, F.posexplode(F.split(text_or_empty(), NOT_WORD, -1)).alias("i", "word"))
+    places = places.withColumn("word", F.lower("word")).where("word != ''").join(words, "word")
+    places = places.select("doc_id", "text_hash", "kind", "side", "i").distinct()
+    later = Window.partitionBy("doc_id", "text_hash", "kind").orderBy(-F.col("i")).rangeBetween(Window.unboundedPreceding, -1)
+    follows = F.min(F.when(F.col("side") == ">", F.col("i"))).over(later)
+    found_slots = places.withColumn("j", follows).where("side = '<'")
+    return found_slots.where((F.col("j") - F.col("i")).between(2, SLOT_WORDS + 1)).select("doc_id", "text_hash", "i", "j").distinct()
+
+
+def fillers(docs: DataFrame, found_slots: DataFrame) -> DataFrame:
+    """What stands in the slots: the rows of ``occurrences`` without a kind.  Outer blanks and stops are no part of it."""
+    per_text = found_slots.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("i", "j")).alias("slots"))
+    texts = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("text_hash"), text_or_empty().alias("text")
+    )
+    same = texts["doc_id"].eqNullSafe(per_text["doc_id"]) & (texts["text_hash"] == per_text["text_hash"])
+    cut = texts.join(per_text, same).select(
+        texts["doc_id"], texts["text_hash"], "slots", F.split("text", NOT_WORD, -1).alias("w"),
+        F.regexp_extract_all("text", F.lit(NOT_WORD), F.lit(0)).alias("s"),
+    )
+    sizes = F.transform("w", lambda w, k: F.length(w) + F.coalesce(F.length(F.get("s", k)), F.lit(0)))
+    cut = cut.withColumn("at", running_total(sizes))
+
+    def filler(x: Column) -> Column:
+        i, j = x["i"], x["j"]
+        gaps = F.slice("s", i + 2, j - i - 1)  # behind each word of the slot
+        inner = F.zip_with(F.slice("w", i + 2, j - i - 1), gaps, lambda w, g: F.concat(w, g))
+        return F.struct(
+            (F.element_at("at", i + 1) + F.length(F.element_at("w", i + 1))).alias("start"),
+            F.concat(F.element_at("s", i + 1), F.array_join(inner, "")).alias("value"),
+            F.lower(F.element_at("w", i + 1)).alias("before"),
+            F.lower(F.element_at("w", j + 1)).alias("after"),
+        )
+
+    out = cut.select("doc_id", "text_hash", F.inline(F.transform("slots", filler))).where(~F.contains("value", F.lit("\n")))
+    lead = F.length(F.regexp_extract("value", r"^[\s,;:=#|\"']*+", 0))
+    value = F.regexp_replace("value", r"^[\s,;:=#|\"']++|(?<![\s,;:=#|\"'.!?])[\s,;:=#|\"'.!?]++$", "")
+    out = out.withColumn("start", F.col("start") + lead).withColumn("value", value)
+    end = (F.col("start") + F.length("value")).alias("end")
+    kind = F.lit(None).cast("string").alias("kind")
+    return out.select("doc_id", "text_hash", kind, "start", end, "before", "after", F.lower("value").alias("instance"))
+
+
+def untouched(rows: DataFrame, spans: DataFrame) -> DataFrame:
+    """The spans that no base span of their text touches."""
+    base = F.concat(*[F.transform(k, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))) for k in KINDS])
+    of_text = rows.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), base.alias("base")).dropDuplicates(["d", "h"])
+    near = spans.join(of_text, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")))
+    free = ~F.exists("base", lambda b: (b["start"] < F.col("end")) & (b["end"] > F.col("start")))
+    return near.where(free).select(*spans.columns)
+
+
 def score(spans: DataFrame, rounds: int = ROUNDS, prior: float = PRIOR) -> DataFrame:
     """``instance, kind, score, backing``: unseen instances by kind; ``backing`` is the most distinct seeds of a pattern."""
     words = F.array(F.concat(F.lit("<"), "before"), F.concat(F.lit(">"), "after"))
@@ -204,14 +281,25 @@ def score(spans: DataFrame, rounds: int = ROUNDS, prior: float = PRIOR) -> DataF
     return instance.withColumnRenamed("found", "score")
 
 
-def discovered(rows: DataFrame, accept: float = ACCEPT, seeds: int = SEEDS) -> DataFrame:
-    """``doc_id, text_hash, spans``: the accepted spans of unseen instances, as ``array<struct<kind, start, end>>``."""
+def candidates(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Seeds and unseen instances with the words beside them, one row per place."""
     spans = written(occurrences(rows))
+    found_slots = written(slots(docs, written(reliable_words(docs, spans))))
+    filled = untouched(rows, fillers(docs, found_slots))
+    return spans.unionByName(filled).distinct()
+
+
+def discovered(docs: DataFrame, rows: DataFrame, accept: float = ACCEPT, seeds: int = SEEDS) -> DataFrame:
+    """``doc_id, text_hash, spans``: the accepted spans of unseen instances, as ``array<struct<kind, start, end>>``."""
+    spans = written(candidates(docs, rows))
     rated = score(spans).where((F.col("score") >= accept) & (F.col("backing") >= seeds))
+    rated = rated.where((F.col("kind") == "email") | (F.length(digits_of(F.col("instance"))) >= TOKEN_DIGITS))
     best = rated.groupBy("instance").agg(F.max(F.struct("score", "kind")).alias("best"))
     best = best.select("instance", F.col("best.kind").alias("kind"))
     free = spans.where("kind is null").drop("kind").join(best, "instance")
-    return free.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("kind", "start", "end")).alias("more"))
+    more = free.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("kind", "start", "end")).alias("more"))
+    longer = lambda x, y: (y["start"] <= x["start"]) & (x["end"] <= y["end"]) & (y["end"] - y["start"] > x["end"] - x["start"])
+    return more.withColumn("more", F.filter("more", lambda x: ~F.exists("more", lambda y: longer(x, y))))
 
 
 def listed(spans: dict[str, Column]) -> Column:
@@ -229,7 +317,7 @@ def listed(spans: dict[str, Column]) -> Column:
 def extract(docs: DataFrame) -> DataFrame:
     """``doc_id``, the base spans by kind and ``more`` (discovered spans with their kind) of every row of ``docs``."""
     rows = written(entities(docs))
-    more = discovered(rows)
+    more = discovered(docs, rows)
     same = rows["doc_id"].eqNullSafe(more["doc_id"]) & (rows["text_hash"] == more["text_hash"])
     out = rows.join(more, same, "left")
     place = lambda k: F.transform(k, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))).alias(k)
