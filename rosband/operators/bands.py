@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from itertools import product
+from math import prod
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -144,52 +146,128 @@ def _part_of(steps: Sequence[Sequence[Option]], axis: int) -> Column:
     return out
 
 
-def assign_bands(
-    rows: DataFrame,
-    spec: DimSpec,
-    edges: DataFrame,
-    item_keys: Sequence[str],
-    keep: Sequence[str],
-    quantiles: Sequence[float],
-    price: str = "price",
-) -> DataFrame:
-    """One row per row and cell: ``keep``, the cell's columns and ``percentile``, the cell's band of the same date.
+@dataclass(frozen=True)
+class Axis:
+    """Number of places of a dimension (0: the roll-up) and the column of a row with its place, per option (None: 0)."""
 
-    ``edges`` has a row per date, item and cell.  Members are numbered per dimension; the edges of a date and item are
-    gathered in nested arrays whose places are these numbers (0: the roll-up) and joined to the rows before these are
-    expanded: however the planner runs the join, a row is moved at most once.  A row looks up each of its cells
-    by place, in constant time whatever the number of cells.  The band is the first quantile whose edge is >= the price.
+    size: int
+    columns: tuple[str | None, ...]
+
+
+def member_places(rows: DataFrame, spec: DimSpec, cells: DataFrame) -> tuple[DataFrame, DataFrame, list[Axis]]:
+    """``rows`` with the places of their members, ``cells`` with the place of theirs per axis (``__place<axis>``), the axes.
+
+    ``cells`` (cell id and labels) says which members there are; a row's place is null where its member is not among them.
     """
-    names, steps = label_names(rows, spec), axes(rows, spec)
-    places = edges
+    steps, found = axes(rows, spec), []
+    places = cells
     for axis, options in enumerate(steps):
         label, at = list(options[0].labels)[-1], f"__place{axis}"
-        members = numbered_members(edges, steps, axis)
+        members = numbered_members(cells, steps, axis)
         coded = members.select(F.col("option").alias("__option"), F.col("label").alias("__label"), F.col("code").alias(at))
         places = places.withColumn("__option", _part_of(steps, axis)).withColumn("__label", F.col(label))
         rolled = [i for i, o in enumerate(options) if not o.source]
         places = places.join(coded, ["__option", "__label"], "left").withColumn(
             at, F.when(F.col("__option").isin(rolled), F.lit(0)).otherwise(F.col(at))
         ).drop("__option", "__label")
+        columns: list[str | None] = []
         for i, o in enumerate(options):
+            columns.append(f"__code{axis}_{i}" if o.source else None)
             if o.source:
-                own = members.where(F.col("option") == i).select(F.col("label").alias("__label"), F.col("code").alias(f"__code{axis}_{i}"))
+                own = members.where(F.col("option") == i).select(F.col("label").alias("__label"), F.col("code").alias(columns[-1]))
                 rows = attach(rows.withColumn("__label", F.col(o.source).cast("string")), own, ["__label"], "left").drop("__label")
+        found.append(Axis(members.count() + 1, tuple(columns)))
+    return rows, places, found
+
+
+def cell_number(places: Sequence[Column], found: Sequence[Axis]) -> Column:
+    """The number of a cell from its places, below the product of the axes' sizes."""
+    out = F.lit(0)
+    for place, axis in zip(places, found, strict=True):
+        out = out * axis.size + place
+    return out
+
+
+@dataclass(frozen=True)
+class Placed:
+    """Rows that carry the edges of their date and item, and how each of their cells finds its own."""
+
+    rows: DataFrame
+    cells: DataFrame  # cell id and labels with their ``__cell`` number
+    n_cells: int
+    chosen: list[tuple[Column, Column, tuple[Option, ...]]]  # a row's cells: number, edges (null: none) and options
+
+    def assigned(self, keep: Sequence[str], quantiles: Sequence[float], names: Sequence[str], price: str) -> DataFrame:
+        """One row per row and cell with ``percentile``, the cell's band."""
+        entries = []
+        for _, found, options in self.chosen:
+            labels = {k: v.cast("string") for o in options for k, v in o.labels.items()}
+            entry = F.struct(
+                F.lit(sum(o.number for o in options)).alias(CELL_ID), *[labels[n].alias(n) for n in names],
+                band_of(F.col(price), found, quantiles).alias("percentile"),
+            )
+            entries.append(F.when(found.isNotNull(), entry))
+        return self.rows.select(*keep, F.inline(F.filter(F.array(*entries), lambda x: x.isNotNull())))
+
+    def bits(self, quantiles: Sequence[float], price: str) -> list[Column]:
+        """Numbers of a row's bands and, above the bands of each cell, of its cells (see ``band_bits``)."""
+        out, width = [], len(quantiles) + 2
+        for number, found, _ in self.chosen:
+            band = band_of(F.col(price), found, [float(i) for i in range(len(quantiles))])
+            band = F.coalesce(band.cast("int"), F.lit(len(quantiles)))
+            out += [F.when(found.isNotNull(), number * width + b) for b in (band, F.lit(len(quantiles) + 1))]
+        return out
+
+    def band_bits(self, quantiles: Sequence[float], names: Sequence[str], bit: str) -> tuple[DataFrame, DataFrame]:
+        """``bit`` of every band (cell, ``percentile``; null above every edge) and of every cell over its bands."""
+        width = len(quantiles) + 2
+        bands = F.array(*[
+            F.struct((F.col("__cell") * width + i).alias(bit), F.lit(q).cast("double").alias("percentile"))
+            for i, q in enumerate([*quantiles, None])
+        ])
+        whole = self.cells.select((F.col("__cell") * width + len(quantiles) + 1).alias(bit), CELL_ID, *names)
+        return self.cells.select(CELL_ID, *names, F.inline(bands)), whole
+
+
+def place_edges(
+    rows: DataFrame, spec: DimSpec, edges: DataFrame, item_keys: Sequence[str]
+) -> Placed:
+    """``edges`` has a row per date, item and cell.  Members are numbered per dimension; the edges of a date and item are
+    gathered in nested arrays whose places are these numbers (0: the roll-up) and joined to the rows before these are
+    expanded: however the planner runs the join, a row is moved at most once.  A row looks up each of its cells
+    by place, in constant time whatever the number of cells.
+    """
+    names, steps = label_names(rows, spec), axes(rows, spec)
+    rows, places, found = member_places(rows, spec, edges)
+    at = [f"__place{i}" for i in range(len(steps))]
+    cells = places.select(CELL_ID, *names, cell_number([F.col(c) for c in at], found).alias("__cell")).distinct()
     value = EDGES
     for axis in reversed(range(len(steps))):
-        outer = [*item_keys, *[f"__place{i}" for i in range(axis)]]
+        outer = [*item_keys, *at[:axis]]
         places = _dense(places.select(*outer, f"__place{axis}", value), outer, f"__place{axis}", value, f"__edges{axis}")
         value = f"__edges{axis}"
-    joined = attach(rows, places.select(*item_keys, F.col(value).alias("__edges")), item_keys)
-    entries = []
-    for chosen in product(*[list(enumerate(options)) for options in steps]):
-        found = F.col("__edges")
-        for axis, (i, o) in enumerate(chosen):
-            found = F.get(found, F.col(f"__code{axis}_{i}") if o.source else F.lit(0))
-        labels = {k: v.cast("string") for _, o in chosen for k, v in o.labels.items()}
-        entry = F.struct(
-            F.lit(sum(o.number for _, o in chosen)).alias(CELL_ID), *[labels[n].alias(n) for n in names],
-            band_of(F.col(price), found, quantiles).alias("percentile"),
-        )
-        entries.append(F.when(found.isNotNull(), entry))
-    return joined.select(*keep, F.inline(F.filter(F.array(*entries), lambda x: x.isNotNull())))
+    joined = attach(rows, materialize(places.select(*item_keys, F.col(value).alias("__edges"))), item_keys)
+    chosen = []
+    for options in product(*[list(zip(o, a.columns, strict=True)) for o, a in zip(steps, found, strict=True)]):
+        own = [F.col(c) if c else F.lit(0) for _, c in options]
+        looked_up = F.col("__edges")
+        for place in own:
+            looked_up = F.get(looked_up, place)
+        chosen.append((cell_number(own, found), looked_up, tuple(o for o, _ in options)))
+    return Placed(joined, materialize(cells), prod(a.size for a in found), chosen)
+
+
+def assign_bands(
+    rows: DataFrame,
+    spec: DimSpec,
+    edges: DataFrame,
+    item_keys: Sequence[str],
+    keep: Sequence[str],
+    quantiles: Sequence[float],
+    price: str = "price",
+) -> DataFrame:
+    """One row per row and cell: ``keep``, the cell's columns and ``percentile``, the cell's band of the same date.
+
+    The band is the first quantile whose edge is >= the price; see ``place_edges``.
+    """
+    return place_edges(rows, spec, edges, item_keys).assigned(keep, quantiles, label_names(rows, spec), price)

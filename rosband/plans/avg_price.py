@@ -5,8 +5,8 @@ distinct outlets, the unweighted mean of row prices (not sum(value) /
 sum(quantity)), distinct data partners; ROS = sum / outlets; data-partner
 shares of volume per date and cell with the unique largest partner.
 
-No row is expanded: the rows are aggregated per finest cell and partner, and per finest cell into sets of outlets;
-the cells are rolled up from these.
+No row is expanded: the rows are aggregated per finest cell and partner, from which the cells are rolled up, and per outlet
+into the set of cells it is in.
 """
 
 from __future__ import annotations
@@ -20,9 +20,8 @@ from pyspark.sql import functions as F
 from rosband.functions.measures import rate_of_sale
 from rosband.operators.disclosure import partner_shares, partner_summary, suppress
 from rosband.operators.joins import materialize
-from rosband.operators.numbers import BITS, WORD, set_words
 from rosband.operators.rollup import CELL_ID, roll_up
-from rosband.operators.ros import distinct_outlets, merged_sets
+from rosband.operators.ros import outlets_per_cell
 from rosband.plans.price_bands import with_price
 from rosband.schema import DEFAULT_METRICS, Columns, DimSpec, Thresholds, require_columns
 
@@ -59,17 +58,17 @@ def avg_price(
         *[F.sum(m).alias(m) for m in measures],
         F.sum(cols.price).alias("__price_sum"),
         F.count(cols.price).alias("__price_n"),
+        F.count(F.lit(1)).alias("__rows"),
     )
     # one more exchange of these, by keys that every cell of a partner keeps
     finest = finest.repartition(*item, cols.data_partner)
-    rolled = roll_up(finest, [*item, cols.data_partner], dims, dict.fromkeys(sums, F.sum))
+    rolled = roll_up(finest, [*item, cols.data_partner], dims, dict.fromkeys([*sums, "__rows"], F.sum))
     keys = [*item, *rolled.keys]
     partners = materialize(rolled.df)
-    # the outlets of every cell as sets: the rows move once, by word, and the cells of a word are made where it lies
-    words = set_words(rows.select(*item, *members, cols.outlet), cols.outlet).select(*item, *members, WORD, BITS)
-    words = merged_sets(words.repartition(*item, WORD), [*item, *members])
-    outlets = distinct_outlets(roll_up(words, [*item, WORD], dims, {BITS: F.bit_or}).df, keys)
-    volumes = partners.withColumn("dp_volume", F.col(share_metric))
+    # the rows move once, by outlet, which is in a set of cells; how many are in the same cells is taken apart into cells
+    pairs = partners.agg(F.sum("__rows")).first()[0] or 0
+    outlets = outlets_per_cell(rows, item, cols.outlet, dims, partners.select(*rolled.keys).distinct(), pairs).select(*keys, "outlet_count")
+    volumes = partners.drop("__rows").withColumn("dp_volume", F.col(share_metric))
     every = partner_shares(volumes, keys, sums)  # one window pass gives the shares and the sums of a cell
     shares = every.drop(*sums)
     summary = partner_summary(every, keys, cols.data_partner, tie_policy, sums)

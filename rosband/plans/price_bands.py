@@ -14,9 +14,8 @@ all-region / all-segment roll-ups):
 6. cells are published only if they pass the disclosure rule.
 
 Plan shape: edges are selected by rank from prices that are expanded into their cells as they are
-read (counted first where prices repeat).  Rows look their cells' edges up by place and are then
-expanded once; one grouping-sets aggregate of the banded rows feeds every later statistic, with
-exact sets of outlets that merge over dates and bands.  Each stage is built when it is asked for: the edges, the
+read (counted first where prices repeat).  Rows look their cells' edges up by place.  Expanded, one grouping-sets
+aggregate of them gives the sums; outlets are counted from the rows as they are, by the set of bands that each is in.  Each stage is built when it is asked for: the edges, the
 banded rows' grains and what reads them write their intermediates then, other stages stay lazy.
 """
 
@@ -30,11 +29,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosband.functions.measures import unit_price
-from rosband.operators.bands import assign_bands, band_prices, counted_prices, edges_from_histogram
+from rosband.operators.bands import Placed, band_prices, counted_prices, edges_from_histogram, place_edges
 from rosband.operators.disclosure import partner_shares, partner_summary, suppress
 from rosband.operators.joins import materialize
 from rosband.operators.rollup import CELL_ID, Cells, carried, expand_cells, expand_items
-from rosband.operators.ros import distinct_outlets, merged_sets, outlet_rows, partner_rows, period_ros, two_grains, weekly_ros
+from rosband.operators.ros import (
+    ALL_DATES,
+    DATE_ROWS,
+    date_rows,
+    outlet_sets,
+    outlets_of,
+    partner_rows,
+    period_ros,
+    two_grains,
+    weekly_ros,
+)
 from rosband.schema import DEFAULT_METRICS, DEFAULT_QUANTILES, Columns, DimSpec, Thresholds, require_columns
 
 
@@ -102,43 +111,59 @@ class BandStages:
     def band_prices(self) -> DataFrame:
         return band_prices(self.edges, self.cell_keys, self.quantiles)
 
+    @property
+    def _items(self) -> list[str]:
+        return [self.cols.period, "product_type", "product"]
+
+    @cached_property
+    def _placed(self) -> Placed:
+        """Rows with the edges of their date and item, not expanded."""
+        return place_edges(self.prices.select(*self._carry), self.dims, self.edges, [self.cols.date, *self._items])
+
     @cached_property
     def banded(self) -> DataFrame:
-        rows = self.prices.select(*self._carry)
-        items = [self.cols.date, self.cols.period, "product_type", "product"]
-        keep = carried(rows, self.dims, self._carry)
-        return assign_bands(rows, self.dims, self.edges, items, keep, self.quantiles, self.cols.price)
+        keep = carried(self.prices, self.dims, self._carry)
+        return self._placed.assigned(keep, self.quantiles, self.cells.labels, self.cols.price)
 
     @cached_property
     def grain(self) -> DataFrame:
-        """Outlet sets and sums per band and date, and partner volumes per band, written: four statistics read them."""
+        """Sums per band and date, and partner volumes per band, written: three statistics read them."""
         c = self.cols
         return materialize(two_grains(self.banded, self.band_keys, [c.date], c.outlet, c.data_partner, self.measures))
 
+    @property
+    def _n_bits(self) -> int:
+        return self._placed.n_cells * (len(self.quantiles) + 2)
+
     @cached_property
-    def _weeks(self) -> DataFrame:
-        return outlet_rows(self.grain, [*self.band_keys, self.cols.date], self.measures)
+    def _sets(self) -> DataFrame:
+        """How many outlets are in the same bands, per date and over all dates, written: three counts read them."""
+        c, p = self.cols, self._placed
+        bits, n_rows = p.bits(self.quantiles, c.price), self.prices.count()
+        return materialize(outlet_sets(p.rows, self._items, [c.date], c.outlet, c.data_partner, bits, self._n_bits, n_rows))
+
+    def _outlets(self, kind: int, items: list[str], whole: bool, keys: list[str], name: str) -> DataFrame:
+        cells = self._placed.band_bits(self.quantiles, self.cells.labels, "__bit")[whole]
+        return outlets_of(self._sets, kind, items, cells, keys, self._n_bits, name)
 
     @cached_property
     def weekly(self) -> DataFrame:
-        return weekly_ros(self._weeks, [self.cols.date, *self.band_keys], self.metrics)
+        date = self.cols.date
+        keys = [date, *self.band_keys]
+        outlets = self._outlets(DATE_ROWS, [*self._items, date], False, keys, "outlets")
+        return weekly_ros(date_rows(self.grain, keys, self.metrics), outlets, keys, self.metrics)
 
     @cached_property
     def period_ros(self) -> DataFrame:
         return period_ros(self.weekly, self.band_keys, self.metrics)
 
-    @cached_property
-    def _sets(self) -> DataFrame:
-        """The outlets of a band over all dates, shared by both outlet counts."""
-        return merged_sets(self._weeks, self.band_keys)
-
     @cached_property
     def outlets(self) -> DataFrame:
-        return distinct_outlets(self._sets, self.band_keys)
+        return self._outlets(ALL_DATES, self._items, False, self.band_keys, "outlet_count")
 
     @cached_property
     def totals(self) -> DataFrame:
-        return distinct_outlets(merged_sets(self._sets, self.cell_keys), self.cell_keys, "total_outlet_count")
+        return self._outlets(ALL_DATES, self._items, True, self.cell_keys, "total_outlet_count")
 
     @cached_property
     def shares(self) -> DataFrame:

@@ -172,3 +172,32 @@ def test_counting_prices_first_is_a_choice_of_plan_only(spark, repeated):
     for r in edges_from_histogram(counted, ["k"], DEFAULT_QUANTILES).collect():
         own = [p for i, p in enumerate(prices) if i % 2 == r["k"]]
         assert np.allclose(r["edges"], np.percentile(own, [20, 40, 60, 80, 100]), rtol=0, atol=1e-9)
+
+
+@pytest.mark.parametrize("n_regions, n_segments", [(3, 2), (30, 25)])  # one word of cells, and several pieces
+def test_outlets_per_cell_like_brute_force(spark, monkeypatch, n_regions, n_segments):
+    """An outlet with rows in several regions and segments counts once in every cell; tasks follow the rows."""
+    import random
+
+    from rosband.operators import numbers, ros
+    from rosband.operators.rollup import CELL_ID
+    from rosband.schema import DimSpec
+
+    monkeypatch.setattr(numbers, "ROWS_PER_TASK", 20)
+    rng = random.Random(n_regions)
+    rows = [
+        (rng.choice("de"), f"o{rng.randint(0, 60)}", f"r{rng.randrange(n_regions)}", rng.choice([None, *(f"s{i}" for i in range(n_segments))]))
+        for _ in range(900)
+    ]
+    want: dict = {}
+    for d, o, r, s in rows:
+        for n, cell in ((0, (r, s)), (1, ("GB", s)), (2, (r, "All Pubs")), (3, ("GB", "All Pubs"))):
+            if cell[1] is not None:
+                want.setdefault((d, n, *cell), set()).add(o)
+    df = spark.createDataFrame(rows, "d string, outlet string, region string, segment string")
+    cells = spark.createDataFrame(sorted({k[1:] for k in want}), f"{CELL_ID} int, region string, segment string")
+    got = ros.outlets_per_cell(df, ["d"], "outlet", DimSpec(), cells, 4 * len(rows))
+    assert {(x["d"], x[CELL_ID], x["region"], x["segment"]): x["outlet_count"] for x in got.collect()} == {k: len(v) for k, v in want.items()}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    by_outlet = [line for line in plan.splitlines() if "RepartitionByExpression" in line and "outlet" in line]
+    assert by_outlet and by_outlet[0].rstrip().endswith(str(max(45, spark.sparkContext.defaultParallelism)))
