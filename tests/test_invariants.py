@@ -201,3 +201,17 @@ def test_outlets_per_cell_like_brute_force(spark, monkeypatch, n_regions, n_segm
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     by_outlet = [line for line in plan.splitlines() if "RepartitionByExpression" in line and "outlet" in line]
     assert by_outlet and by_outlet[0].rstrip().endswith(str(max(45, spark.sparkContext.defaultParallelism)))
+
+
+def test_customers_are_joined_to_orders_and_not_to_every_sale(spark):
+    from rosband.sources import retail
+
+    plan = retail.sales_extract(retail.source_view(spark, SF))._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    (at,) = [i for i, line in enumerate(plan) if "Join Inner" in line and "c_custkey" in line]
+    below = []
+    for line in plan[at + 1 :]:
+        if depth(line) <= depth(plan[at]):
+            break
+        below.append(line)
+    assert any("o_orderkey" in line for line in below) and not any("l_orderkey" in line for line in below)
