@@ -1,7 +1,8 @@
 """Corpus pipeline over ``documents``: five stages, each written as Parquet and read by the next.
 
 1. ``quality``: rows that the quality rules reject go, lines above the limit of their host go (operator 4);
-2. ``lines``: later repeats of passages of 50 words or more go, in whole lines or not (operator 8);
+2. ``lines``: later repeats of 50 words or more go: runs of equal lines, found by winnowed line hashes and extended both
+   ways, then by words the passages that begin or end inside a line (operator 8);
 3. ``near_duplicates``: one row of every SimHash component stays (operator 7);
 4. ``mixture``: sources are mixed to ``mixing.WEIGHTS``, 80 % of the tokens in one epoch (operator 9);
 5. ``tokens``: whole texts are encoded by byte-level BPE and decoded again (operator 1).
@@ -16,7 +17,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosband.llm import bpe, mixing, passages, quality, simhash, winnow
+from rosband.llm import bpe, mixing, quality, simhash, winnow
 from rosband.llm.common import written
 from rosband.operators.joins import Datasets
 
@@ -28,7 +29,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return passages.dedup(docs, winnow.MIN_WORDS)
+    return winnow.dedup_passages(docs)
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """Repeated passages, for operator 8: winnowing over the words of whole texts, lines or not.
 
+``winnow`` finds the runs of lines; here follows what begins or ends inside a line.
+
 A document is the sequence of its normalised words (as in ``lines``, over line ends).  A window is ``min_words``
 words.  A word goes if it lies in a window that also stands at an earlier place (smaller doc_id, then text hash,
 then word); the first place keeps it.  So a passage of ``min_words`` words goes wherever in a line it begins
@@ -85,16 +87,10 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(places), np.concatenate(hashes)
 
 
-class Sums:
-    """Hashes of any run of words (polynomial, modulo 2**64) of texts that stand one after the other: text ``i`` has the
-    ``n[i]`` words from ``first[i]`` on."""
+class Runs:
+    """Hashes of any run of a sequence of hashes (polynomial, modulo 2**64)."""
 
-    def __init__(self, texts: list[str]):
-        data = [x.lower().encode("utf-8", "surrogatepass") for x in texts]
-        ends = np.cumsum([len(x) + 1 for x in data])
-        places, hashes = word_hashes(b" ".join(data))
-        upto = np.searchsorted(places, np.concatenate(([0], ends)))
-        self.first, self.n = upto[:-1], np.diff(upto)
+    def __init__(self, hashes: np.ndarray):
         self.upto = np.zeros(len(hashes) + 1, np.uint64)
         np.cumsum(hashes * _powers(_BASE, len(hashes)), dtype=np.uint64, out=self.upto[1:])
         self.back = _powers(_INVERSE, len(hashes) + 1)
@@ -103,6 +99,26 @@ class Sums:
         return _mixed((self.upto[end] - self.upto[start]) * self.back[start], end - start)
 
 
+class Sums(Runs):
+    """Hashes of any run of words of texts that stand one after the other: text ``i`` has the ``n[i]`` words from
+    ``first[i]`` on."""
+
+    def __init__(self, texts: list[str]):
+        data = [x.lower().encode("utf-8", "surrogatepass") for x in texts]
+        ends = np.cumsum([len(x) + 1 for x in data])
+        self.data = b" ".join(data)
+        self.places, hashes = word_hashes(self.data)
+        upto = np.searchsorted(self.places, np.concatenate(([0], ends)))
+        self.first, self.n = upto[:-1], np.diff(upto)
+        super().__init__(hashes)
+
+    def lines(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``text, first, last``: of every line with a word its text, its first word and the end of its words."""
+        breaks = np.flatnonzero(np.frombuffer(self.data, np.uint8) == 10)
+        upto = np.unique(np.concatenate(([0], np.searchsorted(self.places, breaks), self.first + self.n)))
+        return np.searchsorted(self.first + self.n, upto[:-1], "right"), upto[:-1], upto[1:]
+
+
 def gram_size(min_words: int) -> int:
     return max(1, 2 * min_words // 5)
 
@@ -134,7 +150,7 @@ def marks(sums: Sums, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return text, mark, sums.runs(lo, hi + min_words), lo - first, hi - first
 
 
-def _together(texts: list[str]) -> Iterator[tuple[int, int]]:
+def together(texts: list[str]) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``_BYTES`` characters or one longer text."""
     begin = size = 0
     for i, text in enumerate(texts):
@@ -151,7 +167,7 @@ def _places(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.Re
     for batch in batches:
         key, text_hash = (batch.column(n).to_numpy() for n in names[:2])
         texts = batch.column("text").to_pylist()
-        for a, b in _together(texts):
+        for a, b in together(texts):
             text, mark, whole, lo, hi = marks(Sums(texts[a:b]), min_words)
             for at in range(0, len(text), _PIECE):
                 part = slice(at, at + _PIECE)
@@ -170,7 +186,7 @@ def _windows(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.R
         texts, spans = batch.column("text").to_pylist(), batch.column("spans")
         lo, hi = (spans.flatten().field(n).to_numpy().astype(np.int64) for n in ("lo", "hi"))
         upto = np.concatenate(([0], np.cumsum(spans.value_lengths().to_numpy())))
-        for a, b in _together(texts):
+        for a, b in together(texts):
             sums = Sums(texts[a:b])
             own = slice(upto[a], upto[b])
             n = hi[own] - lo[own] + 1
@@ -194,22 +210,30 @@ def _key() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST_ID))
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
+def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(_key().alias("key"), text_or_empty().alias("text")).withColumn("text_hash", F.xxhash64("text"))
 
 
-def repeats(docs: DataFrame, min_words: int) -> DataFrame:
-    """``key, text_hash, spans``: per document with a later repeat the starts ``lo`` to ``hi`` of windows that go."""
+def repeats(docs: DataFrame, min_words: int, known: DataFrame | None = None) -> DataFrame:
+    """``key, text_hash, spans``: per document with a later repeat the starts ``lo`` to ``hi`` of windows that go.
+
+    ``known`` has such spans that were found before: their windows are not looked at again (the first place of a window is
+    never in one of them) and the spans are among those returned."""
     own = F.struct("key", "text_hash", "lo")
     span = F.struct("lo", "hi")
     places = written(
-        _keyed(docs).mapInArrow(
+        keyed(docs).mapInArrow(
             lambda x: _places(x, min_words),
             "key long, text_hash long, mark long, whole long, lo int, hi int",
         )
     )
     twice = written(places.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark"))
-    shared = written(places.join(twice, "mark", "left_semi"))
+    shared = places.join(twice, "mark", "left_semi")
+    if known is not None:
+        before = known.withColumnRenamed("spans", "before")
+        inside = F.exists("before", lambda x: (x["lo"] <= F.col("lo")) & (F.col("hi") <= x["hi"]))
+        shared = shared.join(before, ["key", "text_hash"], "left").where(~F.coalesce(inside, F.lit(False))).drop("before")
+    shared = written(shared)
     first = written(shared.groupBy("mark", "whole").agg(F.min(own).alias("first"), F.count("*").alias("n")))
     later = shared.join(first.where("n > 1").select("mark", "whole", "first"), ["mark", "whole"]).where(own != F.col("first"))
     later = later.select("key", "text_hash", "lo", "hi")
@@ -218,7 +242,7 @@ def repeats(docs: DataFrame, min_words: int) -> DataFrame:
     mixed = written(first.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark"))
     apart = shared.join(first.select("mark", "whole", "first"), ["mark", "whole"]).where(own == F.col("first"))
     apart = apart.join(mixed, "mark", "left_semi").groupBy("key", "text_hash").agg(F.collect_set(span).alias("spans"))
-    windows = _keyed(docs).join(written(apart), ["key", "text_hash"]).select("key", "text_hash", "text", "spans")
+    windows = keyed(docs).join(written(apart), ["key", "text_hash"]).select("key", "text_hash", "text", "spans")
     windows = written(
         windows.mapInArrow(lambda x: _windows(x, min_words), "content long, key long, text_hash long, start int")
     )
@@ -226,7 +250,10 @@ def repeats(docs: DataFrame, min_words: int) -> DataFrame:
     least = windows.groupBy("content").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     single = windows.join(written(least), "content").where(place != F.col("first"))
     single = single.select("key", "text_hash", F.col("start").alias("lo"), F.col("start").alias("hi"))
-    return later.unionAll(single).groupBy("key", "text_hash").agg(F.collect_set(span).alias("spans"))
+    found = later.unionAll(single)
+    if known is not None:
+        found = found.unionAll(known.select("key", "text_hash", F.inline("spans")))
+    return found.groupBy("key", "text_hash").agg(F.collect_set(span).alias("spans"))
 
 
 def cut(text: str, spans: list[tuple[int, int]], min_words: int) -> tuple[str, list[int], int]:
@@ -266,11 +293,16 @@ def cut(text: str, spans: list[tuple[int, int]], min_words: int) -> tuple[str, l
 
 
 def dedup(docs: DataFrame, min_words: int, gone: str | None = None, n_words: str | None = None) -> DataFrame:
-    """``docs`` without later repeats of passages in ``text`` (``n_chars`` follows the text).  ``gone`` names a column for
-    the numbers of the lines deleted whole (an empty array where none is), ``n_words`` one for the words deleted."""
+    """``docs`` without later repeats of passages, found by words alone; ``gone`` and ``n_words`` as in ``without``."""
+    return without(docs, repeats(docs, min_words), min_words, gone, n_words)
+
+
+def without(docs: DataFrame, found: DataFrame, min_words: int, gone: str | None = None, n_words: str | None = None) -> DataFrame:
+    """``docs`` without the words of the spans in ``found`` in ``text`` (``n_chars`` follows the text).  ``gone`` names a column
+    for the numbers of the lines deleted whole (an empty array where none is), ``n_words`` one for the words deleted."""
 
     @F.arrow_udf("struct<text: string, gone: array<int>, n_words: long>")
-    def without(text: pa.Array, spans: pa.Array) -> pa.Array:
+    def left(text: pa.Array, spans: pa.Array) -> pa.Array:
         out = [
             None if s is None else cut(t, [(x["lo"], x["hi"]) for x in s], min_words)
             for t, s in zip(text.to_pylist(), spans.to_pylist(), strict=True)
@@ -278,13 +310,13 @@ def dedup(docs: DataFrame, min_words: int, gone: str | None = None, n_words: str
         out = [None if x is None else {"text": x[0], "gone": x[1], "n_words": x[2]} for x in out]
         return pa.array(out, pa.struct([("text", pa.string()), ("gone", pa.list_(pa.int32())), ("n_words", pa.int64())]))
 
-    found = repeats(docs, min_words).select(
+    found = found.select(
         F.col("key").alias("__llm_key"), F.col("text_hash").alias("__llm_hash"), F.col("spans").alias("__llm_spans")
     )
     keyed = docs.withColumns({"__llm_key": _key(), "__llm_hash": F.xxhash64(text_or_empty())})
     out = keyed.join(found, ["__llm_key", "__llm_hash"], "left")
     touched = F.col("__llm_spans").isNotNull()
-    out = out.withColumn("__llm_left", without(F.when(touched, F.col("text")), F.col("__llm_spans")))
+    out = out.withColumn("__llm_left", left(F.when(touched, F.col("text")), F.col("__llm_spans")))
     out = out.withColumn("text", F.when(touched, F.col("__llm_left.text")).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(touched, F.length("text")).otherwise(F.col("n_chars")))
