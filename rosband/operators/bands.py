@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 from itertools import product
 from math import prod
 
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from rosband.functions.bands import band_of, percentile_array
 from rosband.operators.joins import attach, materialize
-from rosband.operators.rollup import CELL_ID, Option, axes, label_names
+from rosband.operators.rollup import CELL_ID, Option, axes, expand_cells, label_names
 from rosband.schema import DimSpec
 
 EDGES = "edges"
@@ -58,18 +59,58 @@ def edges_from_histogram(hist: DataFrame, keys: Sequence[str], quantiles: Sequen
     by price.  No task ever holds the prices of a cell: the largest unit of work is one bucket.
     """
     keys = list(keys)
-    qs = [float(q) for q in quantiles]
     binned = hist.withColumn("__bucket", price_bucket(F.col(price)))
     totals = binned.groupBy(*keys, "__bucket").agg(F.sum("__n").alias("__in"))
+    wanted = materialize(_wanted_buckets(totals, keys, quantiles))
+    return _picked_edges(binned.join(wanted, [*keys, "__bucket"]), keys, quantiles, price)
+
+
+def edges_of_cells(
+    hist: DataFrame, spec: DimSpec, members: Sequence[str], item_keys: Sequence[str], quantiles: Sequence[float], price: str = "price"
+) -> DataFrame:
+    """``edges_from_histogram`` of every cell of rows (``item_keys``, ``members``, price, ``__n``) that are not expanded.
+
+    Bucket totals are made per combination of members, and a cell's from these; then each combination is told which of its
+    cells want a bucket.  A row is looked up once, and repeated only for the cells that want its bucket.
+    """
+    item_keys, own = list(item_keys), [f"__own{i}" for i in range(len(members))]
+    binned = hist.withColumn("__bucket", price_bucket(F.col(price)))
+    parts = materialize(binned.groupBy(*item_keys, *members, "__bucket").agg(F.sum("__n").alias("__in")))
+    copied = parts.withColumns({o: F.col(m) for o, m in zip(own, members, strict=True)}) if own else parts
+    cells = expand_cells(copied, spec, [*item_keys, "__bucket", "__in", *own, *members])
+    keys = [*item_keys, *cells.keys]
+    totals = cells.df.groupBy(*keys, "__bucket").agg(F.sum("__in").alias("__in"))
+    wanted = materialize(_wanted_buckets(totals, keys, quantiles))
+    cell = F.struct(*cells.keys, "__before", "__all", "__ranks")
+    wants = cells.df.drop("__in").join(wanted, [*keys, "__bucket"]).groupBy(*item_keys, *own, "__bucket")
+    wants = materialize(wants.agg(F.collect_list(cell).alias("__cells")))
+    renamed = wants.select(*[F.col(c).alias(f"__w_{c}") for c in [*item_keys, "__bucket"]], *own, "__cells")
+    here = [F.col(c) == F.col(f"__w_{c}") for c in [*item_keys, "__bucket"]]
+    here += [F.col(m).eqNullSafe(F.col(o)) for m, o in zip(members, own, strict=True)]
+    found = binned.join(renamed, reduce(Column.__and__, here))
+    found = found.select(*item_keys, "__bucket", price, "__n", F.inline("__cells"))
+    return _picked_edges(found, keys, quantiles, price)
+
+
+def _wanted_buckets(totals: DataFrame, keys: Sequence[str], quantiles: Sequence[float]) -> DataFrame:
+    """The buckets that hold a wanted rank: ``keys, __bucket, __before`` (rows below), ``__all`` (rows), ``__ranks``."""
     cell = Window.partitionBy(*keys)
     upto = cell.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.withColumn("__before", F.coalesce(F.sum("__in").over(upto), F.lit(0))).withColumn("__all", F.sum("__in").over(cell))
-    places = [F.lit(q) * (F.col("__all") - 1) for q in qs]
-    ranks = F.array_distinct(F.array(*[f(p).cast("long") for p in places for f in (F.floor, F.ceil)]))
+    ranks = F.array_distinct(F.array(*[f(p).cast("long") for p in _rank_places(quantiles) for f in (F.floor, F.ceil)]))
     here = F.filter(ranks, lambda r: (r >= F.col("__before")) & (r < F.col("__before") + F.col("__in")))
-    wanted = materialize(totals.withColumn("__ranks", here).where(F.size("__ranks") > 0).drop("__in"))
+    return totals.withColumn("__ranks", here).where(F.size("__ranks") > 0).drop("__in")
+
+
+def _rank_places(quantiles: Sequence[float]) -> list[Column]:
+    return [F.lit(float(q)) * (F.col("__all") - 1) for q in quantiles]
+
+
+def _picked_edges(found: DataFrame, keys: Sequence[str], quantiles: Sequence[float], price: str) -> DataFrame:
+    """Edges from the rows of the wanted buckets."""
+    places = _rank_places(quantiles)
     inside = Window.partitionBy(*keys, "__bucket").orderBy(price).rowsBetween(Window.unboundedPreceding, 0)
-    found = binned.join(wanted, [*keys, "__bucket"]).withColumn("__end", F.col("__before") + F.sum("__n").over(inside))
+    found = found.withColumn("__end", F.col("__before") + F.sum("__n").over(inside))
     hit = F.filter("__ranks", lambda r: (r >= F.col("__end") - F.col("__n")) & (r < F.col("__end")))
     found = found.select(*keys, "__all", F.col(price).alias("__p"), F.explode(hit).alias("__rank"))
     picked = found.groupBy(*keys).agg(
@@ -209,14 +250,36 @@ class Placed:
             entries.append(F.when(found.isNotNull(), entry))
         return self.rows.select(*keep, F.inline(F.filter(F.array(*entries), lambda x: x.isNotNull())))
 
-    def bits(self, quantiles: Sequence[float], price: str) -> list[Column]:
-        """Numbers of a row's bands and, above the bands of each cell, of its cells (see ``band_bits``)."""
-        out, width = [], len(quantiles) + 2
+    def coded(self, keep: Sequence[str], quantiles: Sequence[float], price: str) -> DataFrame:
+        """``keep`` and, in ``__bits``, the number of the band of each of a row's cells (see ``band_bits``; null: no edges).
+
+        Written, it spares those who read it the join with the edges and the looking up."""
+        bits, width = [], len(quantiles) + 2
         for number, found, _ in self.chosen:
             band = band_of(F.col(price), found, [float(i) for i in range(len(quantiles))])
             band = F.coalesce(band.cast("int"), F.lit(len(quantiles)))
-            out += [F.when(found.isNotNull(), number * width + b) for b in (band, F.lit(len(quantiles) + 1))]
-        return out
+            bits.append(F.when(found.isNotNull(), number * width + band))
+        return self.rows.select(*keep, F.array(*bits).alias("__bits"))
+
+    def expanded(self, coded: DataFrame, keep: Sequence[str], quantiles: Sequence[float], names: Sequence[str]) -> DataFrame:
+        """``assigned`` from ``coded`` rows, which keep the columns of the members."""
+        labels_of = F.array(*[F.lit(q).cast("double") for q in [*quantiles, None]])
+        entries = []
+        for i, (_, _, options) in enumerate(self.chosen):
+            labels = {k: v.cast("string") for o in options for k, v in o.labels.items()}
+            bit = F.get("__bits", F.lit(i))
+            entry = F.struct(
+                F.lit(sum(o.number for o in options)).alias(CELL_ID), *[labels[n].alias(n) for n in names],
+                F.get(labels_of, bit % (len(quantiles) + 2)).alias("percentile"),
+            )
+            entries.append(F.when(bit.isNotNull(), entry))
+        return coded.select(*keep, F.inline(F.array(*entries))).where(F.col(CELL_ID).isNotNull())
+
+    def bits(self, quantiles: Sequence[float]) -> list[Column]:
+        """Numbers of a coded row's bands and, above the bands of each cell, of its cells (see ``band_bits``)."""
+        width = len(quantiles) + 2
+        bands = [F.get("__bits", F.lit(i)) for i in range(len(self.chosen))]
+        return [b for bit in bands for b in (bit, bit - bit % width + (len(quantiles) + 1))]
 
     def band_bits(self, quantiles: Sequence[float], names: Sequence[str], bit: str) -> tuple[DataFrame, DataFrame]:
         """``bit`` of every band (cell, ``percentile``; null above every edge) and of every cell over its bands."""

@@ -34,15 +34,12 @@ KIND = "__kind"
 DATE_ROWS, PARTNER_ROWS, ALL_DATES = 0, 1, 1
 
 
-def two_grains(
-    rows: DataFrame, keys: Sequence[str], dates: Sequence[str], outlet: str, partner: str, measures: Sequence[str]
-) -> DataFrame:
+def two_grains(rows: DataFrame, keys: Sequence[str], dates: Sequence[str], partner: str, measures: Sequence[str]) -> DataFrame:
     """Measure sums per key and date (``__kind`` 0) and per key and partner (``__kind`` 1) from one pass over the rows.
 
     ``GROUPING SETS ((keys, dates), (keys, partner))``: one shuffle with map-side partial aggregation for both sets.
     """
-    r = rows.where(F.col(outlet).isNotNull() & F.col(partner).isNotNull())
-    agg = r.groupingSets([[*keys, *dates], [*keys, partner]], *keys, *dates, partner).agg(
+    agg = rows.groupingSets([[*keys, *dates], [*keys, partner]], *keys, *dates, partner).agg(
         *[F.sum(m).alias(f"sum_{m}") for m in measures],
         F.grouping(partner).alias("__g"),
     )
@@ -72,13 +69,14 @@ def outlet_sets(
 ) -> DataFrame:
     """How many outlets of an item are in the same cells: per date (``__kind`` 0), and over all dates (``__kind`` 1).
 
-    ``bits`` are the numbers of a row's cells; ``n_rows`` decides the number of tasks.  The rows move once, by item and outlet; the sets of the dates merge where they lie.
+    ``bits`` are the numbers of a row's cells; ``n_rows`` decides the number of tasks.  The rows move once, by item and outlet.
     """
     r = rows.where(F.col(outlet).isNotNull() & F.col(partner).isNotNull())
     masked = cell_masks(r, [*items, *dates, outlet], bits, n_bits)
     masked = masked.repartition(tasks_for(n_rows, r.sparkSession), *items, outlet)
     daily = gathered(masked, [*items, *dates, outlet], n_bits)
-    whole = counted_masks(gathered(daily, [*items, outlet], n_bits), items, n_bits)
+    # from the rows and not from the dates' sets: an outlet has few rows of an item and date, so these are hardly fewer
+    whole = counted_masks(gathered(masked, [*items, outlet], n_bits), items, n_bits)
     daily = counted_masks(daily, [*items, *dates], n_bits).withColumn(KIND, F.lit(DATE_ROWS))
     return daily.unionByName(whole.withColumn(KIND, F.lit(ALL_DATES)), allowMissingColumns=True)
 

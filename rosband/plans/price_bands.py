@@ -13,10 +13,11 @@ all-region / all-segment roll-ups):
 5. the band price is the mean over the weeks of the cell's edge;
 6. cells are published only if they pass the disclosure rule.
 
-Plan shape: edges are selected by rank from prices that are expanded into their cells as they are
-read (counted first where prices repeat).  Rows look their cells' edges up by place.  Expanded, one grouping-sets
-aggregate of them gives the sums; outlets are counted from the rows as they are, by the set of bands that each is in.  Each stage is built when it is asked for: the edges, the
-banded rows' grains and what reads them write their intermediates then, other stages stay lazy.
+Plan shape: edges are selected by rank; bucket totals are rolled up from combinations of members, and rows are repeated only
+for the cells that want their bucket (prices are counted first where they repeat).  Rows look their cells' edges up by place,
+once, and are written with their bands.  From these, summed per combination of members and bands and then expanded, one
+grouping-sets aggregate gives the sums; outlets are counted by the set of bands that each is in.  Each stage is built when it
+is asked for: the edges, the coded rows, their grains and what reads them write their intermediates then, other stages stay lazy.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosband.functions.measures import unit_price
-from rosband.operators.bands import Placed, band_prices, counted_prices, edges_from_histogram, place_edges
+from rosband.operators.bands import Placed, band_prices, counted_prices, edges_of_cells, place_edges
 from rosband.operators.disclosure import partner_shares, partner_summary, suppress
 from rosband.operators.joins import materialize
 from rosband.operators.rollup import CELL_ID, Cells, carried, expand_cells, expand_items
@@ -100,12 +101,11 @@ class BandStages:
 
     @cached_property
     def edges(self) -> DataFrame:
-        """Edges of every cell and date; prices are expanded into their cells as they are read, never written."""
+        """Edges of every cell and date, from rows that are not expanded into their cells."""
         c = self.cols
-        keys = [c.date, c.period, "product_type", "product", c.price]
-        counted = counted_prices(self.prices, [*keys[:-1], *self._members], c.price)
-        cells = expand_cells(counted, self.dims, [*keys, "__n", *self._members]).df
-        return materialize(edges_from_histogram(cells, self.date_keys, self.quantiles, c.price))
+        items = [c.date, *self._items]
+        counted = counted_prices(self.prices, [*items, *self._members], c.price)
+        return materialize(edges_of_cells(counted, self.dims, self._members, items, self.quantiles, c.price))
 
     @cached_property
     def band_prices(self) -> DataFrame:
@@ -120,16 +120,27 @@ class BandStages:
         """Rows with the edges of their date and item, not expanded."""
         return place_edges(self.prices.select(*self._carry), self.dims, self.edges, [self.cols.date, *self._items])
 
+    @cached_property
+    def _coded(self) -> DataFrame:
+        """Rows with the bands of their cells, not expanded, written: bands, sums and outlet sets read them."""
+        return materialize(self._placed.coded(self._carry, self.quantiles, self.cols.price))
+
     @cached_property
     def banded(self) -> DataFrame:
         keep = carried(self.prices, self.dims, self._carry)
-        return self._placed.assigned(keep, self.quantiles, self.cells.labels, self.cols.price)
+        return self._placed.expanded(self._coded, keep, self.quantiles, self.cells.labels)
 
     @cached_property
     def grain(self) -> DataFrame:
-        """Sums per band and date, and partner volumes per band, written: three statistics read them."""
+        """Sums per band and date, and partner volumes per band, written: three statistics read them.
+
+        Rows of the same members and bands are summed before they are expanded into their cells."""
         c = self.cols
-        return materialize(two_grains(self.banded, self.band_keys, [c.date], c.outlet, c.data_partner, self.measures))
+        r = self._coded.where(F.col(c.outlet).isNotNull() & F.col(c.data_partner).isNotNull())
+        keep = [c.date, *self._items, c.data_partner]
+        summed = r.groupBy(*keep, *self._members, "__bits").agg(*[F.sum(m).alias(m) for m in self.measures])
+        rows = self._placed.expanded(summed, [*keep, *self.measures], self.quantiles, self.cells.labels)
+        return materialize(two_grains(rows, self.band_keys, [c.date], c.data_partner, self.measures))
 
     @property
     def _n_bits(self) -> int:
@@ -138,9 +149,9 @@ class BandStages:
     @cached_property
     def _sets(self) -> DataFrame:
         """How many outlets are in the same bands, per date and over all dates, written: three counts read them."""
-        c, p = self.cols, self._placed
-        bits, n_rows = p.bits(self.quantiles, c.price), self.prices.count()
-        return materialize(outlet_sets(p.rows, self._items, [c.date], c.outlet, c.data_partner, bits, self._n_bits, n_rows))
+        c, rows = self.cols, self._coded
+        bits = self._placed.bits(self.quantiles)
+        return materialize(outlet_sets(rows, self._items, [c.date], c.outlet, c.data_partner, bits, self._n_bits, rows.count()))
 
     def _outlets(self, kind: int, items: list[str], whole: bool, keys: list[str], name: str) -> DataFrame:
         cells = self._placed.band_bits(self.quantiles, self.cells.labels, "__bit")[whole]
