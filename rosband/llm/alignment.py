@@ -8,7 +8,9 @@ length; terminals number the groups.  All tokens of a block of documents are jum
 
 Scale: a block (documents of ``BLOCK_BYTES`` together, or one longer document) counts its own id pairs first, so the
 corpus counts come from one aggregate over distinct pairs of blocks; the totals are joined back to those pairs,
-gathered per block (bounded by the block) and looked up by the pair numbers that the block kept for every link.
+gathered per block (bounded by the block) and looked up by the pair numbers that the block kept for every link, two bytes
+each where the block has no more pairs.  Blocks are read back ``BLOCKS_PER_TASK`` a task on average: a batch holds the
+blocks of a task, so its memory follows the block and not the input.
 
 Defined cases: a text that is null, empty, or whose joined token bytes on either side differ from the bytes expected has
 no tokens: zeros and an empty ``groups_sha256``; repeated rows and ids are rows of their own (and count again);
@@ -32,6 +34,8 @@ from rosband.llm.common import written
 
 #: Documents are encoded and jumped together until their texts have this many characters.
 BLOCK_BYTES = 1 << 20
+#: Blocks of a task (on average) where counts are looked up: a batch of rows there holds all of them.
+BLOCKS_PER_TASK = 8
 #: ``a_id * SHIFT + b_id`` numbers an id pair.
 SHIFT = 1 << 32
 
@@ -150,6 +154,11 @@ class GroupText:
         return b"".join(map(self.pieces.__getitem__, numbers.tolist()))[:-1]
 
 
+def _link_type(n_pairs: int) -> str:
+    """The type of a block's pair numbers."""
+    return "<u2" if n_pairs <= 1 << 16 else "<u4"
+
+
 def _block(block: int, ids: list, texts: list[str], tok: Tokenizers, a_length, b_length, writer: GroupText) -> dict:
     """All that a block of documents gives: digests per document, its distinct id pairs, and the links as pair numbers."""
     a_all, b_all = tok.encode(texts)
@@ -183,7 +192,7 @@ def _block(block: int, ids: list, texts: list[str], tok: Tokenizers, a_length, b
     return {
         "block": block, "doc_ids": ids, "n_a": n_a.tolist(), "n_b": n_b.tolist(), "n_groups": groups,
         "n_links": n_links.tolist(), "groups_sha256": shas, "pairs": pairs.tolist(), "counts": counts.tolist(),
-        "links": number.astype("<u4").tobytes(),
+        "links": number.astype(_link_type(len(pairs))).tobytes(),
     }
 
 
@@ -243,18 +252,18 @@ def _looked_up(blocks: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc_ids, n_a, n_b, n_groups, n_links, shas, links, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                number = np.frombuffer(links, "<u4")
-                n = np.array([f["n"] for f in found or ()], dtype=np.int64)
-                best = np.array([f["best"] for f in found or ()], dtype=np.int64)
-                at = np.concatenate(([0], np.cumsum(n_links)))
-                sums = [np.concatenate(([0], np.cumsum(x[number]))) if len(number) else np.zeros(1, np.int64) for x in (best, n)]
-                n_best, count_sum = (np.diff(s[at]) for s in sums)
-                columns = (doc_ids, n_a, n_b, n_groups, n_links, n_best.tolist(), count_sum.tolist())
-                yield pa.record_batch(
-                    [*(pa.array(c, pa.int64()) for c in columns), pa.array(shas, pa.string())],
-                    [f.split()[0] for f in _DOCS.split(", ")],
-                )
+            doc_ids, n_a, n_b, n_groups, n_links, shas, links, found = batch.columns
+            for i in range(len(batch)):
+                own = found[i].values  # no value is made a Python object
+                pairs = len(own) if own is not None else 0
+                n = own.field("n").to_numpy() if pairs else np.zeros(0, np.int64)
+                best = own.field("best").to_numpy(zero_copy_only=False).astype(np.int64) if pairs else n
+                number = np.frombuffer(links[i].as_buffer(), _link_type(pairs))
+                at = np.concatenate(([0], np.cumsum(n_links[i].values.to_numpy())))
+                n_best, count_sum = (np.diff(np.concatenate(([0], np.cumsum(x[number])))[at]) for x in (best, n))
+                columns = [doc_ids[i].values, n_a[i].values, n_b[i].values, n_groups[i].values, n_links[i].values]
+                columns += [pa.array(n_best, pa.int64()), pa.array(count_sum, pa.int64()), shas[i].values]
+                yield pa.record_batch(columns, [f.split()[0] for f in _DOCS.split(", ")])
 
     columns = ("doc_ids", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "links", "found")
     return blocks.select(*columns).mapInArrow(run, _DOCS)
@@ -263,8 +272,10 @@ def _looked_up(blocks: DataFrame) -> DataFrame:
 def digest(docs: DataFrame, ranks_path: str, pattern: str, piece_path: str, block_chars: int = BLOCK_BYTES) -> DataFrame:
     """Per document its tokens, groups and links, and how its links stand among the corpus's id pairs."""
     blocks = written(aligned_blocks(docs, ranks_path, pattern, piece_path, block_chars))
+    tasks = max(1, -(-blocks.count() // BLOCKS_PER_TASK))
     each = blocks.select("block", F.posexplode("pairs").alias("pos", "pair"))
-    found = each.join(pair_counts(blocks), "pair").groupBy("block")
+    found = each.join(pair_counts(blocks), "pair").repartition(tasks, "block").groupBy("block")
     # as many as the block has distinct pairs, in the order of their numbers
     found = found.agg(F.array_sort(F.collect_list(F.struct("pos", "n", "best"))).alias("found"))
-    return _looked_up(blocks.join(found, "block", "left"))
+    kept = blocks.drop("pairs", "counts").repartition(tasks, "block")
+    return _looked_up(kept.join(found, "block", "left"))

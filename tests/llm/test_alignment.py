@@ -118,3 +118,16 @@ def test_ranks_and_merges_agree_on_every_code_point():
     texts = ["".join(f"x{c}x {c}1{c}{c} \n" for c in points[at : at + 64]) for at in range(0, len(points), 64)]
     for text, a in zip(texts, left.encode_batch_fast([" " + t for t in texts], add_special_tokens=False), strict=True):
         assert tok._a.encode(" " + text, disallowed_special=()) == a.ids, hex(ord(text[1]))
+
+
+def test_lookup_holds_a_few_blocks_a_task(spark):
+    """However many blocks lie in one partition, a task that looks counts up gets few, with two bytes a link."""
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").coalesce(1)
+    blocks = A.aligned_blocks(df, *SIDES, block_chars=2000).cache()
+    for row in blocks.select("links", "n_links").collect():
+        assert len(row.links) == 2 * sum(row.n_links)
+    n = blocks.count()
+    assert n > 4 * A.BLOCKS_PER_TASK
+    assert A.digest(df, *SIDES, block_chars=2000).rdd.getNumPartitions() >= n // A.BLOCKS_PER_TASK
+    blocks.unpersist()
+    assert [A._link_type(n) for n in (0, 1 << 16, (1 << 16) + 1)] == ["<u2", "<u2", "<u4"]
