@@ -120,11 +120,21 @@ def filtered(
     return v
 
 
-def extract(view: DataFrame, keys: Mapping[str, F.Column], spec: ViewSpec = STAR) -> DataFrame:
-    """Measure sums per ``keys`` (output names) and the view's hidden keys, which are dropped afterwards."""
+def extract(
+    view: DataFrame, keys: Mapping[str, F.Column], spec: ViewSpec = STAR, derived: Mapping[str, F.Column] | None = None
+) -> DataFrame:
+    """Measure sums per ``keys`` (output names) and the view's hidden keys, which are dropped afterwards.
+
+    ``derived`` are keys that other keys (or hidden ones, ``__hidden<i>``) decide: expressions over these, made from the
+    aggregated rows, which are so not moved and compared by them.
+    """
     hidden = {f"__hidden{i}": F.expr(h) for i, h in enumerate(spec.hidden)}
+    derived = derived or {}
+    order = [*keys, "value", "quantity", "volume"]
+    keys = {n: e for n, e in keys.items() if n not in derived}
     sums = [F.sum(F.expr(e)).alias(n) for n, e in (("value", spec.value), ("quantity", spec.quantity), ("volume", spec.volume))]
-    return view.groupBy(*[e.alias(n) for n, e in {**keys, **hidden}.items()]).agg(*sums).drop(*hidden)
+    out = view.groupBy(*[e.alias(n) for n, e in {**keys, **hidden}.items()]).agg(*sums)
+    return out.withColumns(dict(derived)).select(*order) if derived else out.select(*order)
 
 
 def _calendar(spec: ViewSpec, grain: str) -> dict[str, F.Column]:
@@ -137,6 +147,14 @@ def _calendar(spec: ViewSpec, grain: str) -> dict[str, F.Column]:
     }
 
 
+def _derived(names: Mapping[str, F.Column], spec: ViewSpec) -> dict[str, F.Column]:
+    """The keys of an extract that its date (the first day of a month or quarter) and its hidden category decide."""
+    parts = {"period": F.year("date").cast("int"), "qtr": F.quarter("date").cast("int"), "year": F.year("date").cast("int")}
+    if spec.category in spec.hidden:
+        parts["segment"] = segment_expr(f"__hidden{spec.hidden.index(spec.category)}")
+    return {n: e for n, e in parts.items() if n in names}
+
+
 def segment_expr(category: str = "c_mktsegment") -> F.Column:
     return two_way(F.expr(category), CORE_SEGMENTS, SEGMENT_IN, SEGMENT_OUT)
 
@@ -156,7 +174,7 @@ def sales_extract(
         "segment": segment_expr(spec.category),
         "data_partner": F.expr(spec.data_partner),
     }
-    return extract(filtered(view, spec, **filters), keys, spec)
+    return extract(filtered(view, spec, **filters), keys, spec, _derived(keys, spec))
 
 
 # ----------------------------------------------------------------------------
@@ -211,7 +229,7 @@ def sales_extract_multi(
         "__nation": F.col("n_nationkey"),
         "data_partner": F.expr(spec.data_partner),
     }
-    out = extract(v, keys, spec)
+    out = extract(v, keys, spec, _derived(keys, spec))
     # roll-up after the aggregation: rolled-up names are not re-aggregated
     rolled = keyword_rollup("p_name", ROLLUP_RULES)
     out = out.withColumn("product", product_label(rolled, "size", "format", LABELLED_FORMATS))

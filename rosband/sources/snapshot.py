@@ -47,7 +47,8 @@ def snapshot(
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
-        spark.createDataFrame([(df.schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(schema_path)
+        # a literal: rows from Python would start Python workers
+        spark.range(1).select(F.lit(df.schema.json()).alias("value")).coalesce(1).write.mode("overwrite").text(schema_path)
     schema = T.StructType.fromJson(json.loads(spark.read.text(schema_path).first()["value"]))
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 

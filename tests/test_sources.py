@@ -159,3 +159,34 @@ def test_whole_job_writes_and_csv(spark, sales, tmp_path):
     )
     for name in ("PC_Data", "OT_Data", "lists", "edges", "banded", "totals"):
         assert spark.read.option("header", "true").csv(f"{root}/{name}").count() > 0, name
+
+
+def test_keys_that_others_decide_are_not_grouped_by(spark):
+    """Period, quarter, year and segment come from the aggregated rows, equal to grouping by them."""
+    from pyspark.sql import functions as F
+
+    from rosband.sources import retail
+
+    view = retail.source_view(spark, "/root/testdata/sf0.001")
+    for build, grain in ((retail.sales_extract, "month"), (retail.sales_extract_multi, "quarter")):
+        got = build(view)
+        whole = {**retail._calendar(retail.STAR, grain), "segment": retail.segment_expr()}
+        whole = {n: e for n, e in whole.items() if n in got.columns}
+        plain = view.where("o_custkey > 0 and l_partkey > 0 and l_quantity > 0 and l_extendedprice > 0")
+        by = [e.alias(n) for n, e in whole.items()]
+        want = plain.groupBy(*by).agg(F.sum("l_quantity").cast("long").alias("n"))
+        sums = got.groupBy(*[c for c in whole]).agg(F.sum("quantity").cast("long").alias("n"))
+        assert {tuple(r) for r in sums.collect()} == {tuple(r) for r in want.select(*sums.columns).collect()}
+        grouping = got._jdf.queryExecution().analyzed().toString().split("Aggregate [", 1)[1].split("]")[0]
+        assert "year(" not in grouping and "CASE WHEN c_mktsegment" not in grouping and "mktsegment" in grouping
+
+
+def test_snapshot_keeps_its_schema_without_python_rows(spark, tmp_path, monkeypatch):
+    from rosband.sources.snapshot import snapshot
+
+    def no_rows(*_a, **_k):
+        raise AssertionError("rows sent from Python")
+
+    monkeypatch.setattr(type(spark), "createDataFrame", no_rows)
+    got = snapshot(spark, str(tmp_path / "s"), lambda s: s.range(3).selectExpr("id", "'0' || id as period"), partition_by=["period"])
+    assert sorted(tuple(r) for r in got.collect()) == [(0, "00"), (1, "01"), (2, "02")]
